@@ -12,12 +12,10 @@ from tallyloom.operators.ordering import exact_quantiles
 
 
 def min_avg_max(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Smallest, mean and largest value per key."""
-    return df.groupBy(*by).agg(
-        F.min(value).alias("min_value"),
-        F.avg(F.col(value).cast("double")).alias("avg_value"),
-        F.max(value).alias("max_value"),
-    )
+    """Smallest, mean and largest value per key; the mean of decimals comes from their exact sum."""
+    exact = df.schema[value].dataType.typeName().startswith("decimal")
+    mean = F.sum(value).cast("double") / F.count(value) if exact else F.avg(F.col(value).cast("double"))
+    return df.groupBy(*by).agg(F.min(value).alias("min_value"), mean.alias("avg_value"), F.max(value).alias("max_value"))
 
 
 def conditional_sums(df: DataFrame, by: Sequence[str], value: str, cases: Mapping[str, Column]) -> DataFrame:
