@@ -13,32 +13,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bounds(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
-    """Attach the smallest and largest order value of the row's group as _lo and _hi."""
+def _spans(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str]) -> DataFrame:
+    """Attach the group's smallest and largest order value (_lo, _hi) and the measures' totals (<m>_total)."""
+    parts = {"_lo": F.min(order), "_hi": F.max(order), **{f"{m}_total": F.sum(m) for m in measures}}
     if by:
-        span = df.groupBy(*by).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        return df.join(span, list(by))
-    # one value each: scalar subqueries instead of a join without keys
-    return df.withColumn("_lo", df.agg(F.min(order)).scalar()).withColumn("_hi", df.agg(F.max(order)).scalar())
+        return df.join(df.groupBy(*by).agg(*[c.alias(n) for n, c in parts.items()]), list(by))
+    # a single group: one scalar subquery instead of a join without keys
+    whole = df.agg(F.struct(*[c.alias(n) for n, c in parts.items()])).scalar()
+    return df.withColumn("_span", whole).select(*df.columns, "_span.*")
 
 
-def value_slots(df: DataFrame, by: Sequence[str], order: str, slots: int) -> DataFrame:
+def value_slots(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int) -> DataFrame:
     """Cut each group into ranges of equal width of a numeric column, as _slot; equal values share a slot."""
     share = (F.col(order) - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double")
     slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * slots), F.lit(slots - 1))).otherwise(0)
-    return _bounds(df, by, order).withColumn("_slot", slot.cast("int")).drop("_lo", "_hi")
+    return _spans(df, by, order, measures).withColumn("_slot", slot.cast("int")).drop("_lo", "_hi")
 
 
-def _slot_offsets(df: DataFrame, by: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
-    """Per slot, the totals of all earlier slots of the same group: one column ``<name>_before`` each."""
-    per_slot = df.groupBy(*by, "_slot").agg(*[F.sum(c).alias(f"_{n}") for n, c in totals.items()])
+def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Per slot, the totals of all earlier slots of the same group: one column ``<m>_before`` each."""
+    per_slot = df.groupBy(*by, "_slot").agg(*[F.sum(m).alias(m) for m in measures])
     earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
     return per_slot.select(
         *by,
         "_slot",
-        *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"{n}_before") for n in totals],
-        *[F.sum(f"_{n}").over(whole).alias(f"{n}_total") for n in totals],
+        *[F.col(m).alias(f"{m}_in_slot") for m in measures],
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_before") for m in measures],
     )
 
 
@@ -49,62 +49,62 @@ def running_before(
 
     ``df`` must hold one row per (by, order value).
     """
-    placed = value_slots(df, by, order, slots)
-    offsets = _slot_offsets(placed, by, {m: F.col(m) for m in measures})
+    placed = value_slots(df, by, order, measures, slots)
+    offsets = _slot_offsets(placed, by, measures)
     inside = Window.partitionBy(*by, "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = placed.join(offsets, [*by, "_slot"])
     for m in measures:
         out = out.withColumn(f"{m}_before", F.col(f"{m}_before") + F.coalesce(F.sum(m).over(inside), F.lit(0)))
-    return out.drop("_slot")
+    return out.drop("_slot", *[f"{m}_in_slot" for m in measures])
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], slots: int = 2048
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 2048
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and one column per entry of ``probs``.
 
-    Values are counted first, then only the slots that hold a wanted position are ordered.
+    Values are counted first, then only the slots that hold a wanted position are ordered. ``mean`` names a
+    column for the mean, which comes from the same counts.
     """
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_weighted", F.col("_v") * F.col("n"))
     )
-    placed = value_slots(counted, by, "_v", slots)
-    per_slot = placed.groupBy(*by, "_slot").agg(F.sum("n").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slot.select(
-        *by,
-        "_slot",
-        "_n",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("n_before"),
-        F.sum("_n").over(Window.partitionBy(*by)).alias("n_total"),
-    )
+    placed = value_slots(counted, by, "_v", ["n", "_weighted"], slots)
+    n = F.col("n_total")
 
     def position(p: float) -> Column:
-        return F.lit(p) * (F.col("n_total") - 1)
+        return F.lit(p) * (n - 1)
 
     def holds(start: Column, count: Column, where: Column) -> Column:
         return (where >= start) & (where < start + count)
 
+    edges = (("lo", F.floor), ("hi", F.ceil))
     wanted = F.lit(False)
     for p in probs.values():
-        for where in (F.floor(position(p)), F.ceil(position(p))):
-            wanted = wanted | holds(F.col("n_before"), F.col("_n"), where)
+        for _, edge in edges:
+            wanted = wanted | holds(F.col("n_before"), F.col("n_in_slot"), edge(position(p)))
     inside = Window.partitionBy(*by, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = placed.join(offsets.where(wanted).drop("_n"), [*by, "_slot"]).withColumn(
-        "_start", F.col("n_before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    ranked = (
+        placed.join(_slot_offsets(placed, by, ["n"]), [*by, "_slot"])
+        .where(wanted)
+        .withColumn("_start", F.col("n_before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     )
     found = ranked.groupBy(*by).agg(
         F.max("n_total").alias("n_total"),
+        F.max("_weighted_total").alias("_weighted_total"),
         *[
             F.max(F.when(holds(F.col("_start"), F.col("n"), edge(position(p))), F.col("_v"))).alias(f"_{name}_{side}")
             for name, p in probs.items()
-            for side, edge in (("lo", F.floor), ("hi", F.ceil))
+            for side, edge in edges
         ],
     )
+    means = [(F.col("_weighted_total") / n).alias(mean)] if mean else []
     return found.select(
         *by,
+        *means,
         *[
             (
                 F.col(f"_{name}_lo")
@@ -125,11 +125,17 @@ def numbered(
     hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key])).withColumn(
         "_slot", F.pmod(F.shiftright("_h", 20), F.lit(slots)).cast("int")
     )
-    offsets = _slot_offsets(hashed, by, {"rows": F.lit(1)})
+    per_slot = hashed.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_slot.select(
+        *by,
+        "_slot",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*by)).alias("group_rows"),
+    )
     inside = Window.partitionBy(*by, "_slot").orderBy("_h", *key)
     return (
         hashed.join(offsets, [*by, "_slot"])
-        .withColumn("rn", F.col("rows_before") + F.row_number().over(inside))
-        .withColumnRenamed("rows_total", "group_rows")
-        .drop("_h", "_slot", "rows_before")
+        .withColumn("rn", F.col("_before") + F.row_number().over(inside))
+        .drop("_h", "_slot", "_before")
     )

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from tallyloom.session import checkpointed
 
 
-def route_cost(routes: DataFrame, edges: DataFrame, closed: bool = False) -> DataFrame:
-    """Cost of each route (instance, route, stops); a closed one returns to its first stop.
+def route_cost(routes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Cost of each route (instance, route, stops), one way and, as ``closed_cost``, back to its first stop.
 
     A route with a leg that has no edge has no cost.
     """
-    stops = F.concat("stops", F.slice("stops", 1, 1)) if closed else F.col("stops")
-    legs = routes.select("instance", "route", stops.alias("s")).select(
-        "instance", "route", F.explode(F.arrays_zip(F.expr("slice(s, 1, size(s) - 1)").alias("src"), F.expr("slice(s, 2, size(s) - 1)").alias("dst"))).alias("leg")
-    ).select("instance", "route", "leg.src", "leg.dst")
+    stops = F.concat("stops", F.slice("stops", 1, 1))
+    pairs = F.expr("transform(sequence(1, size(s) - 1), i -> struct(s[i - 1] AS src, s[i] AS dst, i = size(s) - 1 AS back))")
+    legs = routes.select("instance", "route", stops.alias("s")).select("instance", "route", F.inline(pairs))
     priced = legs.join(edges, ["instance", "src", "dst"], "left")
+    way = ~F.col("back")
     return priced.groupBy("instance", "route").agg(
-        F.count(F.lit(1)).alias("legs"),
-        F.when(F.count("cost") == F.count(F.lit(1)), F.sum("cost")).alias("cost"),
+        F.count_if(way).alias("legs"),
+        F.when(F.count_if(way & F.col("cost").isNull()) == 0, F.coalesce(F.sum(F.when(way, F.col("cost"))), F.lit(0))).alias("cost"),
+        F.when(F.count_if(F.col("cost").isNull()) == 0, F.sum("cost")).alias("closed_cost"),
     )
 
 
@@ -60,7 +61,7 @@ def nearest_tours(edges: DataFrame, starts: DataFrame | None = None, rounds_per_
     return tours.join(sizes, "instance").withColumn("complete", F.size("stops") == F.col("places")).drop("places")
 
 
-def best_route(routes: DataFrame) -> DataFrame:
+def best_route(routes: DataFrame, by: str = "cost") -> DataFrame:
     """Cheapest route of each instance; the smaller route name wins a tie."""
-    best = F.min(F.struct("cost", "route")).alias("b")
-    return routes.where(F.col("cost").isNotNull()).groupBy("instance").agg(best).select("instance", "b.route", "b.cost")
+    best = F.min(F.struct(by, "route")).alias("b")
+    return routes.where(F.col(by).isNotNull()).groupBy("instance").agg(best).select("instance", "b.route", f"b.{by}")

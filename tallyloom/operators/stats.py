@@ -38,9 +38,10 @@ def auc(df: DataFrame, label: str, score: str, slots: int = 2048) -> DataFrame:
     counted = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    ranked = running_before(counted, [], "_s", ["neg"], slots)
+    ranked = running_before(counted, [], "_s", ["pos", "neg"], slots)
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
-    return ranked.agg(F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+    losses = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
+    return ranked.agg(F.try_divide(wins, wins + losses).alias("auc"))
 
 
 def ols_univariate(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:

@@ -6,53 +6,52 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import routes
 from tallyloom.plans import trade
-from tallyloom.session import read_table
+from tallyloom.session import checkpointed, read_table
 
 
-def _sold_between(spark, folder):
+def sold_between(spark, folder):
+    """Cents and units per priority, segment and pair of places. Callers that read it more than once store it
+    first: it is small, while the join behind it is not."""
     buyers = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("con_id"), F.col("o_orderpriority").alias("instance")
     ).join(trade.consumers(spark, folder).select("con_id", "segment", F.col("city").alias("dst")), "con_id")
     sellers = trade.suppliers(spark, folder).select("supp_id", F.col("city").alias("src"))
-    return trade.lines(spark, folder).join(sellers, "supp_id").join(buyers, "order_id")
+    sold = trade.lines(spark, folder).join(sellers, "supp_id").join(buyers, "order_id")
+    return sold.groupBy("instance", "segment", "src", "dst").agg(
+        F.sum((F.col("price") * 100).cast("long")).alias("cents"), F.sum("quantity").alias("units")
+    )
 
 
-def trade_edges(spark, folder):
+def trade_edges(sold):
     """One cost matrix per order priority, in whole cents per unit; it is not symmetric."""
-    cents = F.sum((F.col("price") * 100).cast("long"))
-    return (
-        _sold_between(spark, folder)
-        .where("src <> dst")
-        .groupBy("instance", "src", "dst")
-        .agg(cents.alias("cents"), F.sum("quantity").alias("units"))
-        .select("instance", "src", "dst", F.expr("cents div units").alias("cost"))
-    )
+    summed = sold.where("src <> dst").groupBy("instance", "src", "dst").agg(F.sum("cents").alias("cents"), F.sum("units").alias("units"))
+    return summed.select("instance", "src", "dst", F.expr("cents div units").alias("cost"))
 
 
-def sales_routes(spark, folder):
+def sales_routes(sold):
     """Candidate routes: per priority and market segment, the selling places by falling sales."""
-    sold = _sold_between(spark, folder).groupBy("instance", "segment", "src").agg(F.sum("quantity").alias("units"))
+    per_place = sold.groupBy("instance", "segment", "src").agg(F.sum("units").alias("units"))
     # one entry per place: the array is as long as the list of places
-    return sold.groupBy("instance", F.col("segment").alias("route")).agg(
+    return per_place.groupBy("instance", F.col("segment").alias("route")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct((-F.col("units")).alias("k"), "src"))), lambda x: x["src"]).alias("stops")
     )
 
 
 def route_cost(spark, folder):
-    edges, candidates = trade_edges(spark, folder), sales_routes(spark, folder)
-    opened = routes.route_cost(candidates, edges).withColumnRenamed("cost", "open_cost")
-    closed = routes.route_cost(candidates, edges, closed=True).select("instance", "route", F.col("cost").alias("closed_cost"))
-    return opened.join(closed, ["instance", "route"])
+    sold = checkpointed(sold_between(spark, folder))
+    return routes.route_cost(sales_routes(sold), trade_edges(sold)).withColumnRenamed("cost", "open_cost")
 
 
 def nn_tour(spark, folder):
-    tours = routes.nearest_tours(trade_edges(spark, folder))
+    tours = routes.nearest_tours(trade_edges(sold_between(spark, folder)))
     return tours.select("instance", "start", F.concat_ws(">", "stops").alias("tour"), "cost", F.col("complete").cast("int").alias("complete"))
 
 
 def best_route(spark, folder):
     """Cheapest round trip of each priority among the sales routes."""
-    return routes.best_route(routes.route_cost(sales_routes(spark, folder), trade_edges(spark, folder), closed=True))
+    sold = checkpointed(sold_between(spark, folder))
+    costs = routes.route_cost(sales_routes(sold), trade_edges(sold))
+    return routes.best_route(costs, "closed_cost").withColumnRenamed("closed_cost", "cost")
 
 
 QUERIES = {f.__name__: f for f in (route_cost, nn_tour, best_route)}
