@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.functions.formats import money
+from tallyloom.functions.formats import exact_sum, from_cents, money
 from tallyloom.operators import windows
 from tallyloom.operators.cube import CubeSpec
 from tallyloom.operators.olap import Cube
@@ -113,7 +113,7 @@ def sales_cube(spark, folder) -> Cube:
     measures = {
         "quantity": F.sum("quantity"),
         "transactions": F.count(F.lit(1)),
-        "value": F.sum("value").cast("double"),
+        "value": from_cents(exact_sum(F.col("value"))),
     }
     return Cube(fact, measures)
 
@@ -168,7 +168,7 @@ def parallel_period(spark, folder):
     cells = (
         trade.transactions(spark, folder)
         .groupBy(F.trunc("day", "quarter").alias("quarter"))
-        .agg(F.sum(trade.line_value()).alias("value"))
+        .agg((exact_sum(trade.line_value()) / 100).cast("decimal(30,2)").alias("value"))
         .withColumn("all_sales", F.lit("all"))
     )
     dense = windows.densify(cells, ["all_sales"], "quarter", "1995-01-01", "2000-10-01", "3 MONTH", ["value"])

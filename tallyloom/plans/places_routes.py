@@ -18,7 +18,7 @@ def sold_between(spark, folder):
     sellers = trade.suppliers(spark, folder).select("supp_id", F.col("city").alias("src"))
     sold = trade.lines(spark, folder).join(sellers, "supp_id").join(buyers, "order_id")
     return sold.groupBy("instance", "segment", "src", "dst").agg(
-        F.sum((F.col("price") * 100).cast("long")).alias("cents"), F.sum("quantity").alias("units")
+        F.sum("price").alias("cents"), F.sum("quantity").alias("units")
     )
 
 

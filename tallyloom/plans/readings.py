@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions import recode
+from tallyloom.functions.formats import cents, exact_sum, from_cents
 from tallyloom.operators import aggregates, cleaning, windows
 from tallyloom.session import read_table
 
@@ -26,9 +27,16 @@ def minmaxavg_by_key(spark, folder):
 
 def minmaxavg_lines(spark, folder):
     """The same aggregate over the largest table, with many keys and exact money."""
-    lines = read_table(spark, folder, "lineitem").select("l_partkey", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
-    found = aggregates.min_avg_max(lines, ["l_partkey"], "price")
-    return found.withColumns({c: F.col(c).cast("double") for c in ("min_value", "max_value")})
+    lines = read_table(spark, folder, "lineitem").select("l_partkey", cents(F.col("l_extendedprice")).alias("price"))
+    found = lines.groupBy("l_partkey").agg(
+        F.min("price").alias("least"), F.max("price").alias("most"), exact_sum(F.col("price")).alias("total"), F.count("price").alias("n")
+    )
+    return found.select(
+        "l_partkey",
+        from_cents(F.col("least")).alias("min_value"),
+        (from_cents(F.col("total")) / F.col("n")).alias("avg_value"),
+        from_cents(F.col("most")).alias("max_value"),
+    )
 
 
 def threshold_days(spark, folder):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.formats import cents, exact_sum, from_cents
 from tallyloom.operators import aggregates, relational, windows
 from tallyloom.session import read_table
 
@@ -51,13 +52,13 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per sold line, before it is known who bought it."""
+    """One row per sold line, before it is known who bought it; prices in cents."""
     return read_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_suppkey").alias("supp_id"),
         F.col("l_partkey").alias("prod_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        cents(F.col("l_extendedprice")).alias("price"),
     )
 
 
@@ -84,8 +85,8 @@ def sales_with_consumers(spark: SparkSession, folder: str, buyers: DataFrame | N
 
 
 def line_value() -> Column:
-    """Money of a line: both factors are exact decimals that fit a long."""
-    return F.col("quantity").cast("decimal(5,0)") * F.col("price")
+    """Money of a line, in cents like its price."""
+    return F.col("quantity") * F.col("price")
 
 
 STAR_SQL = """
@@ -109,11 +110,11 @@ def big_tx_between_places(spark, folder):
     buyers = consumers(spark, folder).where("city = 'NATION_5'")
     return (
         lines(spark, folder)
-        .where(line_value() > 1000000)
+        .where(line_value() > 1000000 * 100)
         .join(sellers, "supp_id")
         .join(sales_with_consumers(spark, folder, buyers), "order_id")
         .join(products(spark, folder), "prod_id")
-        .select("supplier", "consumer", "product", F.col("quantity").cast("long"), F.col("price").cast("double"))
+        .select("supplier", "consumer", "product", F.col("quantity").cast("long"), from_cents(F.col("price")).alias("price"))
     )
 
 
@@ -253,12 +254,12 @@ def tx_by_triplet(spark, folder):
     return (
         transactions(spark, folder)
         .groupBy("supp_id", "con_id", "prod_id")
-        .agg(F.sum(line_value()).alias("value"))
+        .agg(exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
         .join(suppliers(spark, folder).select("supp_id", "supplier"), "supp_id")
         .join(consumers(spark, folder).select("con_id", "consumer"), "con_id")
         .groupBy("supplier", "consumer", "product")
-        .agg(F.sum("value").cast("double").alias("total_value"))
+        .agg(from_cents(F.sum("value")).alias("total_value"))
     )
 
 
@@ -268,7 +269,7 @@ def monthly_sales(spark, folder):
         lines(spark, folder)
         .join(year, "order_id")
         .groupBy(F.month("day").alias("month"), "supp_id", "con_id", "prod_id")
-        .agg(F.count(F.lit(1)).alias("tx"), F.sum("quantity").alias("units"), F.sum(line_value()).alias("value"))
+        .agg(F.count(F.lit(1)).alias("tx"), F.sum("quantity").alias("units"), exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
         .join(suppliers(spark, folder).select("supp_id", "supplier"), "supp_id")
         .join(consumers(spark, folder).select("con_id", "consumer"), "con_id")
@@ -276,7 +277,7 @@ def monthly_sales(spark, folder):
         .agg(
             F.sum("tx").alias("transactions"),
             F.sum("units").alias("units"),
-            F.sum("value").cast("double").alias("total_value"),
+            from_cents(F.sum("value")).alias("total_value"),
         )
         .orderBy("month")
     )
