@@ -7,17 +7,22 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Local session used by tests and the bench; a cluster passes its own session instead."""
-    return (
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
+    """Local session used by tests and the bench; a cluster passes its own session instead.
+
+    ``settings`` are further Spark settings, with underscores for the dots of their names.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallyloom")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name.replace("_", "."), value)
+    return builder.getOrCreate()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
