@@ -11,7 +11,7 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
 
     The i-th cost belongs to the place named on the i-th line, so a file is read as one text.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
     files = whole.select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("instance"),
