@@ -141,7 +141,7 @@ def kmeans_k_sweep(spark, folder):
 
 def bisecting_groups(spark, folder):
     """Three groups from the top down, against the known labels."""
-    return models.groups(_vectors(spark, folder), "scaled", 3).groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    return models.groups(models.packed(_vectors(spark, folder).select("label", "scaled")), "scaled", 3).groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ols_multi(spark, folder):
