@@ -1,15 +1,17 @@
-"""Dates and times that arrive as text in several layouts, as column expressions.
+"""Dates and times that arrive as text in several layouts, read without Python functions.
 
-Every text is split once into its numbers; a layout test decides what each number means. Nothing here
-raises on bad input: a text that fits no layout, or names no real day, becomes NULL.
+A text is split into its numbers; a layout test decides what each number means. Nothing here raises on bad
+input: a text that fits no layout, or names no real day, becomes NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed layouts, tried in this order. Each is "date time rest"; the rest may hold seconds and am/pm.
+# Fixed layouts; a text fits at most one of the first three, and the last only if none of them. Each is "date time rest"; the rest may hold seconds and am/pm.
 PLACEHOLDER_DAY = r"^12/30/1899 \d{1,2}:\d{2}"  # a time of day stored without a date
 YEAR_FIRST = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}"
 BUDDHIST_YEAR = r"^\d{1,2}/\d{1,2}/256\d \d{1,2}:\d{2}"
@@ -18,10 +20,6 @@ BUDDHIST_OFFSET = 543
 NO_DATE = "2000-01-01"  # stands for a date written as all zeros
 
 
-def try_timestamp(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
-
-
 def hour_of_day(hour: Column, rest: Column) -> Column:
     """Hour on the 24-hour clock; the am/pm mark may follow seconds or blanks, in either case."""
     mark = F.lower(F.trim(rest))
@@ -32,41 +30,65 @@ def hour_of_day(hour: Column, rest: Column) -> Column:
     )
 
 
-def standard_timestamp(text: Column) -> Column:
-    """Timestamp to the minute from any of the fixed layouts."""
-    parts = F.split(text, r"[-/ :]", 6)
-    n = [parts[i].try_cast("int") for i in range(5)]
-    rest = F.coalesce(F.regexp_extract(text, r"^\S+ \d{1,2}:\d{2}(.*)$", 1), F.lit(""))
-    hour, minute = hour_of_day(n[3], rest), n[4]
-    zero_date = (n[0] == 0) & (n[1] == 0) & (n[2] == 0)
-    no_date = try_timestamp(F.lit(int(NO_DATE[:4])), F.lit(int(NO_DATE[5:7])), F.lit(int(NO_DATE[8:])), hour, minute)
-    month_first = try_timestamp(n[2], n[0], n[1], hour, minute)
-    day_first = try_timestamp(n[2], n[1], n[0], hour, minute)
-    gregorian = n[2] - BUDDHIST_OFFSET
+def standard_timestamps(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
+    """Add one timestamp (to the minute) per entry of ``texts``, read from any of the fixed layouts.
+
+    The text is split in one projection and read in the next: each row is then split once, not once per use.
+    """
+    split = df.withColumns({
+        name: part
+        for out, text in texts.items()
+        for name, part in {
+            f"_{out}_parts": F.split(text, r"[-/ :]", 6),
+            f"_{out}_layout": F.when(text.rlike(YEAR_FIRST), "iso")
+            .when(text.rlike(PLACEHOLDER_DAY), "month first")
+            .when(text.rlike(BUDDHIST_YEAR), "buddhist")
+            .when(text.rlike(YEAR_LAST), "any"),
+        }.items()
+    })
+    numbers = split.withColumns({f"_{out}": _numbers(F.col(f"_{out}_parts")) for out in texts})
+    read = numbers.withColumns({out: _timestamp(F.col(f"_{out}_layout"), F.col(f"_{out}")) for out in texts})
+    return read.drop(*[c for out in texts for c in (f"_{out}_parts", f"_{out}_layout", f"_{out}")])
+
+
+def _numbers(parts: Column) -> Column:
+    """Three date numbers, hour of day and minute. What follows the minute's two digits may hold seconds and am/pm."""
+    minute = F.get(parts, F.lit(4))
+    rest = F.concat(F.substring(minute, 3, 100), F.coalesce(F.get(parts, F.lit(5)), F.lit("")))
+    a, b, c, hour = (F.get(parts, F.lit(i)).try_cast("int") for i in range(4))
+    return F.struct(
+        a.alias("a"), b.alias("b"), c.alias("c"), hour_of_day(hour, rest).alias("hour"), F.substring(minute, 1, 2).try_cast("int").alias("minute")
+    )
+
+
+def _timestamp(layout: Column, n: Column) -> Column:
+    a, b, c = n["a"], n["b"], n["c"]
+
+    def at(year: Column, month: Column, day: Column) -> Column:
+        return F.try_make_timestamp_ntz(year, month, day, n["hour"], n["minute"], F.lit(0))
+
+    zero = (a == 0) & (b == 0) & (c == 0)
     return (
-        F.when(text.rlike(PLACEHOLDER_DAY), month_first)
-        .when(text.rlike(YEAR_FIRST), F.when(zero_date, no_date).otherwise(try_timestamp(n[0], n[1], n[2], hour, minute)))
-        .when(
-            text.rlike(BUDDHIST_YEAR),
-            F.coalesce(
-                try_timestamp(gregorian, n[1], n[0], hour, minute), try_timestamp(gregorian, n[0], n[1], hour, minute)
-            ),
-        )
-        .when(text.rlike(YEAR_LAST), F.when(zero_date, no_date).otherwise(F.coalesce(month_first, day_first)))
+        F.when(zero & layout.isin("iso", "any"), at(*[F.lit(int(x)) for x in NO_DATE.split("-")]))
+        .when(layout == "iso", at(a, b, c))
+        .when(layout == "month first", at(c, a, b))
+        .when(layout == "buddhist", F.coalesce(at(c - BUDDHIST_OFFSET, b, a), at(c - BUDDHIST_OFFSET, a, b)))
+        .when(layout == "any", F.coalesce(at(c, a, b), at(c, b, a)))
     )
 
 
-def merged_timestamp(date_text: Column, time_text: Column) -> Column:
-    """Day of the date column with the time of its paired time column.
+def merged_timestamp(df: DataFrame, date_text: Column, time_text: Column, out: str) -> DataFrame:
+    """Add the day of the date column with the time of its paired time column.
 
     The time column wins where both are readable, they disagree, and the date column's own time is after midnight.
     """
-    base, other = standard_timestamp(date_text), standard_timestamp(time_text)
-    midnight = F.date_trunc("day", base).cast("timestamp_ntz")
-    clock = F.timestamp_diff("SECOND", midnight, base)
-    other_clock = F.timestamp_diff("SECOND", F.date_trunc("day", other).cast("timestamp_ntz"), other)
+    read = standard_timestamps(df, {"_base": date_text, "_other": time_text})
+    base, other = F.col("_base"), F.col("_other")
+    clock = F.hour(base) * 60 + F.minute(base)
+    other_clock = F.hour(other) * 60 + F.minute(other)
     takes_other = other.isNotNull() & (clock > 0) & (clock != other_clock)
-    return F.when(takes_other, F.timestamp_add("SECOND", other_clock.cast("int"), midnight)).otherwise(base)
+    shifted = F.timestamp_add("MINUTE", other_clock - clock, base)
+    return read.withColumn(out, F.when(takes_other, shifted).otherwise(base)).drop("_base", "_other")
 
 
 def reading_timestamp(year: Column, month: Column, day: Column, time_text: Column) -> Column:

@@ -89,8 +89,8 @@ def clean_records(
 ) -> DataFrame:
     """One lazy plan for a raw yearly file: dates, place, codes, flags and column pruning."""
     placed = relational.lookup_fallback(df, "prov", "aplace", names, ids, "_place")
-    filled = placed.withColumns({
-        "adate": timestamps.merged_timestamp(F.col("adate"), F.col("atime")),
+    dated = timestamps.merged_timestamp(placed, F.col("adate"), F.col("atime"), "adate")
+    filled = dated.withColumns({
         "prov": F.col("_place"),
         **{c: recode.missing_code(F.coalesce(F.col(c), F.lit("")), risk_junk, missing) for c in risk_cols},
         "injt": recode.plain_code(F.coalesce(F.col("injt"), F.lit("")), vehicle_junk, missing),

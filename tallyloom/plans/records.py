@@ -28,8 +28,8 @@ def messy_events(spark, folder):
 
 
 def std_timestamp(spark, folder):
-    parsed = timestamps.standard_timestamp(F.col("adate"))
-    return messy_events(spark, folder).select("event_id", F.date_format(parsed, MINUTE).alias("parsed"))
+    parsed = timestamps.standard_timestamps(messy_events(spark, folder).select("event_id", "adate"), {"at": F.col("adate")})
+    return parsed.select("event_id", F.date_format("at", MINUTE).alias("parsed"))
 
 
 def merged_timestamp(spark, folder):
@@ -40,7 +40,8 @@ def merged_timestamp(spark, folder):
         F.date_format(ts, "yyyy-MM-dd HH:00").alias("adate"),
         F.concat(F.lit("12/30/1899 "), F.date_format(ts, "h:mm a")).alias("atime"),
     )
-    return pairs.select("event_id", F.date_format(timestamps.merged_timestamp(F.col("adate"), F.col("atime")), MINUTE).alias("merged"))
+    merged = timestamps.merged_timestamp(pairs, F.col("adate"), F.col("atime"), "at")
+    return merged.select("event_id", F.date_format("at", MINUTE).alias("merged"))
 
 
 def place_lookup_fallback(spark, folder):

@@ -22,6 +22,7 @@ STANDARD = [
     ("3/4/2021 12:10:00 pm", D(2021, 3, 4, 12, 10)),
     ("3/4/2021 1:10:00 Pm", D(2021, 3, 4, 13, 10)),
     ("3/4/2021 11:10:00 AM", D(2021, 3, 4, 11, 10)),
+    ("3/4/2021 11:10PM", D(2021, 3, 4, 23, 10)),
     ("00/00/0000 9:15", D(2000, 1, 1, 9, 15)),
     ("2/30/2020 8:30", None),
     ("13/13/2020 8:30", None),
@@ -43,9 +44,10 @@ def apply(spark, values, build, kind="string"):
 
 
 def test_standard_timestamp(spark):
-    got = apply(spark, [t for t, _ in STANDARD], timestamps.standard_timestamp)
-    for (text, expected), value in zip(STANDARD, got):
-        assert value == expected, text
+    df = timestamps.standard_timestamps(one_column(spark, [t for t, _ in STANDARD]), {"out": F.col("x")})
+    assert df.columns == ["i", "x", "out"]
+    for (text, expected), row in zip(STANDARD, df.orderBy("i").collect()):
+        assert row.out == expected, text
 
 
 @pytest.mark.parametrize(
@@ -61,7 +63,7 @@ def test_standard_timestamp(spark):
 )
 def test_merged_timestamp(spark, date, time, expected):
     df = spark.createDataFrame([(date, time)], "d string, t string")
-    assert df.select(timestamps.merged_timestamp(F.col("d"), F.col("t"))).first()[0] == expected
+    assert timestamps.merged_timestamp(df, F.col("d"), F.col("t"), "out").first()["out"] == expected
 
 
 def test_reading_timestamp(spark):
