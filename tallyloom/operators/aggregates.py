@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordering import exact_quantiles
+from tallyloom.operators.ordering import attach, exact_quantiles, value_counts
 
 
 def min_avg_max(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -127,14 +127,14 @@ def daily_amplitude(df: DataFrame, by: Sequence[str], day: Column, ts: str, valu
 def box_summary(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whisker ends inside 1.5 interquartile ranges, and the number of outliers, per group."""
     quartiles = exact_quantiles(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    spread = F.col("q3") - F.col("q1")
-    fenced = df.where(F.col(value).isNotNull()).join(quartiles, list(by))
-    inside = F.col(value).between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
+    fenced = attach(value_counts(df, by, value), quartiles, by, "_v")
+    spread, kind = F.col("q3") - F.col("q1"), df.schema[value].dataType
+    inside = F.col("_v").between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
     return fenced.groupBy(*by).agg(
         *[F.max(q).alias(q) for q in ("q1", "median", "q3")],
-        F.min(F.when(inside, F.col(value))).alias("low_whisker"),
-        F.max(F.when(inside, F.col(value))).alias("high_whisker"),
-        F.count_if(~inside).alias("outliers"),
+        F.min(F.when(inside, F.col("_v"))).cast(kind).alias("low_whisker"),
+        F.max(F.when(inside, F.col("_v"))).cast(kind).alias("high_whisker"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
     )
 
 

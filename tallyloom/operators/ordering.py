@@ -3,6 +3,9 @@
 A window over a whole group puts the group in one task. The functions here first cut each group into
 slots (value ranges or hash ranges), total every slot, and run the window inside one slot only. The
 slot totals are at most ``slots`` rows per group, so their own window stays small. Results are exact.
+
+A plan partitioned by the group also counts as partitioned by (group, slot), and Spark would then leave the
+group where it is. So slotted rows are repartitioned by (group, slot) explicitly.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ def value_slots(df: DataFrame, by: Sequence[str], order: str, measures: Sequence
     """Cut each group into ranges of equal width of a numeric column, as _slot; equal values share a slot."""
     share = (F.col(order) - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double")
     slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * slots), F.lit(slots - 1))).otherwise(0)
-    return _spans(df, by, order, measures).withColumn("_slot", slot.cast("int")).drop("_lo", "_hi")
+    placed = _spans(df, by, order, measures).withColumn("_slot", slot.cast("int")).drop("_lo", "_hi")
+    return placed.repartition(*by, "_slot")
 
 
 def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -58,6 +62,26 @@ def running_before(
     return out.drop("_slot", *[f"{m}_in_slot" for m in measures])
 
 
+def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Rows per group and value as (by, _v, n, _weighted), nulls left out; everything below works on these counts."""
+    return (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_weighted", F.col("_v") * F.col("n"))
+    )
+
+
+def attach(df: DataFrame, per_group: DataFrame, by: Sequence[str], spread: str, salts: int = 32) -> DataFrame:
+    """Join a table with one row per group to rows that are distinct in (by, spread).
+
+    The small table is copied once per salt, so the rows of a hot group meet it in many tasks.
+    """
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = per_group.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return left.join(right, [*by, "_salt"]).drop("_salt")
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 2048
 ) -> DataFrame:
@@ -66,12 +90,7 @@ def exact_quantiles(
     Values are counted first, then only the slots that hold a wanted position are ordered. ``mean`` names a
     column for the mean, which comes from the same counts.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_weighted", F.col("_v") * F.col("n"))
-    )
+    counted = value_counts(df, by, value)
     placed = value_slots(counted, by, "_v", ["n", "_weighted"], slots)
     n = F.col("n_total")
 
