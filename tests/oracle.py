@@ -1,10 +1,11 @@
 """Compare a registered query with its SQL on the same files.
 
-Run as a script: python -m tests.oracle [folder] [name ...]
+Run as a script: python -m tests.oracle [folder] [name ...]; NO_BROADCAST=1 shuffles every join.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -65,6 +66,9 @@ def main() -> None:
     names = sys.argv[2:] or list(entry.queries())
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("NO_BROADCAST"):  # as on tables too large to broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con, sql, bad = database(folder), entry.oracle_sql(), 0
     for name in names:
         started = time.time()
