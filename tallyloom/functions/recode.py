@@ -32,6 +32,11 @@ def bands(col: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return out.when(col > edges[-1], F.lit(labels[-1])) if len(labels) == len(edges) else out
 
 
+def rescaled(col: Column, limit: float, divisor: float) -> Column:
+    """Values above the limit were noted in a smaller unit: divide them."""
+    return F.when(col > limit, col / divisor).otherwise(col)
+
+
 def season(month: Column) -> Column:
     return recode(month, {12: "Winter", 1: "Winter", 2: "Winter", 3: "Spring", 4: "Spring", 5: "Spring",
                           6: "Summer", 7: "Summer", 8: "Summer"}, F.when(month.isNotNull(), F.lit("Fall")))

@@ -47,7 +47,7 @@ def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) ->
 
 
 def running_before(
-    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 2048
+    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 16384
 ) -> DataFrame:
     """Add ``<m>_before`` and ``<m>_total``: sums of each measure over smaller order values and over the group.
 
@@ -83,7 +83,7 @@ def attach(df: DataFrame, per_group: DataFrame, by: Sequence[str], spread: str,
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 2048
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 16384
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and one column per entry of ``probs``.
 
@@ -135,7 +135,7 @@ def exact_quantiles(
 
 
 def numbered(
-    df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int = 42, slots: int = 4096
+    df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int = 42, slots: int = 65536
 ) -> DataFrame:
     """Number the rows of each group in a seeded random order: adds ``rn`` (from 1) and ``group_rows``.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tallyloom.operators import models, stats
@@ -106,6 +107,18 @@ def rf_multiclass_cv(spark, folder):
     return out
 
 
+def nested_confusion(spark, folder):
+    """Labels against predictions of models that never saw the row, the predictors chosen inside each outer fold."""
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    candidates = []
+    for width in (64, 10):
+        columns = VectorAssembler(inputCols=[f"e{i}" for i in range(width)], outputCol="features")
+        candidates.append((Pipeline(stages=[columns, models.forest("label", numTrees=10, maxDepth=5)]), [{}]))
+    found = models.nested_cv(vectors, candidates, evaluator, "label", ["vec_id"], outer=2, inner=2)
+    return stats.confusion(found.predictions, "label", "prediction")
+
+
 def model_compare(spark, folder):
     rows = prepared(spark, folder)
     fits = {
@@ -176,7 +189,7 @@ def ols_models(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, model_compare,
+        logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, nested_confusion, model_compare,
         pdp_category, pdp_numeric, kmeans_k_sweep, bisecting_groups, ols_multi, ols_coefficients, ols_models,
     )
 }

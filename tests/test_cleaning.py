@@ -89,6 +89,10 @@ def test_recode_and_bands(spark):
     assert apply(spark, [12, 2, 3, 8, 9, None], recode.season, "int") == ["Winter", "Winter", "Spring", "Summer", "Fall", None]
 
 
+def test_rescaled(spark):
+    assert apply(spark, [1800.0, 190164.0, None], lambda c: recode.rescaled(c, 9000, 1000), "double") == [1800.0, 190.164, None]
+
+
 def test_time_bands_and_weekends(spark):
     hours = [D(2024, 1, 3, h) for h in (22, 23, 0, 1, 2, 6, 10, 14, 18, 21)]
     got = apply(spark, hours, lambda c: recode.time_band(c, list("abcdef")), "timestamp_ntz")
