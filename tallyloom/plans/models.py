@@ -114,7 +114,7 @@ def nested_confusion(spark, folder):
     candidates = []
     for width in (64, 10):
         columns = VectorAssembler(inputCols=[f"e{i}" for i in range(width)], outputCol="features")
-        candidates.append((Pipeline(stages=[columns, models.forest("label", numTrees=10, maxDepth=5)]), [{}]))
+        candidates.append((Pipeline(stages=[columns, models.forest("label", numTrees=10, maxDepth=3)]), [{}]))
     found = models.nested_cv(vectors, candidates, evaluator, "label", ["vec_id"], outer=2, inner=2)
     return stats.confusion(found.predictions, "label", "prediction")
 

@@ -26,7 +26,7 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def cell(value: object) -> object:
-    if value is None or (isinstance(value, float) and value != value) or value is pd.NaT:
+    if value is None or (isinstance(value, float) and value != value) or value is pd.NaT or value is pd.NA:
         return None
     if hasattr(value, "item"):
         value = value.item()
@@ -46,7 +46,8 @@ def differences(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | Non
     kinds = {
         c: (spark_frame[c].dtype.kind, sql_frame[c].dtype.kind)
         for c in spark_frame.columns
-        if len(spark_frame) and spark_frame[c].dtype != sql_frame[c].dtype
+        # columns with nulls change their pandas type, so only full ones are compared
+        if len(spark_frame) and spark_frame[c].notna().all() and spark_frame[c].dtype != sql_frame[c].dtype
     }
     ours, theirs = rows(spark_frame), rows(sql_frame)
     if ours != theirs:
