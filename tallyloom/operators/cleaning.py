@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from tallyloom.functions import recode, timestamps
 from tallyloom.operators import aggregates, ordering, relational
 
+# Fixed values of the record files.
+MISSING = 9999
+HEAD_INJURY_CODES = {"HI": 1, "Non HI": 0, "": 99}
+DIED_IN_ER = ["1", "6"]
+DIED_ON_WARD = ["6"]
+REMOVED_SEX = "0"
+UNKNOWN_VEHICLE = "Other than Specified"
+AGES = (0, 100)
+BODY_REGIONS = ["br1", "br2", "br3", "br4", "br5"]
+
 
 def within(col: Column, lo: object, hi: object) -> Column:
     """Plausible-range test: false, not null, for missing and out-of-range values."""
@@ -73,19 +83,20 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
 def head_injury(df: DataFrame, text: str, regions: Sequence[str]) -> DataFrame:
     """Head-injury flag from its text column, or per row from the body-region codes when that column is absent."""
     if text in df.columns:
-        flag = recode.recode(F.col(text), {"HI": 1, "Non HI": 0, "": 99}, F.col(text).try_cast("int"))
+        flag = recode.recode(F.col(text), HEAD_INJURY_CODES, F.col(text).try_cast("int"))
         return df.withColumn(text, flag)
     return df.withColumn(text, recode.any_set(*[F.col(c) for c in regions]))
 
 
 def deceased(er_outcome: Column, ward_outcome: Column) -> Column:
-    """1 for outcome 1 or 6 in the emergency room or outcome 6 on the ward."""
-    return F.when(F.coalesce(er_outcome.isin("1", "6"), F.lit(False)) | F.coalesce(ward_outcome == "6", F.lit(False)), 1).otherwise(0)
+    """1 when either the emergency room's or the ward's outcome means death, else 0 (also when both are missing)."""
+    died = F.coalesce(er_outcome.isin(DIED_IN_ER), F.lit(False)) | F.coalesce(ward_outcome.isin(DIED_ON_WARD), F.lit(False))
+    return died.cast("int")
 
 
 def clean_records(
     df: DataFrame, names: DataFrame, ids: DataFrame, risk_cols: Sequence[str], risk_junk: Sequence[str],
-    vehicle_junk: Sequence[str], drop: Sequence[str], missing: int = 9999,
+    vehicle_junk: Sequence[str], drop: Sequence[str], missing: int = MISSING,
 ) -> DataFrame:
     """One lazy plan for a raw yearly file: dates, place, codes, flags and column pruning."""
     placed = relational.lookup_fallback(df, "prov", "aplace", names, ids, "_place")
@@ -99,7 +110,7 @@ def clean_records(
         "age": F.col("age").try_cast("double"),
         "deceased": deceased(F.col("staer"), F.col("staward")),
     })
-    return head_injury(filled, "head_injury", [f"br{i}" for i in range(1, 6)]).drop("_place", *drop)
+    return head_injury(filled, "head_injury", BODY_REGIONS).drop("_place", *drop)
 
 
 def study_records(
@@ -108,14 +119,18 @@ def study_records(
 ) -> DataFrame:
     """Cleaned records of all years to the study table: filters, dedup, labels, calendar columns.
 
-    ``vehicles`` has (code, label); ``status`` maps a risk column to its label column and labels.
+    ``vehicles`` has (code, label); ``status`` maps a risk column to its label column and labels. Copies of a row pass
+    or fail a filter together, so the filters come first and the whole-row comparison shuffles less.
     """
-    known = dedup_by_year(df.where(~F.col("sex").eqNullSafe("0")), "adate")
-    labelled = relational.code_labels(known.withColumn("injt", F.col("injt").cast("string")), "injt", vehicles, "code", "label", "veh_desc", "Other than Specified")
-    kept = labelled.where(within(F.col("age"), 0, 100)).where(
-        within(F.col("adate"), F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    kept = (
+        df.where(~F.col("sex").eqNullSafe(REMOVED_SEX))
+        .where(within(F.col("age"), *AGES))
+        .where(within(F.col("adate"), F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+        .dropDuplicates()
+        .withColumn("injt", F.col("injt").cast("string"))
     )
-    return kept.withColumns({
+    labelled = relational.code_labels(kept, "injt", vehicles, "code", "label", "veh_desc", UNKNOWN_VEHICLE)
+    return labelled.withColumns({
         "year": F.year("adate"),
         "weekday": F.date_format("adate", "EEEE"),
         "weekend": F.when(recode.is_weekend(F.col("adate")), "Weekend").otherwise("Weekday"),
