@@ -71,5 +71,6 @@ def any_set(*cols: Column) -> Column:
 
 
 def base_level_rank(col: Column, order: Sequence[str]) -> Column:
-    """Position in a fixed level order (named levels first), for sorting and for choosing the base level."""
-    return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in order]), col), F.lit(0)).cast("int")
+    """Position in a fixed level order, for sorting and for choosing the base level; other levels come last."""
+    place = F.array_position(F.array(*[F.lit(v) for v in order]), col)
+    return F.when(place > 0, place).otherwise(len(order) + 1).cast("int")

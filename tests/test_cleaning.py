@@ -89,6 +89,10 @@ def test_recode_and_bands(spark):
     assert apply(spark, [12, 2, 3, 8, 9, None], recode.season, "int") == ["Winter", "Winter", "Spring", "Summer", "Fall", None]
 
 
+def test_level_order(spark):
+    assert apply(spark, ["b", "a", "z", None], lambda c: recode.base_level_rank(c, ["a", "b"])) == [2, 1, 3, 3]
+
+
 def test_rescaled(spark):
     assert apply(spark, [1800.0, 190164.0, None], lambda c: recode.rescaled(c, 9000, 1000), "double") == [1800.0, 190.164, None]
 

@@ -123,3 +123,10 @@ def test_ols_equals_the_closed_form(spark):
     q = fit.quality.first()
     assert q.aic == pytest.approx(n * numpy.log(rss[0] / n) + 2 * 6, rel=1e-6)
     assert q.rmse == pytest.approx((rss[0] / n) ** 0.5, rel=1e-6)
+
+
+def test_star_joins_every_dimension(spark, rows):
+    fact = frame(spark, [(1, 7, 2), (1, 8, 3), (9, 7, 4)], "s int, p int, q int")
+    sellers, goods = frame(spark, [(1, "ann")], "s int, seller string"), frame(spark, [(7, "milk"), (8, "tv")], "p int, item string")
+    assert rows(relational.star(fact, [(sellers, "s"), (goods, "p")]), "seller", "item", "q") == [("ann", "milk", 2), ("ann", "tv", 3)]
+    assert relational.star(fact, [(sellers, "s")], "left").count() == 3
