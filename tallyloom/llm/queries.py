@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, packing, quality, token_counts, token_output
+from tallyloom.llm import chat, decontamination, packing, quality, token_counts, token_output
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,39 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, with_ids=False)
 
 
+@registered
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return decontamination.contamination(docs, table(spark, folder, "benchmark", "item_id", "text"))
+
+
+ORACLE["op3_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), v AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[i:i + 9], ' ') AS gram
+  FROM b, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS u(i) WHERE len(words) > 0
+), g AS (
+  SELECT doc_id, i, s.size, array_to_string(words[i:i + s.size - 1], ' ') AS gram
+  FROM d, (SELECT DISTINCT size FROM v) AS s, unnest(range(1, len(words) - s.size + 2)) AS u(i)
+), o AS (
+  SELECT doc_id, i, g.size, item_id FROM g JOIN v ON v.gram = g.gram AND v.size = g.size
+), h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM o, unnest(range(i, i + size)) AS u(p) GROUP BY doc_id
+), n AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 @registered
 def op4_token_output(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
