@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, packing, quality, token_counts, token_output
+from tallyloom.llm import chat, decontamination, language_id, packing, quality, token_counts, token_output
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+@registered
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~language_id.is_held_out()))
+    return language_id.identify(docs, model).withColumn("held_out", language_id.is_held_out())
+
+
 @registered
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
