@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, language_id, packing, quality, token_counts, token_output
+from tallyloom.llm import chat, decontamination, language_id, packing, quality, suffix_dedup, token_counts, token_output
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
     return query
 
 
+@registered
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, folder, "documents", "doc_id", "text"), with_kept=False)
+
+
 @registered
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
