@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, language_id, packing, quality, suffix_dedup, token_counts, token_output
+from tallyloom.llm import chat, decontamination, language_id, ngram_join, packing, quality, suffix_dedup, token_counts, token_output
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,11 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, model).withColumn("held_out", language_id.is_held_out())
 
 
+@registered
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.linked_groups(table(spark, folder, "documents", "doc_id", "text"))
+
+
 @registered
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
