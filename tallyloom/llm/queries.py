@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, language_id, ngram_join, packing, quality, suffix_dedup, token_counts, token_output
+from tallyloom.llm import chat, decontamination, language_id, ngram_join, packing, quality, suffix_dedup, token_counts, token_output, warc
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,26 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked_groups(table(spark, folder, "documents", "doc_id", "text"))
 
 
+@registered
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    records = warc.archived(spark, pages, shared_folder(spark, "warc")).filter("gap IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op9_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+
 @registered
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
