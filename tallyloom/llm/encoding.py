@@ -10,6 +10,7 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from functools import lru_cache
 
 # The code points with the Unicode property White_Space, which the library's \s stands for.
@@ -18,7 +19,10 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 BYTE_LEVEL = re.compile(f"[{WHITE}]+(?![^{WHITE}])| ?[^{WHITE}]+|[{WHITE}]")
 # White space is dropped, so any cut at a space or line end is safe.
 DROPPING = re.compile("[^ \n]+")
-KEPT_PIECES = 400_000
+CUT = "\x01"
+MARKS = ",.\n"
+MARK_PAIRS = (",,", ",.", ".,", "..", "\n\n")
+KEPT_PLAIN, KEPT_OTHERS = 800_000, 100_000
 
 
 class Encoder:
@@ -35,7 +39,8 @@ class Encoder:
             described = json.load(file)
         self.special = [token["content"] for token in described["added_tokens"]]
         self.cut = _safe_cut(described)
-        self.seen: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = self._marks() if self.cut else {}
+        self.other: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -61,42 +66,58 @@ class Encoder:
                 begin = end + 1
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.seen) > KEPT_PIECES:  # frequent pieces are short ones
-            self.seen = {piece: ids for piece, ids in self.seen.items() if len(piece) < 9}
-        if len(self.seen) > KEPT_PIECES:
-            self.seen = {}
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.seen]
-        self.seen.update(zip(new, self._encode_pieces(new), strict=True))
-
     def pack(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.cut is None or any(special in text for special in self.special):
             return self._encode([text])[0]
-        if self.cut is DROPPING:
-            pieces = text.replace("\n", " ").split(" ")
-            self.seen.setdefault("", b"")
-        else:
-            pieces = _spaced_pieces(text) or self.cut.findall(text)
-        try:
-            return b"".join(map(self.seen.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-        return b"".join([self.seen.get(piece, b"") for piece in pieces])
-
-
-def _spaced_pieces(text: str) -> list[str] | None:
-    """Byte-level pieces of a text whose words are parted by one space or line end each; None for any other text."""
-    words = text.split()
-    if sum(map(len, words)) + text.count(" ") + text.count("\n") != len(text) or len(words) != text.count(" ") + text.count("\n") + 1:
+        pieces = _plain_pieces(text)
+        if pieces is not None:
+            try:
+                return b"".join(map(self.plain.__getitem__, pieces))
+            except KeyError:
+                if self._learn_plain(pieces):
+                    return b"".join(map(self.plain.__getitem__, pieces))
+        pieces = self.cut.findall(text)
+        if len(self.other) > KEPT_OTHERS:
+            self.other.clear()
+        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.other]
+        self.other.update(zip(new, self._encode_pieces(new), strict=True))
+        return b"".join(map(self.other.__getitem__, pieces))
+
+    def _learn_plain(self, pieces: list[str]) -> bool:
+        """Encode what is new, unless a piece is something else than letters and digits behind at most one space."""
+        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.plain]
+        if not all(map(_is_plain, new)):
+            return False
+        if len(self.plain) > KEPT_PLAIN:  # frequent words are short
+            self.plain = {piece: ids for piece, ids in self.plain.items() if len(piece) < 11}
+            if len(self.plain) > KEPT_PLAIN // 2:
+                self.plain = self._marks()
+            new = [piece for piece in dict.fromkeys(pieces) if piece not in self.plain]
+        self.plain.update(zip(new, self._encode_pieces(new), strict=True))
+        return True
+
+    def _marks(self) -> dict[str, bytes]:
+        return dict(zip(["", *MARKS], [b"", *self._encode(list(MARKS))], strict=True))
+
+
+def _is_plain(piece: str) -> bool:
+    """Letters and digits behind at most one space, also once normalised and in lower case."""
+    bare = piece[1:] if piece[0] == " " else piece
+    return bare.isalnum() and unicodedata.normalize("NFC", bare).lower().isalnum()
+
+
+def _plain_pieces(text: str) -> list[str] | None:
+    """A text cut before spaces, commas, full stops and around line ends; None where that is not safe for any of the patterns.
+
+    It is safe if all other pieces are letters and digits and no two marks follow one another.
+    """
+    if CUT in text or any(pair in text for pair in MARK_PAIRS):
         return None
-    pieces: list[str] = []
-    for line in text.split("\n"):
-        first, *rest = line.split(" ")
-        pieces += ["\n", first]
-        pieces += [" " + word for word in rest]
-    return pieces[1:]
+    for mark in ",.":
+        text = text.replace(mark, CUT + mark)
+    return text.replace(" ", CUT + " ").replace("\n", CUT + "\n" + CUT).split(CUT)
 
 
 def _safe_cut(described: dict) -> re.Pattern | None:
