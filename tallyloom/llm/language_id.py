@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import stored
 
@@ -250,8 +251,8 @@ def limit(model: Model, language: str, characters: int) -> float:
     return mean + 0.5 + 6 * deviation + 6 * spread / characters**0.5
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, cross_entropy, rejected) of every (doc_id, text) row."""
+def identify(docs: DataFrame, model: Model, passing: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, lang_pred, score, cross_entropy, rejected) of every (doc_id, text) row, and the columns to pass on."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator) -> Iterator:
@@ -270,8 +271,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 scores.append(float(1.0 / share.sum()))
                 lowest.append(float(entropy[best]))
                 rejected.append(bool(entropy[best] > limit(model, names[-1], n)))
-            columns = [rows.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lowest, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
-
-    schema = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+            columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lowest, pa.float64()), pa.array(rejected, pa.bool_())]
+            given = [rows.column(0), *rows.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*given, *columns], ["doc_id", *passing, "lang_pred", "score", "cross_entropy", "rejected"])
+
+    given = docs.select("doc_id", F.col("text").alias("_text"), *passing)
+    schema = T.StructType([field for field in given.schema if field.name != "_text"])
+    for name, kind in (("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("rejected", "boolean")):
+        schema = schema.add(name, kind)
+    return given.mapInArrow(run, schema)

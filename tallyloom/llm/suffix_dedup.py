@@ -469,7 +469,7 @@ def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) ->
     stop[some] = high
 
 
-def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int, with_kept: bool) -> pd.DataFrame:
+def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int, with_kept: bool, passing: tuple[str, ...]) -> pd.DataFrame:
     """Remove covered bytes from the part's texts."""
     known = Repeated(messages[messages["kind"] >= 0], buckets)
     answers = messages[messages["kind"] < 0]
@@ -501,18 +501,22 @@ def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: in
         kept = text.data[~gone].tobytes()
         one = (text.doc, len(text.data), int(gone.sum()), int((edges > 0).sum()), hashlib.sha256(kept).hexdigest())
         out.append((*one, kept) if with_kept else one)
-    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept)
+    result = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept)
+    for name in passing:
+        result[name] = rows[name].to_numpy()
+    return result
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_parts: int = HOT_PARTS, with_kept: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_parts: int = HOT_PARTS, with_kept: bool = True, passing: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every (doc_id, text) row.
 
     ``doc_id`` is a whole number; rows without one count as one document that comes last. ``kept`` are the remaining bytes.
+    ``passing`` names text columns to pass on.
     """
     parts = part_count(docs)
     buckets = parts
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC))
-    dealt = docs.select(doc.alias("doc"), "text", in_parts(doc, parts).alias("part"))
+    dealt = docs.select(doc.alias("doc"), "text", in_parts(doc, parts).alias("part"), *(F.col(name).cast("string") for name in passing))
     sent = dealt.groupBy("part").applyInPandas(lambda rows: _send_anchors(rows, buckets, length, anchor), "bucket int, part int, several boolean, keys binary")
     repeated = sent.groupBy("bucket").applyInPandas(lambda rows: _repeated(rows, hot_parts), MESSAGE)
     around = (
@@ -521,9 +525,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, ho
         .applyInPandas(lambda rows, messages: _send_surroundings(rows, messages, buckets, length, anchor), SURROUNDINGS)
     )
     answers = around.groupBy("bucket").applyInPandas(lambda rows: _compare(rows, length, anchor), MESSAGE)
+    schema = RESULT + ", kept binary" * with_kept + "".join(f", `{name}` string" for name in passing)
     removed = (
         dealt.groupBy("part")
         .cogroup(repeated.unionByName(answers).groupBy("to_part"))
-        .applyInPandas(lambda rows, messages: _remove(rows, messages, buckets, length, anchor, with_kept), RESULT + ", kept binary" * with_kept)
+        .applyInPandas(lambda rows, messages: _remove(rows, messages, buckets, length, anchor, with_kept, passing), schema)
     )
     return removed.withColumn("doc_id", F.when(F.col("doc_id") != NO_DOC, F.col("doc_id")))
