@@ -39,8 +39,11 @@ def windows_of(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     words = items.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
     last = F.greatest(F.size("words") - size, F.lit(0))
     held = words.select("item_id", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("words", i + 1, size))).alias("words"))
-    held = held.withColumn("window_id", F.sha2(F.array_join("words", " "), 256))
-    return held.select("window_id", "words").dropDuplicates(["window_id"]), held.select("item_id", "window_id").distinct()
+    held = held.withColumn("line", F.array_join("words", " ")).dropDuplicates(["item_id", "line"])
+    windows = held.groupBy("line").agg(F.first("words").alias("words"))
+    windows = stored(windows.withColumn("window_id", F.monotonically_increasing_id()), "windows")  # numbers hold once stored
+    held = stored(held.select("item_id", "line").join(windows, "line").select("item_id", "window_id"), "window-items")
+    return windows.select("window_id", "words"), held
 
 
 def _bit(term: Column) -> tuple[Column, Column]:
@@ -66,14 +69,12 @@ def may_hold(term: Column, bits: DataFrame) -> Column:
     return F.getbit(F.element_at(bits.scalar(), number + 1), place) == 1
 
 
-def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, near: int | None = None) -> DataFrame:
+def occurrences(docs: DataFrame, windows: DataFrame, window: int = WINDOW, near: int | None = None) -> DataFrame:
     """(doc_id, text_hash, start, window_id, length): exact occurrences of windows; with ``near``, proximity matches also.
 
     A proximity match has every word of its window within ``near`` words beyond the window's size on either side of its
     rarest word; it is marked by ``exact`` = false and starts at that word.
     """
-    windows, _ = windows_of(items, window)
-    windows = stored(windows, "windows")
     places = windows.select("window_id", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
     reach = window - 1 + (near or 0)
 
@@ -81,48 +82,63 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, near: i
     tokens = texts.select(F.explode("words").alias("term"))
     counts = tokens.filter(may_hold(F.col("term"), bit_table(places.select("term").distinct()))).groupBy("term").count()
 
-    # The two rarest terms of each window, with the place of their first occurrence in it.
+    # The two rarest terms of each window, and how far the second stands behind the first. Windows that follow one another in
+    # an item mostly share them, so lists are intersected once per pair.
     rare = places.groupBy("window_id", "length", "term").agg(F.min("offset").alias("offset"))
     rare = rare.join(counts, "term", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    by_rarity = W.partitionBy("window_id").orderBy("count", "term")
-    rare = rare.withColumn("nth", F.row_number().over(by_rarity)).filter("nth <= 2")
-    lost = rare.groupBy("window_id").agg(F.min("count").alias("least")).filter("least = 0")  # a term never seen
-    rare = stored(rare.join(lost, "window_id", "left_anti"), "probes")
+    rare = rare.withColumn("nth", F.row_number().over(W.partitionBy("window_id").orderBy("count", "term"))).filter("nth <= 2")
+    nth = lambda n, name: F.max(F.when(F.col("nth") == n, F.col(name)))
+    rare = rare.groupBy("window_id", "length").agg(
+        F.min("count").alias("least"),
+        nth(1, "term").alias("term"),
+        nth(2, "term").alias("second"),
+        nth(1, "offset").alias("offset"),
+        (nth(2, "offset") - nth(1, "offset")).alias("behind"),
+    )
+    rare = stored(rare.filter("least > 0").drop("least"), "probes")  # a term never seen: no occurrence
+    pairs = rare.select("term", "second", "behind").distinct()
 
-    # Postings of those terms, stored with the words around them.
+    # Postings of those terms, stored; those of the rarest terms with the words around them.
     placed = texts.select("doc_id", "text_hash", "words", F.posexplode("words").alias("position", "term"))
-    placed = placed.filter(may_hold(F.col("term"), bit_table(rare.select("term").distinct())))
+    first_terms, second_terms = rare.select("term").distinct(), rare.select(F.col("second").alias("term")).filter("term IS NOT NULL").distinct()
+    placed = placed.filter(may_hold(F.col("term"), bit_table(first_terms.union(second_terms).distinct())))
     begin = F.greatest(F.col("position") - reach, F.lit(0))
-    around = F.slice("words", begin + 1, F.col("position") - begin + 1 + reach)
-    postings = placed.select("term", "doc_id", "text_hash", "position", (F.col("position") - begin).alias("before"), around.alias("around"))
-    postings = stored(postings.join(rare.select("term").distinct(), "term", "left_semi"), "postings")
-
-    first = rare.filter("nth = 1").join(windows, "window_id").select("window_id", "length", "term", "offset", "words")
-    found = first.join(postings, "term").withColumn("start", F.col("position") - F.col("offset"))
-    if near is not None:
-        close = found.filter(F.size(F.array_except("words", "around")) == 0)
-        close = close.select("doc_id", "text_hash", F.col("position").alias("start"), "window_id", "length", F.lit(False).alias("exact"))
-    second = rare.filter("nth = 2").select("window_id", F.col("term").alias("term2"), F.col("offset").alias("offset2"))
-    shifted = second.join(postings.select(F.col("term").alias("term2"), "doc_id", "text_hash", "position"), "term2")
-    shifted = shifted.select("window_id", "doc_id", "text_hash", (F.col("position") - F.col("offset2")).alias("start"))
-    alone = found.join(second.select("window_id"), "window_id", "left_anti")  # windows of one term only
-    both = _same_start(found, shifted)
-    from_start = F.slice("around", F.col("before") - F.col("offset") + 1, F.col("length"))
-    exact = both.unionByName(alone).filter((F.col("before") >= F.col("offset")) & (from_start == F.col("words")))
-    exact = exact.select("doc_id", "text_hash", "start", "window_id", "length").distinct()
-    return exact if near is None else exact.withColumn("exact", F.lit(True)).unionByName(close)
-
-
-def _same_start(found: DataFrame, shifted: DataFrame) -> DataFrame:
-    """Candidates of the first list that the second list has at the same start of the same text."""
-    right = shifted.select(*(F.col(c).alias(f"{c}2") for c in shifted.columns))
-    same = [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in ("doc_id",)] + [F.col(c) == F.col(f"{c}2") for c in ("text_hash", "start", "window_id")]
-    return found.join(right, same[0] & same[1] & same[2] & same[3], "left_semi")
-
-
-def hits(found: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_hash, n_hit, n_items, items_sha256) of the texts with occurrences."""
-    _, held = windows_of(items, window)
+    around = F.array_join(F.slice("words", begin + 1, F.col("position") - begin + 1 + reach), " ")
+    around = F.when(may_hold(F.col("term"), bit_table(first_terms)), around)
+    postings = stored(placed.select("term", "doc_id", "text_hash", "position", around.alias("around")), "postings")
+
+    # Intersect the lists of the two terms, the second shifted back.
+    first = pairs.join(postings.select("term", "doc_id", "text_hash", "position"), "term")
+    shifted = pairs.withColumnsRenamed({"term": "term1", "second": "second1", "behind": "behind1"}).join(
+        postings.select(F.col("term").alias("second1"), F.col("doc_id").alias("doc_id1"), F.col("text_hash").alias("hash1"), F.col("position").alias("at")), "second1"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id1")) & (F.col("text_hash") == F.col("hash1"))
+    same = same & (F.col("position") == F.col("at") - F.col("behind1"))
+    same = same & (F.col("term") == F.col("term1")) & (F.col("second") == F.col("second1")) & (F.col("behind") == F.col("behind1"))
+    met = first.join(shifted, same, "left_semi").unionByName(first.filter("second IS NULL"))
+
+    # What is left, for every window of the pair: compare all its words.
+    met = met.select("term", F.col("second").alias("second2"), F.col("behind").alias("behind2"), "doc_id", "text_hash", "position")
+    surrounded = postings.filter("around IS NOT NULL").select(*(F.col(c).alias(f"{c}_p") for c in postings.columns))
+    here = F.col("doc_id").eqNullSafe(F.col("doc_id_p")) & (F.col("text_hash") == F.col("text_hash_p")) & (F.col("position") == F.col("position_p"))
+    met = met.join(surrounded, here & (F.col("term") == F.col("term_p"))).select("term", "second2", "behind2", "doc_id", "text_hash", "position", F.split("around_p", " ").alias("around"))
+    told = rare.join(windows, "window_id")
+    paired = F.col("second").eqNullSafe(F.col("second2")) & F.col("behind").eqNullSafe(F.col("behind2"))
+    before = F.least(F.col("position"), F.lit(reach))
+    found = met.join(told, "term").filter(paired & (before >= F.col("offset")))
+    exact = found.filter(F.slice("around", before - F.col("offset") + 1, F.col("length")) == F.col("words"))
+    exact = exact.select("doc_id", "text_hash", (F.col("position") - F.col("offset")).alias("start"), "window_id", "length").distinct()
+    if near is None:
+        return exact
+    close = told.join(postings.filter("around IS NOT NULL"), "term").withColumn("around", F.split("around", " "))
+    close = close.filter(F.size(F.array_except("words", "around")) == 0)
+    close = close.select("doc_id", "text_hash", F.col("position").alias("start"), "window_id", "length", F.lit(False).alias("exact"))
+    return exact.withColumn("exact", F.lit(True)).unionByName(close)
+
+
+def hits(found: DataFrame, held: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_hit, n_items, items_sha256) of the texts with occurrences; ``held`` tells the items of windows."""
+    found = stored(found, "occurrences")
     spans = found.groupBy("doc_id", "text_hash", "start").agg(F.max("length").alias("length"))
     earlier = W.partitionBy("doc_id", "text_hash").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     end = F.col("start") + F.col("length")
@@ -143,7 +159,8 @@ def hits(found: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): words, words inside an occurrence, items that occur, and the verdict."""
-    marked = stored(hits(occurrences(docs, items, window), items, window), "hits")
+    windows, held = windows_of(items, window)
+    marked = hits(occurrences(docs, windows, window), held)
     marked = marked.withColumnsRenamed({"doc_id": "doc_id2", "text_hash": "text_hash2"})
     text = F.coalesce("text", F.lit(""))
     all_docs = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"))
