@@ -177,8 +177,8 @@ def _send_anchors(rows: pd.DataFrame, buckets: int, length: int, anchor: int) ->
         own, to = keys[several == flag], bucket[several == flag]
         by = np.argsort(to, kind="stable")
         own, to = own[by], to[by]
-        cuts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else []
-        for a, b in zip(cuts, [*cuts[1:], len(to)], strict=True):
+        cuts = np.flatnonzero(to[1:] != to[:-1]) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(to)], strict=True) if len(to) else ():
             # five bytes of each hash are enough to drop almost all anchors of one document; a chance match costs work only
             out.append((int(to[a]), int(rows["part"].iloc[0]), flag, _short(own[a:b], buckets)))
     return pd.DataFrame(out, columns=["bucket", "part", "several", "keys"])

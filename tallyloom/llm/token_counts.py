@@ -59,5 +59,6 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
     )
     picked = rows.join(missing, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("content") == F.col("wanted")))
     new = encoded_counts(picked, tokenizer)
+    new = new.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))  # rows may repeat with their id
     new.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     return keyed.join(cached_counts(spark, cache, version), "content").select("doc_id", "n_bytes", "n_tokens")
