@@ -261,8 +261,9 @@ def identify(docs: DataFrame, model: Model, passing: tuple[str, ...] = ()) -> Da
         model = shared.value
         for rows in batches:
             names, scores, lowest, rejected = [], [], [], []
-            for n, entropy, _ in scored(rows.column(1).to_pylist(), model):
-                if not n or not model.languages:
+            texts = rows.column(1).to_pylist()
+            for n, entropy, _ in scored(texts, model) if model.languages else [(0, np.empty(0), 0.0)] * len(texts):
+                if not n:
                     names.append("und"), scores.append(0.0), lowest.append(None), rejected.append(True)
                     continue
                 best = int(entropy.argmin())

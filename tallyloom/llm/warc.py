@@ -31,6 +31,7 @@ CHUNK = 1 << 20
 LEVEL = 4
 VERSION = b"WARC/1.1\r\n"
 DATE = "2024-01-01T00:00:00Z"
+SINGLE = {"warc-type", "warc-record-id", "content-length"}
 MEMBER = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -144,7 +145,10 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, int] | str:
         name, colon, value = line.partition(b":")
         if not colon:
             return "bad header line"
-        fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        key = name.decode("latin-1").strip().lower()
+        if key in fields and key in SINGLE:
+            return "header runs into another record"
+        fields[key] = value.decode("utf-8", "replace").strip()
     if not fields.get("content-length", "").isdigit():
         return "no length"
     stop = end + 4 + int(fields["content-length"])
