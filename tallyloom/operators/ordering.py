@@ -4,6 +4,9 @@ A window over a whole group puts the group in one task. The functions here first
 slots (value ranges or hash ranges), total every slot, and run the window inside one slot only. The
 slot totals are at most ``slots`` rows per group, so their own window stays small. Results are exact.
 
+Values are cut twice: the group's range into slots of equal width, and each slot's own range again, so that an outlier or a
+dense cluster fills many inner slots. Infinities only widen the outer range; NaN is no value and is left out with the nulls.
+
 A plan partitioned by the group also counts as partitioned by (group, slot), and Spark would then leave the
 group where it is. So slotted rows are repartitioned by (group, slot) explicitly.
 """
@@ -16,22 +19,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+LARGEST = 8e307  # stands for an infinity where the width of a range is needed
+
+
 def _spans(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str]) -> DataFrame:
     """Attach the group's smallest and largest order value (_lo, _hi) and the measures' totals (<m>_total)."""
-    parts = {"_lo": F.min(order), "_hi": F.max(order), **{f"{m}_total": F.sum(m) for m in measures}}
+    finite = F.greatest(F.least(F.col(order).cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
+    parts = {"_lo": F.min(finite), "_hi": F.max(finite), **{f"{m}_total": F.sum(m) for m in measures}}
     if by:
-        return df.join(df.groupBy(*by).agg(*[c.alias(n) for n, c in parts.items()]), list(by))
+        return attach(df, df.groupBy(*by).agg(*[c.alias(n) for n, c in parts.items()]), by, order)
     # a single group: one scalar subquery instead of a join without keys
     whole = df.agg(F.struct(*[c.alias(n) for n, c in parts.items()])).scalar()
     return df.withColumn("_span", whole).select(*df.columns, "_span.*")
 
 
 def value_slots(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int) -> DataFrame:
-    """Cut each group into ranges of equal width of a numeric column, as _slot; equal values share a slot."""
-    share = (F.col(order) - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double")
-    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * slots), F.lit(slots - 1))).otherwise(0)
-    placed = _spans(df, by, order, measures).withColumn("_slot", slot.cast("int")).drop("_lo", "_hi")
-    return placed.repartition(*by, "_slot")
+    """Cut each group into ranges of a numeric column, as _slot in their order; equal values share a slot."""
+    value = F.greatest(F.least(F.col(order).cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
+    share = (value - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * slots), F.lit(slots - 1))).otherwise(F.lit(0))
+    outer = _spans(df, by, order, measures).withColumn("_outer", slot.cast("long")).drop("_lo", "_hi")
+    inner = _spans(outer, [*by, "_outer"], order, []).withColumn("_slot", F.col("_outer") * slots + slot)
+    return inner.drop("_lo", "_hi", "_outer").repartition(*by, "_slot")
 
 
 def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -47,7 +56,7 @@ def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) ->
 
 
 def running_before(
-    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 16384
+    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 4096
 ) -> DataFrame:
     """Add ``<m>_before`` and ``<m>_total``: sums of each measure over smaller order values and over the group.
 
@@ -63,9 +72,9 @@ def running_before(
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Rows per group and value as (by, _v, n, _weighted), nulls left out; everything below works on these counts."""
+    """Rows per group and value as (by, _v, n, _weighted), nulls and NaN left out; everything below works on these counts."""
     return (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_weighted", F.col("_v") * F.col("n"))
@@ -83,7 +92,7 @@ def attach(df: DataFrame, per_group: DataFrame, by: Sequence[str], spread: str,
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 16384
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 4096
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and one column per entry of ``probs``.
 
@@ -154,7 +163,8 @@ def numbered(
     )
     inside = Window.partitionBy(*by, "_slot").orderBy("_h", *key)
     return (
-        hashed.join(offsets, [*by, "_slot"])
+        hashed.repartition(*by, "_slot")
+        .join(offsets, [*by, "_slot"])
         .withColumn("rn", F.col("_before") + F.row_number().over(inside))
         .drop("_h", "_slot", "_before")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,12 +37,15 @@ def only(df: DataFrame, entity: Sequence[str], item: str, allowed: Sequence[str]
 def divides(
     df: DataFrame, entity: Sequence[str], item: str, universe: DataFrame, exclude: Sequence[str] = ()
 ) -> DataFrame:
-    """Relational division: entities paired with every item of the universe, less the excluded ones."""
+    """Relational division: entities paired with every item of the universe, less the excluded ones.
+
+    Items outside the universe count for nothing.
+    """
+    universe = universe.select(item).distinct()
     if exclude:
-        df = df.where(~F.col(item).isin(list(exclude)))
         universe = universe.where(~F.col(item).isin(list(exclude)))
-    needed = universe.agg(F.countDistinct(item)).scalar()
-    return df.groupBy(*entity).agg(F.countDistinct(item).alias("_k")).where(F.col("_k") == needed).select(*entity)
+    needed = universe.agg(F.count(item)).scalar()
+    return df.join(universe, item, "left_semi").groupBy(*entity).agg(F.countDistinct(item).alias("_k")).where(F.col("_k") == needed).select(*entity)
 
 
 def membership_flag(df: DataFrame, other: DataFrame, key: Sequence[str], out: str) -> DataFrame:
@@ -105,9 +108,13 @@ def lookup_fallback(
 
 
 def largest_per_key(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """Rows that reach the largest value of their key, ties kept: one aggregate and a join, no window."""
-    best = df.groupBy(*key).agg(F.max(value).alias("_best"))
-    return df.join(best, list(key)).where(F.col(value) >= F.col("_best")).drop("_best")
+    """Rows that reach the largest value of their key, ties kept; expects rows already aggregated to a bounded number per key.
+
+    A rank, so that the aggregate below it is computed once; Spark drops rows of lower rank before the shuffle too.
+    """
+    ranked = df.where(F.col(value).isNotNull())
+    window = Window.partitionBy(*key).orderBy(F.desc(value))
+    return ranked.withColumn("_rank", F.rank().over(window)).where("_rank = 1").drop("_rank")
 
 
 def match_periods(

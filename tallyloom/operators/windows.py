@@ -8,6 +8,7 @@ must look at single readings, ``rolling_extremes``, works block by block.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,16 +140,32 @@ def largest_swing(extremes: DataFrame, by: Sequence[str]) -> DataFrame:
     return ranked.groupBy(*by).agg(best).select(*by, (-F.col("b.v")).alias("swing"), "b.start", "b.max_time", "b.min_time")
 
 
-def spine(members: DataFrame, period: str, start: str, end: str, step: str) -> DataFrame:
-    """Every member with every period from start to end (dates), so that empty periods have rows."""
-    periods = F.expr(f"sequence(DATE'{start}', DATE'{end}', INTERVAL {step})")
-    return members.distinct().select("*", F.explode(periods).alias(period))
+def spine(df: DataFrame, members: Sequence[str], period: str, step: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Every member of ``df`` with every period, so that empty periods have rows.
+
+    The axis runs from the first to the last period in ``df``; ``start`` and ``end`` (dates) can only lengthen it.
+    """
+    ends = df.agg(F.struct(F.min(period).alias("first"), F.max(period).alias("last"))).scalar()
+    axis = df.select(*members).distinct().withColumn("_ends", ends)
+    first = F.least(F.col("_ends.first"), F.lit(start).cast("date"))  # a null bound is passed over
+    last = F.greatest(F.col("_ends.last"), F.lit(end).cast("date"))
+    return axis.select(*members, F.explode(F.sequence(first, last, F.expr(f"INTERVAL {step}"))).alias(period))
 
 
-def densify(df: DataFrame, members: Sequence[str], period: str, start: str, end: str, step: str, measures: Sequence[str]) -> DataFrame:
-    """Left join onto the spine of the members present in ``df``; missing measures become zero."""
-    grid = spine(df.select(*members), period, start, end, step)
-    return grid.join(df, [*members, period], "left").na.fill(0, list(measures))
+def densify(
+    df: DataFrame, members: Sequence[str], period: str, step: str, measures: Sequence[str], start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """All rows of ``df`` and a row of zeros for every cell of the axis that has none.
+
+    Rows off the steps of the axis stay, and a measure that is null in ``df`` stays null. Periods are dates.
+    """
+    keys = [*members, period]
+    grid = spine(df, members, period, step, start, end).withColumnsRenamed({c: f"_cell_{c}" for c in keys})
+    same = [F.col(f"_cell_{c}").eqNullSafe(F.col(c)) for c in keys]
+    both = grid.join(df.withColumn("_given", F.lit(True)), reduce(lambda a, b: a & b, same), "full")
+    placed = [F.coalesce(f"_cell_{c}", c).alias(c) for c in keys]
+    rest = [c for c in df.columns if c not in keys]
+    return both.select(*placed, *[F.when(F.col("_given"), F.col(c)).otherwise(F.lit(0)).alias(c) if c in measures else c for c in rest])
 
 
 def parallel_period(df: DataFrame, by: Sequence[str], period: str, measure: str, n: int) -> DataFrame:

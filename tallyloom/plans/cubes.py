@@ -136,7 +136,7 @@ def olap_dense(spark, folder):
     inner = sales_cube(spark, folder).where(
         (F.col("category") == "PROMO") & (F.col("s_city") == "NATION_3") & F.year("day").between(1997, 1997)
     )
-    cells = inner.rows("product", "month").show("quantity").dense("month", "1997-01-01", "1997-12-01", "1 MONTH").result()
+    cells = inner.rows("product", "month").show("quantity").dense("month", "1 MONTH", "1997-01-01", "1997-12-01").result()
     return cells.select("product", F.col("month").cast("string").alias("month"), "quantity")
 
 
@@ -147,6 +147,11 @@ def olap_pivot(spark, folder):
     return sales_cube(spark, folder).rows("c_city").columns("category", TYPES).show("quantity").result()
 
 
+def olap_pivot_total(spark, folder):
+    """Two measures per product line across, with the row that stands for all cities."""
+    return sales_cube(spark, folder).rows("c_city").columns("category", TYPES).show("quantity", "transactions").with_total("c_city").result()
+
+
 def olap_all_member(spark, folder):
     return sales_cube(spark, folder).where(F.col("product") == "hot plate").rows("c_city").show("quantity").with_total("c_city").result()
 
@@ -156,7 +161,7 @@ def parallel_period_month(spark, folder):
     inner = sales_cube(spark, folder).where(
         (F.col("category") == "PROMO") & (F.col("day") >= F.lit("1996-12-01").cast("date")) & (F.col("day") < F.lit("1998-01-01").cast("date"))
     )
-    cells = inner.rows("product", "month").show("quantity").dense("month", "1996-12-01", "1997-12-01", "1 MONTH").result()
+    cells = inner.rows("product", "month").show("quantity").dense("month", "1 MONTH", "1996-12-01", "1997-12-01").result()
     grown = windows.parallel_period(cells, ["product"], "month", "quantity", 1)
     return grown.where("month >= DATE'1997-01-01'").select(
         "product", F.col("month").cast("string").alias("month"), "quantity", "previous", "net_growth"
@@ -164,16 +169,16 @@ def parallel_period_month(spark, folder):
 
 
 def parallel_period(spark, folder):
-    """Sales value by quarter against the same quarter one year earlier, with a money text."""
+    """Sales value by every quarter against the same quarter one year earlier (zero before the first), with a money text."""
     cells = (
         trade.transactions(spark, folder)
         .groupBy(F.trunc("day", "quarter").alias("quarter"))
         .agg((exact_sum(trade.line_value()) / 100).cast("decimal(30,2)").alias("value"))
         .withColumn("all_sales", F.lit("all"))
     )
-    dense = windows.densify(cells, ["all_sales"], "quarter", "1995-01-01", "2000-10-01", "3 MONTH", ["value"])
+    dense = windows.densify(cells, ["all_sales"], "quarter", "3 MONTH", ["value"])
     grown = windows.parallel_period(dense, ["all_sales"], "quarter", "value", 4)
-    return grown.where("quarter >= DATE'1996-01-01'").select(
+    return grown.select(
         F.col("quarter").cast("string").alias("quarter"),
         F.col("value").cast("double").alias("value"),
         F.col("previous").cast("double").alias("previous"),
@@ -190,7 +195,7 @@ def ytd(spark, folder):
         .groupBy("category", F.trunc("day", "month").alias("month"))
         .agg(F.sum("quantity").alias("quantity"))
     )
-    dense = windows.densify(monthly, ["category"], "month", "1997-01-01", "1997-12-01", "1 MONTH", ["quantity"])
+    dense = windows.densify(monthly, ["category"], "month", "1 MONTH", ["quantity"], "1997-01-01", "1997-12-01")
     running = windows.to_date(dense, ["category"], [F.year("month")], "month", "quantity", "ytd_units")
     cells = [F.coalesce(F.sum(F.when(F.col("category") == t, F.col("ytd_units"))), F.lit(0)).alias(t) for t in TYPES]
     return running.groupBy(F.col("month").cast("string").alias("month")).agg(*cells)
@@ -207,7 +212,7 @@ def _daily(spark, folder, start, end):
         .groupBy("product", "day")
         .agg(F.sum("quantity").alias("units"))
     )
-    return windows.densify(sold, ["product"], "day", start, end, "1 DAY", ["units"])
+    return windows.densify(sold, ["product"], "day", "1 DAY", ["units"], start, end)
 
 
 def mtd(spark, folder):
@@ -248,7 +253,7 @@ QUERIES = {
         cube_32, cube_base, cube_supplier_product, cube_state, cube_city_pair, cube_product_in_state,
         cube_product_state, cube_supplier_in_state, cube_supplier_consumer_states, cube_city_to_state,
         cube_one_supplier_city, cube_one_supplier_product, olap_crossjoin, olap_slicer, olap_subcube, olap_dense,
-        olap_pivot, olap_all_member, parallel_period_month, parallel_period, ytd, mtd, last_10_days, period_range,
+        olap_pivot, olap_pivot_total, olap_all_member, parallel_period_month, parallel_period, ytd, mtd, last_10_days, period_range,
         period_range_two_years,
     )
 }
@@ -303,6 +308,13 @@ LEFT JOIN g ON g.product = m.product AND DATE_TRUNC('month', g.day) = mon GROUP
     "olap_pivot": "SELECT c_city, "
     + ", ".join(f"CAST(SUM(CASE WHEN category = '{t}' THEN units ELSE 0 END) AS BIGINT) AS \"{t}\"" for t in TYPES)
     + " FROM f GROUP BY c_city",
+    "olap_pivot_total": "SELECT COALESCE(c_city, 'All') AS c_city, "
+    + ", ".join(
+        f"CAST(SUM(CASE WHEN category = '{t}' THEN units ELSE 0 END) AS BIGINT) AS \"quantity_{t}\", "
+        f"CAST(SUM(CASE WHEN category = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS \"transactions_{t}\""
+        for t in TYPES
+    )
+    + " FROM f GROUP BY ROLLUP (c_city)",
     "olap_all_member": """
 SELECT COALESCE(c_city, 'All') AS c_city, CAST(SUM(units) AS BIGINT) AS quantity FROM f WHERE product = 'hot plate'
 GROUP BY ROLLUP (c_city)""",
@@ -320,7 +332,8 @@ FROM d a JOIN d b ON a.product = b.product AND b.mon = a.mon - INTERVAL 1 MONTH"
 SELECT CAST(CAST(a.qtr AS DATE) AS VARCHAR) AS quarter, CAST(a.v AS DOUBLE) AS value, CAST(b.v AS DOUBLE) AS previous,
   CAST(a.v - b.v AS DOUBLE) AS net_growth,
   (CASE WHEN a.v < b.v THEN '-$' ELSE '$' END) || format('{:,.2f}', CAST(ABS(a.v - b.v) AS DOUBLE)) AS net_growth_text
-FROM g a JOIN g b ON b.qtr = a.qtr - INTERVAL 1 YEAR WHERE a.qtr <= DATE '2000-10-01'""",
+FROM (SELECT qtr, v FROM g UNION ALL SELECT x, 0 FROM UNNEST(generate_series((SELECT MIN(qtr) FROM g), (SELECT MAX(qtr) FROM g), INTERVAL 3 MONTH)) AS u(x)
+  WHERE x NOT IN (SELECT qtr FROM g)) a LEFT JOIN g b0 ON b0.qtr = a.qtr - INTERVAL 1 YEAR, LATERAL (SELECT COALESCE(b0.v, 0) AS v) b""",
     "ytd": ", g AS (SELECT DISTINCT DATE_TRUNC('month', day) AS mon FROM t WHERE YEAR(day) = 1997)\nSELECT CAST(CAST(mon AS DATE) AS VARCHAR) AS month, "
     + ", ".join(
         f"CAST((SELECT COALESCE(SUM(quantity), 0) FROM t JOIN p USING (prod_id) WHERE category = '{t}' AND YEAR(day) = 1997"

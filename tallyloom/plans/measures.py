@@ -8,7 +8,8 @@ from tallyloom.functions import recode
 from tallyloom.operators import aggregates, relational, stats
 from tallyloom.session import read_table
 
-PRICE_EDGES, PRICE_LABELS = [0, 18000, 30000, 45000, 60000], ["0-18", "19-30", "31-45", "46-60", "60+"]
+PRICE_EDGES = [0, 20000, 40000, 80000]
+PRICE_LABELS = [f"{low} to {high}" for low, high in zip(PRICE_EDGES, PRICE_EDGES[1:])] + [f"over {PRICE_EDGES[-1]}"]
 
 
 def rate_by_group(spark, folder):
@@ -154,8 +155,8 @@ SELECT ROUND((CAST((SELECT SUM(r) FROM k WHERE y = 1) AS DOUBLE) - p * (p + 1) /
 
 ORACLE = {
     "rate_by_group": """
-SELECT CASE WHEN l_extendedprice < 0 THEN NULL WHEN l_extendedprice <= 18000 THEN '0-18' WHEN l_extendedprice <= 30000 THEN '19-30'
-  WHEN l_extendedprice <= 45000 THEN '31-45' WHEN l_extendedprice <= 60000 THEN '46-60' ELSE '60+' END AS band,
+SELECT CASE WHEN l_extendedprice < 0 THEN NULL WHEN l_extendedprice <= 20000 THEN '0 to 20000' WHEN l_extendedprice <= 40000 THEN '20000 to 40000'
+  WHEN l_extendedprice <= 80000 THEN '40000 to 80000' ELSE 'over 80000' END AS band,
   COUNT(*) FILTER (WHERE l_returnflag = 'R') AS hits, COUNT(l_returnflag) AS total,
   CAST(COUNT(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / COUNT(l_returnflag) AS rate FROM lineitem GROUP BY 1""",
     "pivot_counts": """

@@ -41,6 +41,15 @@ def consumers(spark: SparkSession, folder: str) -> DataFrame:
     return c.join(places(spark, folder), "place_id").drop("place_id")
 
 
+def supplier_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names alone, without their places: a small table that Spark knows to be small."""
+    return read_table(spark, folder, "supplier").select(F.col("s_suppkey").alias("supp_id"), F.col("s_name").alias("supplier"))
+
+
+def consumer_names(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "customer").select(F.col("c_custkey").alias("con_id"), F.col("c_name").alias("consumer"))
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "part").select(
         F.col("p_partkey").alias("prod_id"),
@@ -178,11 +187,18 @@ def requested_in_all_cities_but(spark, folder):
     return found.join(products(spark, folder), "prod_id").select("prod_id", "product")
 
 
+def requested_in_whole_region(spark, folder):
+    """Products requested from every city of one region, whatever other cities ask for them."""
+    asked = lines(spark, folder).join(sales_with_consumers(spark, folder).select("order_id", "city"), "order_id").select("prod_id", "city").distinct()
+    found = relational.divides(asked, ["prod_id"], "city", places(spark, folder).where("state = 'EUROPE'"))
+    return found.join(products(spark, folder), "prod_id").select("prod_id", "product")
+
+
 def largest_offer(spark, folder):
     best = relational.largest_per_key(offers(spark, folder), ["prod_id"], "quantity")
     return (
         best.join(products(spark, folder), "prod_id")
-        .join(suppliers(spark, folder), "supp_id")
+        .join(supplier_names(spark, folder), "supp_id")
         .select("product", "supplier", "quantity")
         .distinct()
         .orderBy("product", "supplier")
@@ -256,8 +272,8 @@ def tx_by_triplet(spark, folder):
         .groupBy("supp_id", "con_id", "prod_id")
         .agg(exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
-        .join(suppliers(spark, folder).select("supp_id", "supplier"), "supp_id")
-        .join(consumers(spark, folder).select("con_id", "consumer"), "con_id")
+        .join(supplier_names(spark, folder), "supp_id")
+        .join(consumer_names(spark, folder), "con_id")
         .groupBy("supplier", "consumer", "product")
         .agg(from_cents(F.sum("value")).alias("total_value"))
     )
@@ -271,15 +287,15 @@ def monthly_sales(spark, folder):
         .groupBy(F.month("day").alias("month"), "supp_id", "con_id", "prod_id")
         .agg(F.count(F.lit(1)).alias("tx"), F.sum("quantity").alias("units"), exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
-        .join(suppliers(spark, folder).select("supp_id", "supplier"), "supp_id")
-        .join(consumers(spark, folder).select("con_id", "consumer"), "con_id")
+        .join(supplier_names(spark, folder), "supp_id")
+        .join(consumer_names(spark, folder), "con_id")
         .groupBy("month", "supplier", "consumer", "product")
         .agg(
             F.sum("tx").alias("transactions"),
             F.sum("units").alias("units"),
             from_cents(F.sum("value")).alias("total_value"),
         )
-        .orderBy("month")
+        .orderBy("month", "supplier", "consumer", "product")
     )
 
 
@@ -333,6 +349,7 @@ QUERIES = {
         cities_without_offers,
         requested_by_all,
         requested_in_all_cities_but,
+        requested_in_whole_region,
         largest_offer,
         best_city_per_product,
         count_by_category,
@@ -378,6 +395,10 @@ HAVING COUNT(DISTINCT city || '/' || segment) = (SELECT COUNT(DISTINCT city || '
     "requested_in_all_cities_but": """
 SELECT prod_id, product FROM r JOIN p USING (prod_id) JOIN c USING (con_id) WHERE state <> 'ASIA'
 GROUP BY prod_id, product HAVING COUNT(DISTINCT state) = (SELECT COUNT(DISTINCT state) FROM pl WHERE state <> 'ASIA')""",
+    "requested_in_whole_region": """
+SELECT prod_id, product FROM p WHERE NOT EXISTS (
+  SELECT 1 FROM pl WHERE state = 'EUROPE' AND NOT EXISTS (
+    SELECT 1 FROM r JOIN c USING (con_id) WHERE r.prod_id = p.prod_id AND c.city = pl.city))""",
     "largest_offer": """
 SELECT DISTINCT product, supplier, quantity FROM o JOIN p USING (prod_id) JOIN s USING (supp_id)
 WHERE quantity >= (SELECT MAX(o2.quantity) FROM o o2 WHERE o2.prod_id = o.prod_id)""",

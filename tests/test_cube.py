@@ -56,5 +56,12 @@ def test_olap_rows_columns_slicers_and_totals(facts, rows):
     cube = Cube(facts, {"quantity": F.sum("q"), "n": F.count(F.lit(1))})
     assert rows(cube.rows("st").result()) == [("IL", 7, 1), ("WI", 12, 4)]
     assert rows(cube.where(F.col("st") == "WI").sub(F.col("cst") == "IL").rows("p").show("quantity").result()) == [("milk", 7), ("tv", 1)]
-    assert rows(cube.rows("st").columns("p", ["milk", "tv", "car"]).result()) == [("IL", 7, 0, 0), ("WI", 7, 5, 0)]
+    assert rows(cube.rows("st").columns("p", ["milk", "tv", "car"]).show("quantity").result()) == [("IL", 7, 0, 0), ("WI", 7, 5, 0)]
     assert rows(cube.rows("st").show("quantity").with_total("st").result()) == [("All", 19), ("IL", 7), ("WI", 12)]
+
+
+def test_pivot_of_two_measures_with_a_total(facts, rows):
+    cube = Cube(facts, {"q": F.sum("q"), "n": F.count(F.lit(1))}).rows("st").columns("p", ["milk", "t'v", "tv"]).with_total("st")
+    found = cube.result()
+    assert found.columns == ["st", "q_milk", "q_t'v", "q_tv", "n_milk", "n_t'v", "n_tv"]
+    assert rows(found) == [("All", 14, 0, 5, 3, 0, 2), ("IL", 7, 0, 0, 1, 0, 0), ("WI", 7, 0, 5, 2, 0, 2)]

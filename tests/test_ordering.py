@@ -77,3 +77,34 @@ def test_auc_random(spark):
 
 def test_auc_of_one_class_is_null(spark):
     assert stats.auc(spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double"), "y", "s").first()[0] is None
+
+
+@pytest.mark.parametrize("values", [
+    [i / 1e6 for i in range(20_000)] + [1e9],
+    [i / 1e6 for i in range(20_000)] + [float("inf"), float("-inf")],
+    [0.5 + i / 1e9 for i in range(20_000)] + [0.0, 1.0],
+])
+def test_slots_stay_small_beside_outliers_and_clusters(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    placed = ordering.value_slots(df.withColumn("n", F.lit(1)), [], "v", ["n"], 4096)
+    sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.avg("n")).first()
+    assert sizes[0] <= 10 * sizes[1]
+    found = ordering.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
+    ordered = sorted(values)
+    middle = (ordered[(len(values) - 1) // 2] + ordered[len(values) // 2]) / 2
+    assert found == pytest.approx(middle, rel=1e-12)
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    assert ordering.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 2.0
+
+
+def test_numbering_splits_a_group_although_the_input_is_partitioned_by_it(spark):
+    df = spark.range(2000).select("id", F.lit("one").alias("g")).repartition(4, "g")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = ordering.numbered(df, ["g"], ["id"]).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1

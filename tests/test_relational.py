@@ -130,3 +130,10 @@ def test_star_joins_every_dimension(spark, rows):
     sellers, goods = frame(spark, [(1, "ann")], "s int, seller string"), frame(spark, [(7, "milk"), (8, "tv")], "p int, item string")
     assert rows(relational.star(fact, [(sellers, "s"), (goods, "p")]), "seller", "item", "q") == [("ann", "milk", 2), ("ann", "tv", 3)]
     assert relational.star(fact, [(sellers, "s")], "left").count() == 3
+
+
+def test_division_ignores_items_outside_the_universe(spark, rows):
+    have = spark.createDataFrame([("a", i) for i in "xyz"] + [("b", i) for i in "xzq"] + [("c", "q")], "e string, i string")
+    universe = spark.createDataFrame([(i,) for i in "xyzx"], "i string")
+    assert rows(relational.divides(have, ["e"], "i", universe)) == [("a",)]
+    assert rows(relational.divides(have, ["e"], "i", universe, exclude=["y"])) == [("a",), ("b",)]

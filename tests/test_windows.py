@@ -74,7 +74,7 @@ def test_best_window_tie_goes_to_the_earlier_day(spark):
 
 def test_dense_periods_previous_and_growth(spark, rows):
     df = spark.createDataFrame([("p", dt.date(2023, 12, 1), 5), ("p", dt.date(2024, 2, 1), 7)], "product string, month date, q long")
-    dense = windows.densify(df, ["product"], "month", "2023-12-01", "2024-03-01", "1 MONTH", ["q"])
+    dense = windows.densify(df, ["product"], "month", "1 MONTH", ["q"], "2023-12-01", "2024-03-01")
     grown = windows.parallel_period(dense, ["product"], "month", "q", 1)
     assert rows(grown, "month", "q", "previous", "net_growth") == [
         (dt.date(2023, 12, 1), 5, 0, 5), (dt.date(2024, 1, 1), 0, 5, -5), (dt.date(2024, 2, 1), 7, 0, 7), (dt.date(2024, 3, 1), 0, 7, -7),
@@ -93,3 +93,11 @@ def test_to_date_restarts_and_trailing_crosses_months(spark):
 def test_rank_keeps_ties(spark, rows):
     df = spark.createDataFrame([("a", "x", 3), ("a", "y", 3), ("a", "z", 1), ("b", "x", 1)], "p string, c string, q int")
     assert rows(windows.rank_top(df, ["p"], [F.desc("q")]), "p", "c") == [("a", "x"), ("a", "y"), ("b", "x")]
+
+
+def test_dense_axis_keeps_every_fact_and_every_null(spark, rows):
+    facts = [("p", dt.date(2021, 1, 1), 5), ("p", dt.date(2021, 3, 1), None), ("q", dt.date(2021, 2, 14), 7), (None, dt.date(2021, 2, 1), 1)]
+    df = spark.createDataFrame(facts, "product string, month date, q long")
+    found = {(r.product, r.month): r.q for r in windows.densify(df, ["product"], "month", "1 MONTH", ["q"], "2021-02-01").collect()}
+    assert all(found[(p, m)] == q for p, m, q in facts)
+    assert len(found) == 3 * 3 + 1 and found[("q", dt.date(2021, 1, 1))] == 0  # the stray day is a row of its own
