@@ -5,6 +5,8 @@ strings of that length hold the same anchor at the same place: the k-byte string
 dealt by anchors: an anchor that occurs in one document only is left out, and around every other one its surroundings, the
 bytes of all strings that hold it, are compared.
 
+0. Equal whole texts are one row from here on, that of their least document: the others share all its strings and are removed
+   whole. So large groups of copies cost a digest each.
 1. Each part of the texts sends the hashes of its anchors, packed and sorted, and learns which occur in several documents.
 2. It sends the surroundings of those, each distinct one once with its least document. A task gathers the surroundings of its
    anchors. Equal ones are settled by their least document; all suffixes of the different ones are sorted by a merge sort that
@@ -13,8 +15,8 @@ bytes of all strings that hold it, are compared.
    An anchor found in very many parts is not gathered: its surroundings are cut into single strings, dealt by their own hash.
 3. Each part looks its surroundings up among the answers and removes the covered bytes.
 
-What is shuffled: the texts once (the same exchange serves all three steps), five bytes per anchor, and surroundings once per
-part. Parts hold a few megabytes of text. Texts are whole UTF-8 byte strings, null is empty; a document shorter than
+What is shuffled: a digest per text, the texts once (the same exchange serves all three steps), five bytes per anchor, and
+surroundings once per part. Parts hold a few megabytes of text. Texts are whole UTF-8 byte strings, null is empty; a document shorter than
 ``length`` stays as it is. Rows that repeat an id do not count as different documents. An empty table gives no rows. Columns
 other than doc_id and text are left out, so no name can clash.
 """
@@ -29,18 +31,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import in_parts, part_count
+from tallyloom.llm.common import in_parts, part_count, stored
 
 LENGTH = 50
 ANCHOR = 20
-HOT_PARTS = 200  # an anchor found in more parts is dealt string by string
+HOT_PARTS = 1000  # an anchor found in more parts is dealt string by string
 BLOCK = 1 << 20  # bytes whose anchors are found at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
+LEADER, ANSWER = -2, -1  # kinds of messages; the others are numbers of buckets
 NO_DOC = np.iinfo("int64").max
 
 SURROUNDINGS = "bucket int, part int, keys binary, docs binary, shared binary, left binary, sizes binary, data binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-MESSAGE = "to_part int, kind int, keys binary, docs binary, spans binary"
+MESSAGE = "to_part int, kind int, doc long, keys binary, docs binary, spans binary"
 
 
 def _byte_values() -> np.ndarray:
@@ -147,16 +150,23 @@ def _packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
-def _texts(rows: pd.DataFrame, length: int, anchor: int) -> Iterator[Text]:
-    for doc, text in zip(rows["doc"].tolist(), rows["text"], strict=True):
+def _leaders(messages: pd.DataFrame) -> set[int]:
+    """The part's documents that are the least of their copies."""
+    return set(messages.loc[messages["kind"] == LEADER, "doc"].tolist())
+
+
+def _texts(rows: pd.DataFrame, leaders: set[int], length: int, anchor: int) -> Iterator[Text]:
+    """The part's texts, without copies of earlier ones."""
+    chosen = rows[rows["doc"].isin(leaders)]
+    for doc, text in zip(chosen["doc"].tolist(), chosen["text"], strict=True):
         data = b"" if text is None else text.encode("utf-8", "surrogatepass")
         yield Text(doc, data, length, anchor)
 
 
-def _send_anchors(rows: pd.DataFrame, buckets: int, length: int, anchor: int) -> pd.DataFrame:
+def _send_anchors(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int) -> pd.DataFrame:
     """Hashes of the part's anchors, packed by bucket: those of one document and those of several."""
     found, docs = [], []
-    for text in _texts(rows, length, anchor):
+    for text in _texts(rows, _leaders(messages), length, anchor):
         for _, keys, _, _ in text.blocks():
             keys = np.unique(keys)
             found.append(keys)
@@ -215,8 +225,8 @@ def _repeated(rows: pd.DataFrame, hot_parts: int) -> pd.DataFrame:
         hit = known[at] == one if len(known) else np.zeros(len(one), bool)
         if hit.any():
             data = _packed(one[hit].view("uint8").reshape(-1, 8)[:, :5])
-            out.append((int(part), bucket, data, _packed(spread[at[hit]].astype("uint8"))))
-    return pd.DataFrame(out, columns=["to_part", "kind", "keys", "spans"]).assign(docs=None)[["to_part", "kind", "keys", "docs", "spans"]]
+            out.append((int(part), bucket, 0, data, None, _packed(spread[at[hit]].astype("uint8"))))
+    return pd.DataFrame(out, columns=["to_part", "kind", "doc", "keys", "docs", "spans"])
 
 
 class Repeated:
@@ -251,9 +261,9 @@ def _strings(text: Text, places: np.ndarray, hashes: PrefixHashes, low: int) ->
 
 def _send_surroundings(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int) -> pd.DataFrame:
     """Distinct surroundings of repeated anchors with the least document of each, packed by bucket."""
-    known = Repeated(messages, buckets)
+    known = Repeated(messages[messages["kind"] >= 0], buckets)
     keys, docs, to, left, sizes, data = [], [], [], [], [], []
-    for text in _texts(rows, length, anchor):
+    for text in _texts(rows, _leaders(messages), length, anchor):
         for places, hashed, hashes, low in text.blocks():
             hit, hot = known.of(hashed)
             cold = hit & ~hot
@@ -406,8 +416,8 @@ def _compare(rows: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
         useful = covered[at] | (np.frombuffer(own, "int64") != least[at]) | np.frombuffer(shared, "bool")
         at = np.unique(at[useful & ~false[at]])
         if len(at):
-            out.append((int(part), -1, _packed(at_key[at]), _packed(least[at]), _packed(np.stack([begin[at], stop[at]], 1))))
-    return pd.DataFrame(out, columns=["to_part", "kind", "keys", "docs", "spans"])
+            out.append((int(part), ANSWER, 0, _packed(at_key[at]), _packed(least[at]), _packed(np.stack([begin[at], stop[at]], 1))))
+    return pd.DataFrame(out, columns=["to_part", "kind", "doc", "keys", "docs", "spans"])
 
 
 def _collisions(order: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -472,16 +482,20 @@ def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) ->
 def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int, with_kept: bool, passing: tuple[str, ...]) -> pd.DataFrame:
     """Remove covered bytes from the part's texts."""
     known = Repeated(messages[messages["kind"] >= 0], buckets)
-    answers = messages[messages["kind"] < 0]
+    answers = messages[messages["kind"] == ANSWER]
+    leaders = _leaders(messages)
     keys = np.concatenate([np.frombuffer(x, "uint64") for x in answers["keys"]] or [np.empty(0, "uint64")])
     least = np.concatenate([np.frombuffer(x, "int64") for x in answers["docs"]] or [np.empty(0, "int64")])
     spans = np.concatenate([np.frombuffer(x, "int16").reshape(-1, 2) for x in answers["spans"]] or [np.empty((0, 2), "int16")]).astype("int64")
     order = np.argsort(keys)
     keys, least, spans = keys[order], least[order], spans[order]
     out = []
-    for text in _texts(rows, length, anchor):
+    for text in _texts(rows, set(rows["doc"].tolist()), length, anchor):
         change = np.zeros(len(text.data) + 1, "int32")
-        for places, hashed, hashes, low in text.blocks() if len(keys) else ():
+        copy = text.doc not in leaders
+        if copy and len(text.data) >= length:
+            change[[0, -1]] = 1, -1
+        for places, hashed, hashes, low in text.blocks() if len(keys) and not copy else ():
             hit, hot = known.of(hashed)
             around = Surroundings(text, places[hit & ~hot], hashes, low)
             single_begin, single = _strings(text, places[hot], hashes, low)
@@ -516,19 +530,27 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, ho
     parts = part_count(docs)
     buckets = parts
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC))
+    content = F.sha2(F.coalesce("text", F.lit("")), 256).alias("content")
+    leaders = docs.select(doc.alias("doc"), content).groupBy("content").agg(F.min("doc").alias("doc")).select("doc").distinct()
+    leaders = leaders.select(in_parts("doc", parts).alias("to_part"), F.lit(LEADER).alias("kind"), "doc")
+    leaders = stored(leaders, "leaders")
     dealt = docs.select(doc.alias("doc"), "text", in_parts(doc, parts).alias("part"), *(F.col(name).cast("string") for name in passing))
-    sent = dealt.groupBy("part").applyInPandas(lambda rows: _send_anchors(rows, buckets, length, anchor), "bucket int, part int, several boolean, keys binary")
+    sent = (
+        dealt.groupBy("part")
+        .cogroup(leaders.groupBy("to_part"))
+        .applyInPandas(lambda rows, messages: _send_anchors(rows, messages, buckets, length, anchor), "bucket int, part int, several boolean, keys binary")
+    )
     repeated = sent.groupBy("bucket").applyInPandas(lambda rows: _repeated(rows, hot_parts), MESSAGE)
     around = (
         dealt.groupBy("part")
-        .cogroup(repeated.groupBy("to_part"))
+        .cogroup(repeated.unionByName(leaders, allowMissingColumns=True).groupBy("to_part"))
         .applyInPandas(lambda rows, messages: _send_surroundings(rows, messages, buckets, length, anchor), SURROUNDINGS)
     )
     answers = around.groupBy("bucket").applyInPandas(lambda rows: _compare(rows, length, anchor), MESSAGE)
     schema = RESULT + ", kept binary" * with_kept + "".join(f", `{name}` string" for name in passing)
     removed = (
         dealt.groupBy("part")
-        .cogroup(repeated.unionByName(answers).groupBy("to_part"))
+        .cogroup(repeated.unionByName(answers).unionByName(leaders, allowMissingColumns=True).groupBy("to_part"))
         .applyInPandas(lambda rows, messages: _remove(rows, messages, buckets, length, anchor, with_kept, passing), schema)
     )
     return removed.withColumn("doc_id", F.when(F.col("doc_id") != NO_DOC, F.col("doc_id")))
