@@ -22,7 +22,7 @@ DROPPING = re.compile("[^ \n]+")
 CUT = "\x01"
 MARKS = ",.\n"
 MARK_PAIRS = (",,", ",.", ".,", "..", "\n\n")
-KEPT_PLAIN, KEPT_OTHERS = 800_000, 100_000
+KEPT_PLAIN, KEPT_OTHERS = 800_000, 200_000
 
 
 class Encoder:
@@ -73,38 +73,59 @@ class Encoder:
             return self._encode([text])[0]
         pieces = _plain_pieces(text)
         if pieces is not None:
-            try:
-                return b"".join(map(self.plain.__getitem__, pieces))
-            except KeyError:
-                if self._learn_plain(pieces):
-                    return b"".join(map(self.plain.__getitem__, pieces))
-        pieces = self.cut.findall(text)
-        if len(self.other) > KEPT_OTHERS:
-            self.other.clear()
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.other]
-        self.other.update(zip(new, self._encode_pieces(new), strict=True))
-        return b"".join(map(self.other.__getitem__, pieces))
-
-    def _learn_plain(self, pieces: list[str]) -> bool:
-        """Encode what is new, unless a piece is something else than letters and digits behind at most one space."""
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.plain]
-        if not all(map(_is_plain, new)):
-            return False
+            found = list(map(self.plain.get, pieces))
+            new = {piece for piece, ids in zip(pieces, found, strict=True) if ids is None} if None in found else set()
+            if all(map(_is_plain, new)):
+                known = self._learn_plain(new)
+                return b"".join([known[piece] if ids is None else ids for piece, ids in zip(pieces, found, strict=True)] if new else found)
+        pieces = _words(text) or self.cut.findall(text)
+        found = list(map(self.other.get, pieces))
+        if None in found:
+            known = self._learn_other({piece for piece, ids in zip(pieces, found, strict=True) if ids is None})
+            found = [known[piece] if ids is None else ids for piece, ids in zip(pieces, found, strict=True)]
+        return b"".join(found)
+
+    def _learn_plain(self, new: set[str]) -> dict[str, bytes]:
+        """Encode new pieces of letters and digits behind at most one space."""
         if len(self.plain) > KEPT_PLAIN:  # frequent words are short
             self.plain = {piece: ids for piece, ids in self.plain.items() if len(piece) < 11}
             if len(self.plain) > KEPT_PLAIN // 2:
                 self.plain = self._marks()
-            new = [piece for piece in dict.fromkeys(pieces) if piece not in self.plain]
-        self.plain.update(zip(new, self._encode_pieces(new), strict=True))
-        return True
+        order = list(new)
+        known = dict(zip(order, self._encode_pieces(order), strict=True))
+        self.plain.update(known)
+        return known
+
+    def _learn_other(self, new: set[str]) -> dict[str, bytes]:
+        """Any other pieces: a plain one with a mark behind it takes the ids of both, the rest is encoded as it is."""
+        if len(self.other) > KEPT_OTHERS:
+            self.other.clear()
+        parts = {piece: (piece[:-1], piece[-1]) if piece[-1:] in (",", ".") and _is_plain(piece[:-1]) else (piece, "") for piece in new}
+        bases = {base for base, _ in parts.values()}
+        ids = {base: self.plain[base] for base in bases if base in self.plain}
+        ids.update(self._learn_plain({base for base in bases if base not in ids and _is_plain(base)}))
+        rest = [base for base in bases if base not in ids]
+        ids.update(zip(rest, self._encode_pieces(rest), strict=True))
+        known = {piece: ids[base] + self.plain[mark] for piece, (base, mark) in parts.items()}
+        self.other.update(known)
+        return known
 
     def _marks(self) -> dict[str, bytes]:
         return dict(zip(["", *MARKS], [b"", *self._encode(list(MARKS))], strict=True))
 
 
+def _words(text: str) -> list[str] | None:
+    """A text cut before spaces and around line ends; None where white space is anything but one of them between two words."""
+    words = text.split()
+    gaps = text.count(" ") + text.count("\n")
+    if CUT in text or len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
+        return None
+    return text.replace(" ", CUT + " ").replace("\n", CUT + "\n" + CUT).split(CUT)
+
+
 def _is_plain(piece: str) -> bool:
     """Letters and digits behind at most one space, also once normalised and in lower case."""
-    bare = piece[1:] if piece[0] == " " else piece
+    bare = piece.removeprefix(" ")
     return bare.isalnum() and unicodedata.normalize("NFC", bare).lower().isalnum()
 
 
