@@ -58,8 +58,12 @@ def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ho
         means = df.agg(F.struct(*[F.avg(c).alias(c) for c in numeric])).scalar()
         out = out.withColumn("_means", means)
         out = out.withColumns({c: F.coalesce(F.col(c), F.col("_means")[c]) for c in numeric}).drop("_means")
-    for c in numeric if how == "median" else ():
-        out = out.withColumn(c, F.coalesce(c, ordering.exact_quantiles(df, [], c, {"m": 0.5}).scalar()))
+    if numeric and how == "median":  # all columns as (column, value) rows, so that their medians come from one chain of jobs
+        stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in numeric])))
+        medians = ordering.exact_quantiles(stacked, ["column"], "value", {"m": 0.5})
+        lookup = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
+        out = out.withColumn("_medians", lookup)
+        out = out.withColumns({c: F.coalesce(F.col(c), F.col("_medians")[c]) for c in numeric}).drop("_medians")
     if categorical:
         found = aggregates.modes(df, categorical)
         lookup = found.agg(F.map_from_entries(F.collect_list(F.struct("column", "mode")))).scalar()

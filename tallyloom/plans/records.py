@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import divisions, recode, timestamps
 from tallyloom.operators import aggregates, cleaning, relational
-from tallyloom.session import read_table
+from tallyloom.session import checkpointed, read_table
 from tallyloom.sources import tables
 
 BAND_LABELS = ["22-01", "02-05", "06-09", "10-13", "14-17", "18-21"]
@@ -245,16 +245,104 @@ def stratified_sample(spark, folder):
     return picked.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("distinct_n"))
 
 
+RISKS = [f"risk{i}" for i in range(1, 6)]
+BRANCHES = [f"br{i}" for i in range(1, 6)]
+STUDY = ("2024-01-05", "2024-01-25 23:59:59")
+
+
+def raw_records(spark, folder):
+    """Events rendered as an all-text record file: two date layouts, places by name, by id or by neither, junk codes, copies."""
+    ts, n, user = F.col("ts"), F.col("event_id"), F.col("user_id")
+    text = F.when(F.col("event_type").isin("click", "view"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    risks = {c: F.element_at(F.array(*[F.lit(x) for x in ("0", "1", "2", "9", "N", "")]), ((n + i) % 6 + 1).cast("int")) for i, c in enumerate(RISKS)}
+    hurt = {c: F.when((n + i) % 7 == 0, "1").when((n + i) % 5 != 0, "0") for i, c in enumerate(BRANCHES)}
+    rows = read_table(spark, folder, "events").select(
+        "event_id",
+        text.otherwise(F.date_format(ts, "M/d/yyyy h:mm:ss a")).alias("adate"),
+        F.lit(None).cast("string").alias("atime"),
+        F.when(n % 4 != 0, F.concat(F.lit("NATION_"), (user % 25).cast("string"))).otherwise("??").alias("prov"),
+        (user % 27).cast("string").alias("aplace"),
+        (n % 3).cast("string").alias("sex"),
+        F.when(n % 17 == 0, "x").otherwise((n % 113 - 3).cast("string")).alias("age"),
+        F.lpad((n % 11 + 1).cast("string"), 2, "0").alias("injt"),
+        F.when(n % 5 == 0, "1").when(n % 5 == 1, "2").when(n % 5 == 2, "N").when(n % 5 == 4, "3").alias("injp"),
+        F.when(n % 3 == 1, "N").when(n % 3 == 2, "1").alias("mass_casualty"),
+        (n % 8).cast("string").alias("staer"),
+        (user % 8).cast("string").alias("staward"),
+        *[c.alias(name) for name, c in (risks | hurt).items()],
+    )
+    return rows.unionByName(rows.where("event_id % 10 = 0"))
+
+
+def _cleaned_records(spark, folder):
+    """Cleaned once and stored, as the rules that follow read the parsed times again and again."""
+    nation, region = read_table(spark, folder, "nation"), read_table(spark, folder, "region")
+    names = nation.join(region, nation.n_regionkey == region.r_regionkey).select(F.col("n_name").alias("name"), F.col("r_name").alias("label"))
+    ids = nation.select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
+    cleaned = cleaning.clean_records(
+        raw_records(spark, folder), names, ids, RISKS, ["N", "2", "9", "999", "902"], ["901", "902", "999"],
+        ["atime", "aplace", "staer", "staward", *BRANCHES],
+    )
+    return checkpointed(cleaned)
+
+
+def study_table(spark, folder):
+    """The record pipeline from text files to the study table."""
+    vehicles = read_table(spark, folder, "nation").where("n_nationkey <= 6").select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label"))
+    labels = {1: "Yes", 0: "No", cleaning.MISSING: "Unknown"}
+    status = {c: (f"status{c[-1]}", labels) for c in RISKS}
+    study = cleaning.study_records(_cleaned_records(spark, folder), vehicles, *STUDY, status, BAND_LABELS)
+    return study.withColumn("adate", F.date_format("adate", MINUTE))
+
+
+def _study_rules():
+    return {
+        "sex": ~F.col("sex").eqNullSafe(cleaning.REMOVED_SEX),
+        "age": cleaning.within(F.col("age"), *cleaning.AGES),
+        "window": cleaning.within(F.col("adate"), *[F.lit(t).cast("timestamp_ntz") for t in STUDY]),
+    }
+
+
+def study_audit(spark, folder):
+    """What each rule of the study removes."""
+    return aggregates.audit(_cleaned_records(spark, folder), _study_rules())
+
+
+def study_rejects(spark, folder):
+    """A seeded sample of twenty rejected records, checked by its size and by whether each fails a rule."""
+    rules = _study_rules()
+    passes = rules["sex"] & rules["age"] & rules["window"]
+    rejected = _cleaned_records(spark, folder).where(~passes)
+    sample = cleaning.sample_rows(rejected, 20, ["event_id"])
+    return sample.agg(F.count(F.lit(1)).alias("n"), F.sum(passes.cast("int")).alias("passing"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         std_timestamp, merged_timestamp, place_lookup_fallback, learn_dimension, code_cleanup, deceased_flag, dedup_by_year,
         dedup_counts, age_window_filter, audit_counts, weekend_flag, time_band, recode_default, model_subset, stack_reconciled,
         missing_pattern, impute_mean_mode, impute_median, race_time_fix, yoy_match, membership_flag, anti_reconcile,
-        stratified_sample,
+        stratified_sample, study_table, study_audit, study_rejects,
     )
 }
 
+_RECORDS = """WITH e AS (
+  SELECT *, date_trunc('minute', ts) AS moment, CASE WHEN event_id % 17 <> 0 THEN CAST(event_id % 113 - 3 AS DOUBLE) END AS age FROM events
+  UNION ALL SELECT *, date_trunc('minute', ts), CASE WHEN event_id % 17 <> 0 THEN CAST(event_id % 113 - 3 AS DOUBLE) END FROM events WHERE event_id % 10 = 0
+), k AS (
+  SELECT e.*, r.r_name AS prov FROM e
+  JOIN nation n ON CASE WHEN event_id % 4 <> 0 THEN n.n_name = 'NATION_' || (user_id % 25) ELSE n.n_nationkey = user_id % 27 END
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+), c AS (
+  SELECT count(*) AS n0, count(*) FILTER (WHERE event_id % 3 <> 0) AS n1, count(*) FILTER (WHERE event_id % 3 <> 0 AND age BETWEEN 0 AND 100) AS n2,
+    count(*) FILTER (WHERE event_id % 3 <> 0 AND age BETWEEN 0 AND 100 AND moment BETWEEN '2024-01-05' AND '2024-01-25 23:59:59') AS n3 FROM k
+)
+"""
+_STATUS = ", ".join(
+    f"CASE (event_id + {i}) % 6 WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' ELSE 'Unknown' END AS status{i + 1}" for i in range(5)
+)
+_HURT = " OR ".join(f"(event_id + {i}) % 7 = 0" for i in range(5))
 _GAPS = """WITH g AS (SELECT c_custkey, CASE WHEN c_nationkey > 3 THEN c_acctbal END AS balance,
   CASE WHEN c_nationkey < 20 THEN c_mktsegment WHEN c_nationkey < 23 THEN '' END AS segment FROM customer)
 """
@@ -335,6 +423,21 @@ WHERE b.n - a.n BETWEEN 0 AND 3 AND b.t - a.t <= 800000 AND a.t - b.t <= 500000"
 SELECT c_custkey, c_name, CAST(c_custkey IN (SELECT o_custkey FROM orders WHERE YEAR(o_orderdate) = 1997) AS INTEGER) AS bought_1997 FROM customer""",
     "anti_reconcile": """
 SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE YEAR(o_orderdate) = 1997)""",
+    "study_table": _RECORDS
+    + f"""SELECT DISTINCT event_id, prov, CAST(event_id % 3 AS VARCHAR) AS sex, age, CAST(event_id % 11 + 1 AS VARCHAR) AS injt,
+  CASE event_id % 5 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 4 THEN '3' ELSE '9999' END AS injp,
+  CASE event_id % 3 WHEN 2 THEN '1' ELSE '0' END AS mass_casualty, CAST(({_HURT}) AS INTEGER) AS head_injury,
+  CAST(event_id % 8 IN (1, 6) OR user_id % 8 = 6 AS INTEGER) AS deceased, strftime(moment, '%Y-%m-%d %H:%M') AS adate,
+  CASE WHEN event_id % 11 < 6 THEN 'NATION_' || (event_id % 11 + 1) ELSE 'Other than Specified' END AS veh_desc,
+  CAST(year(moment) AS INTEGER) AS "year", dayname(moment) AS weekday,
+  CASE WHEN (isodow(moment) = 5 AND hour(moment) >= 19) OR isodow(moment) IN (6, 7) OR (isodow(moment) = 1 AND hour(moment) < 2) THEN 'Weekend' ELSE 'Weekday' END AS weekend,
+  CASE WHEN hour(moment) >= 22 OR hour(moment) < 2 THEN '22-01' WHEN hour(moment) < 6 THEN '02-05' WHEN hour(moment) < 10 THEN '06-09'
+    WHEN hour(moment) < 14 THEN '10-13' WHEN hour(moment) < 18 THEN '14-17' ELSE '18-21' END AS time_category, {_STATUS}
+FROM k WHERE event_id % 3 <> 0 AND age BETWEEN 0 AND 100 AND moment BETWEEN '2024-01-05' AND '2024-01-25 23:59:59'""",
+    "study_audit": _RECORDS
+    + """SELECT 1 AS step, 'sex' AS rule, n0 AS rows_before, n1 AS rows_after, n0 - n1 AS removed FROM c
+UNION ALL SELECT 2, 'age', n1, n2, n1 - n2 FROM c UNION ALL SELECT 3, 'window', n2, n3, n2 - n3 FROM c""",
+    "study_rejects": _RECORDS + "SELECT CAST(20 AS BIGINT) AS n, CAST(0 AS BIGINT) AS passing FROM c WHERE n0 - n3 >= 20",
     "stratified_sample": """
 SELECT event_type, CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS n, CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS distinct_n FROM events GROUP BY 1""",
 }
