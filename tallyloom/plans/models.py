@@ -1,4 +1,4 @@
-"""Model questions. The searches use small spaces here; the operators take any space, also the full ones."""
+"""Model questions: five folds, full numbers of draws and trials; the spaces of settings are parameters."""
 
 from __future__ import annotations
 
@@ -20,11 +20,22 @@ def labelled(spark, folder):
     return read_table(spark, folder, "labels").select("doc_id", "quality").join(docs, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double"))
 
 
-def prepared(spark, folder, folds=3):
-    """Rows with folds and their feature vector, encoded once and kept for every candidate that reads them."""
-    rows = models.packed(models.with_folds(labelled(spark, folder), LABEL, folds, KEY))
-    encoded = Pipeline(stages=models.preprocess(NUMERIC, CATEGORICAL)).fit(rows).transform(rows)
-    return encoded.select(LABEL, "fold", "features")
+FOLDS = 5
+
+
+def encoding() -> Pipeline:
+    return Pipeline(stages=models.preprocess(NUMERIC, CATEGORICAL))
+
+
+def folded(spark, folder):
+    """Rows with folds, kept for every candidate; scaling and encoding are fitted on the training part of each fold."""
+    return models.packed(models.with_folds(labelled(spark, folder), LABEL, FOLDS, KEY))
+
+
+def encoded(spark, folder):
+    """All rows with their feature vector, for models that are fitted on all rows and read, not scored on others."""
+    rows = labelled(spark, folder)
+    return encoding().fit(rows).transform(rows).select(*KEY, LABEL, "features")
 
 
 def _scores(spark, found, shown, measure="auc", extra=()):
@@ -38,48 +49,58 @@ def _scores(spark, found, shown, measure="auc", extra=()):
 
 def logreg_cv(spark, folder):
     """Cross-validated ROC AUC of logistic regression over penalty and number of selected features."""
-    rows = prepared(spark, folder, folds=2)
-    n = rows.count()
-    selector, regression = models.select_best(5, LABEL), models.logistic(LABEL, "selected", 1.0, n)
-    pipeline = Pipeline(stages=[selector, regression])
-    grid = [
-        {selector.selectionThreshold: k, regression.regParam: 1.0 / (c * n)} for c in (0.1, 1.0) for k in (5, models.LOGISTIC_FEATURES[-1])
-    ]
-    found = models.search(rows, pipeline, grid, BinaryClassificationEvaluator(**AREA), "fold", 2, refit=False)
-    return _scores(spark, found, ["selectionThreshold", "regParam"])
+    rows, evaluator = folded(spark, folder), BinaryClassificationEvaluator(**AREA)
+    try:
+        n = rows.count() * (FOLDS - 1) / FOLDS
+        table, parts = [], models.fold_parts(rows, "fold", FOLDS, encoding())
+        for k in models.LOGISTIC_FEATURES:
+            stages = [] if k is None else [models.select_best(k, LABEL)]
+            regression = models.logistic(LABEL, "features" if k is None else "selected", 1.0, n)
+            grid = [{regression.regParam: 1.0 / (c * n)} for c in models.LOGISTIC_STRENGTHS]
+            found = models.search(rows, Pipeline(stages=[*stages, regression]), grid, evaluator, "fold", FOLDS, refit=False, parts=parts)
+            table += [(str(k or "all"), float(c), float(score)) for c, score in zip(models.LOGISTIC_STRENGTHS, found.scores)]
+        models.release(parts)
+    finally:
+        rows.unpersist()
+    return spark.createDataFrame(table, "features string, strength double, auc double")
 
 
 def logreg_coefficients(spark, folder):
-    rows = prepared(spark, folder)
+    rows = encoded(spark, folder)
     model = models.logistic(LABEL, "features", 1.0, rows.count()).fit(rows)
     return models.importances(model, rows)
 
 
-SMALL = {"numTrees": [5, 10, 20], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+# The space of the registered searches; the operators take any space, and the full one is models.FOREST_GRID.
+SPACE = {"numTrees": [5, 10, 20], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
 
 
 def rf_grid(spark, folder):
-    estimator = models.forest(LABEL)
+    rows, estimator = folded(spark, folder), models.forest(LABEL)
     grid = models.grid_of(estimator, {"numTrees": [10, 20], "maxDepth": [3, 6]})
-    found = models.search(prepared(spark, folder), estimator, grid, BinaryClassificationEvaluator(**AREA), "fold", 3, refit=False)
+    found = models.search(rows, estimator, grid, BinaryClassificationEvaluator(**AREA), "fold", FOLDS, refit=False, prepare=encoding())
+    rows.unpersist()
     return _scores(spark, found, ["numTrees", "maxDepth"])
 
 
 def rf_random_search(spark, folder):
-    estimator = models.forest(LABEL)
-    grid = models.grid_of(estimator, SMALL)
-    evaluator = BinaryClassificationEvaluator(**AREA)
-    found = models.random_search(prepared(spark, folder), estimator, grid, evaluator, "fold", 3, draws=4, refit=False)
-    return _scores(spark, found, list(SMALL))
+    rows, estimator = folded(spark, folder), models.forest(LABEL)
+    grid = models.grid_of(estimator, SPACE)
+    found = models.random_search(rows, estimator, grid, BinaryClassificationEvaluator(**AREA), "fold", FOLDS, draws=20, refit=False, prepare=encoding())
+    rows.unpersist()
+    return _scores(spark, found, list(SPACE))
 
 
 def rf_sequential_search(spark, folder):
-    rows, evaluator = prepared(spark, folder), BinaryClassificationEvaluator(**AREA)
+    rows, evaluator = folded(spark, folder), BinaryClassificationEvaluator(**AREA)
+    parts = models.fold_parts(rows, "fold", FOLDS, encoding())
     trials = models.sequential_search(
-        lambda settings: models.cv_score(rows, models.forest(LABEL, **settings), evaluator, "fold", 3), SMALL, trials=4, warm_up=2
+        lambda settings: models.cv_score(rows, models.forest(LABEL, **settings), evaluator, "fold", FOLDS, parts), SPACE, trials=50
     )
-    table = [(i + 1, *(str(t[name]) for name in SMALL), float(score)) for i, (t, score) in enumerate(trials)]
-    return spark.createDataFrame(table, "place int, " + ", ".join(f"{n} string" for n in SMALL) + ", auc double")
+    models.release(parts)
+    rows.unpersist()
+    table = [(i + 1, *(str(t[name]) for name in SPACE), float(score)) for i, (t, score) in enumerate(trials)]
+    return spark.createDataFrame(table, "place int, " + ", ".join(f"{n} string" for n in SPACE) + ", auc double")
 
 
 def _forest_on(rows, **settings):
@@ -87,40 +108,68 @@ def _forest_on(rows, **settings):
 
 
 def rf_importance(spark, folder):
-    rows = prepared(spark, folder)
+    rows = encoded(spark, folder)
     return models.importances(_forest_on(rows, numTrees=20, maxDepth=5), rows, top=10)
 
 
+ENTRIES = [f"e{i}" for i in range(64)]
+CHOSEN = 10  # predictors of the smaller model, chosen by their F statistic inside each training part
+
+
+def _embedded(spark, folder):
+    return read_table(spark, folder, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].alias(c) for i, c in enumerate(ENTRIES)])
+
+
+def _forest_of_all():
+    return models.forest("label", numTrees=10, maxDepth=5)
+
+
+def _forest_of_chosen():
+    selector = models.select_best(CHOSEN, "label")
+    return Pipeline(stages=[selector, models.forest("label", features="selected", numTrees=10, maxDepth=5)])
+
+
+def _assembled():
+    return VectorAssembler(inputCols=ENTRIES, outputCol="features")
+
+
 def rf_multiclass_cv(spark, folder):
-    """Accuracy of a forest on all predictors and on the first ten, by cross-validation."""
-    vectors = read_table(spark, folder, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
-    rows = models.with_folds(vectors, "label", 3, ["vec_id"])
+    """Accuracy of a forest on all predictors and on ten chosen ones, by cross-validation, over the number tried at a split."""
+    rows = models.packed(_assembled().transform(models.with_folds(_embedded(spark, folder), "label", FOLDS, ["vec_id"])).select("label", "fold", "features"))
     evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    out = None
-    for name, width in (("all", 64), ("first_ten", 10)):
-        framed = models.packed(models.scaled_vectors(rows, [f"e{i}" for i in range(width)], "features").select("label", "fold", "features"))
-        estimator = models.forest("label", numTrees=10, maxDepth=5)
-        grid = models.grid_of(estimator, {"featureSubsetStrategy": ["sqrt"]})
-        found = models.search(framed, estimator, grid, evaluator, "fold", 3, refit=False)
-        table = _scores(spark, found, ["featureSubsetStrategy"], "accuracy", (name,))
-        out = table if out is None else out.unionByName(table)
-    return out
+    tables = []
+    for name, estimator in (("all", _forest_of_all()), ("chosen", _forest_of_chosen())):
+        forest = estimator if name == "all" else estimator.getStages()[-1]
+        grid = models.grid_of(forest, {"featureSubsetStrategy": ["log2", "sqrt", "onethird", "all"]})
+        found = models.search(rows, estimator, grid, evaluator, "fold", FOLDS, refit=False)
+        tables.append(_scores(spark, found, ["featureSubsetStrategy"], "accuracy", (name,)))
+    rows.unpersist()
+    return tables[0].unionByName(tables[1])
+
+
+def nested_predictions(spark, folder):
+    """Every row predicted once, by a model that never saw it; the better of two kinds of predictors is chosen inside each outer fold."""
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    rows = _assembled().transform(_embedded(spark, folder)).select("vec_id", "label", "features")
+    return models.nested_cv(rows, [(_forest_of_all(), [{}]), (_forest_of_chosen(), [{}])], evaluator, "label", ["vec_id"]).predictions
 
 
 def nested_confusion(spark, folder):
-    """Labels against predictions of models that never saw the row, the predictors chosen inside each outer fold."""
-    vectors = read_table(spark, folder, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    candidates = []
-    for width in (64, 10):
-        columns = VectorAssembler(inputCols=[f"e{i}" for i in range(width)], outputCol="features")
-        candidates.append((Pipeline(stages=[columns, models.forest("label", numTrees=10, maxDepth=3)]), [{}]))
-    found = models.nested_cv(vectors, candidates, evaluator, "label", ["vec_id"], outer=2, inner=2)
-    return stats.confusion(found.predictions, "label", "prediction")
+    """Labels against the nested predictions."""
+    return stats.confusion(nested_predictions(spark, folder), "label", "prediction")
+
+
+def nested_coverage(spark, folder):
+    """Rows per label and outer fold: each row is predicted once, the folds are balanced in every class."""
+    found = nested_predictions(spark, folder)
+    per_fold = found.groupBy("label", "outer").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("vec_id").alias("ids"))
+    return per_fold.groupBy("label").agg(
+        F.sum("n").alias("predicted"), F.sum("ids").alias("rows"), (F.max("n") - F.min("n") <= 1).alias("balanced")
+    )
 
 
 def model_compare(spark, folder):
-    rows = prepared(spark, folder)
+    rows = encoded(spark, folder)
     fits = {
         "logistic": (models.logistic(LABEL, "features", 1.0, rows.count()).fit(rows), "ridge-penalised logistic regression"),
         "forest": (_forest_on(rows, numTrees=20, maxDepth=5), "random forest, 20 trees"),
@@ -140,7 +189,7 @@ def pdp_category(spark, folder):
 
 def pdp_numeric(spark, folder):
     rows = models.packed(labelled(spark, folder))
-    return models.partial_dependence(_whole_model(rows), rows, "n_chars", models.numeric_grid(rows, "n_chars", 20), NUMERIC + CATEGORICAL)
+    return models.partial_dependence(_whole_model(rows), rows, "n_chars", models.numeric_grid(rows, "n_chars"), NUMERIC + CATEGORICAL)
 
 
 def _vectors(spark, folder):
@@ -149,7 +198,7 @@ def _vectors(spark, folder):
 
 
 def kmeans_k_sweep(spark, folder):
-    return models.choose_k(_vectors(spark, folder), "scaled", range(2, 7))
+    return models.choose_k(_vectors(spark, folder), "scaled", range(2, 31))
 
 
 def bisecting_groups(spark, folder):
@@ -189,12 +238,13 @@ def ols_models(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, nested_confusion, model_compare,
+        logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, nested_confusion, nested_coverage, model_compare,
         pdp_category, pdp_numeric, kmeans_k_sweep, bisecting_groups, ols_multi, ols_coefficients, ols_models,
     )
 }
 
 ORACLE = {
+    "nested_coverage": "SELECT label, CAST(count(*) AS BIGINT) AS predicted, CAST(count(*) AS BIGINT) AS rows, TRUE AS balanced FROM embeddings GROUP BY label",
     "ols_multi": """
 WITH m AS (SELECT covar_pop(l_extendedprice, l_quantity) AS y1, covar_pop(l_extendedprice, l_discount) AS y2, var_pop(l_quantity) AS s11,
   var_pop(l_discount) AS s22, covar_pop(l_quantity, l_discount) AS s12, AVG(l_extendedprice) AS my, AVG(l_quantity) AS m1, AVG(l_discount) AS m2 FROM lineitem),

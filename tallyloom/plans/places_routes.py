@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions.formats import exact_sum
 from tallyloom.operators import routes
 from tallyloom.plans import trade
 from tallyloom.session import checkpointed, read_table
@@ -18,7 +19,7 @@ def sold_between(spark, folder):
     sellers = trade.suppliers(spark, folder).select("supp_id", F.col("city").alias("src"))
     sold = trade.lines(spark, folder).join(sellers, "supp_id").join(buyers, "order_id")
     return sold.groupBy("instance", "segment", "src", "dst").agg(
-        F.sum("price").alias("cents"), F.sum("quantity").alias("units")
+        exact_sum(F.col("price")).alias("cents"), F.sum("quantity").alias("units")
     )
 
 
