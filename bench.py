@@ -46,6 +46,7 @@ HEADLINE = [
     "auc_lines",
     "ols_errors",
     "route_cost",
+    "model_compare",
 ]
 
 
@@ -56,12 +57,10 @@ def run(spark, folder: str, name: str) -> float:
     return time.perf_counter() - started
 
 
-def text_source(spark, folder: str) -> str:
+def text_source(spark, folder: str, path: str) -> None:
     """Key and value of every line as headerless ;-separated text, written before anything is timed."""
-    path = tempfile.mkdtemp(prefix="tallyloom-bench-")
     lines = read_table(spark, folder, "lineitem").select("l_partkey", "l_extendedprice").repartition(8)
     write_delimited(lines, f"{path}/in", sep=";", header=False)
-    return path
 
 
 def run_text(spark, path: str) -> float:
@@ -83,8 +82,9 @@ def main() -> None:
         read_table(spark, folder, table).limit(1).count()
     times = {name: round(min(run(spark, folder, name) for _ in range(repeats)), 3) for name in names}
     if len(sys.argv) == 1:
-        path = text_source(spark, folder)
-        times["text_min_avg_max"] = round(min(run_text(spark, path) for _ in range(repeats)), 3)
+        with tempfile.TemporaryDirectory(prefix="tallyloom-bench-") as path:  # the bench runs on one machine
+            text_source(spark, folder, path)
+            times["text_min_avg_max"] = round(min(run_text(spark, path) for _ in range(repeats)), 3)
     scale = re.search(r"sf([0-9.]+)", folder)
     out = {
         "metric": "headline_total",
