@@ -219,6 +219,32 @@ def ols_coefficients(spark, folder):
     return fit.coefficients
 
 
+def ols_simple(spark, folder):
+    """Price on quantity: estimates with their errors, and the quality of the fit, in one row."""
+    fit = stats.ols(read_table(spark, folder, "lineitem"), "l_extendedprice", ["l_quantity"])
+    of = lambda term, column: F.round(F.max(F.when(F.col("term") == term, F.col(column))), 4)
+    terms = fit.coefficients.agg(
+        of("l_quantity", "estimate").alias("slope"), of("l_quantity", "std_error").alias("slope_error"), of("l_quantity", "t_value").alias("slope_t"),
+        of("(intercept)", "estimate").alias("intercept"), of("(intercept)", "std_error").alias("intercept_error"),
+    )
+    quality = fit.quality.select("n", *[F.round(c, 4).alias(c) for c in ("r2", "adjusted_r2", "rmse")], F.round("aic", 1).alias("aic"))
+    one = F.lit(1).alias("one")
+    return terms.select("*", one).join(quality.select("*", one), "one").drop("one")
+
+
+def ols_slopes(spark, folder):
+    """Slope and level of price on quantity per return flag, put together from the products of one model."""
+    lines = read_table(spark, folder, "lineitem")
+    fit = stats.ols(lines, "l_extendedprice", ["l_quantity"], {"l_returnflag": "N"}, [("l_returnflag", "l_quantity")])
+    flag = F.coalesce(F.nullif(F.regexp_extract("term", "l_returnflag=([^:]+)", 1), F.lit("")), F.lit("N"))
+    kind = F.when(F.col("term").endswith("l_quantity"), "slope").otherwise("level")
+    terms = fit.coefficients.select(flag.alias("flag"), kind.alias("kind"), "estimate")
+    base = {k: F.max(F.when((F.col("flag") == "N") & (F.col("kind") == k), F.col("estimate"))) for k in ("slope", "level")}
+    whole = terms.agg(F.struct(*[c.alias(k) for k, c in base.items()])).scalar()
+    own = terms.groupBy("flag").agg(*[F.max(F.when(F.col("kind") == k, F.col("estimate"))).alias(k) for k in base]).withColumn("base", whole)
+    return own.select("flag", *[F.round(F.col(k) + F.when(F.col("flag") == "N", 0.0).otherwise(F.col("base")[k]), 4).alias(k) for k in base])
+
+
 def ols_models(spark, folder):
     """Adjusted R2, AIC and errors of several formulas side by side."""
     lines = read_table(spark, folder, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag")
@@ -239,11 +265,22 @@ QUERIES = {
     f.__name__: f
     for f in (
         logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, nested_confusion, nested_coverage, model_compare,
-        pdp_category, pdp_numeric, kmeans_k_sweep, bisecting_groups, ols_multi, ols_coefficients, ols_models,
+        pdp_category, pdp_numeric, kmeans_k_sweep, bisecting_groups, ols_multi, ols_simple, ols_slopes, ols_coefficients, ols_models,
     )
 }
 
 ORACLE = {
+    "ols_simple": """
+WITH m AS (SELECT count(*) AS n, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
+  regr_sxy(l_extendedprice, l_quantity) AS sxy, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem),
+r AS (SELECT *, sxy / sxx AS b, syy - sxy * sxy / sxx AS rss FROM m)
+SELECT ROUND(b, 4) AS slope, ROUND(sqrt(rss / (n - 2) / sxx), 4) AS slope_error, ROUND(b / sqrt(rss / (n - 2) / sxx), 4) AS slope_t,
+  ROUND(my - b * mx, 4) AS intercept, ROUND(sqrt(rss / (n - 2) * (1.0 / n + mx * mx / sxx)), 4) AS intercept_error, n,
+  ROUND(1 - rss / syy, 4) AS r2, ROUND(1 - rss / syy * (n - 1) / (n - 2), 4) AS adjusted_r2, ROUND(sqrt(rss / n), 4) AS rmse,
+  ROUND(n * ln(rss / n) + 4, 1) AS aic FROM r""",
+    "ols_slopes": """
+SELECT l_returnflag AS flag, ROUND(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+  ROUND(regr_intercept(l_extendedprice, l_quantity), 4) AS level FROM lineitem GROUP BY 1""",
     "nested_coverage": "SELECT label, CAST(count(*) AS BIGINT) AS predicted, CAST(count(*) AS BIGINT) AS rows, TRUE AS balanced FROM embeddings GROUP BY label",
     "ols_multi": """
 WITH m AS (SELECT covar_pop(l_extendedprice, l_quantity) AS y1, covar_pop(l_extendedprice, l_discount) AS y2, var_pop(l_quantity) AS s11,
