@@ -528,7 +528,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, ho
     ``passing`` names text columns to pass on.
     """
     parts = part_count(docs)
-    buckets = parts
+    buckets = parts // 4 + 1  # a row goes from each part to each bucket and back: fewer buckets, fewer and larger rows
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC))
     content = F.sha2(F.coalesce("text", F.lit("")), 256).alias("content")
     leaders = docs.select(doc.alias("doc"), content).groupBy("content").agg(F.min("doc").alias("doc")).select("doc").distinct()
