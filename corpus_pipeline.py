@@ -16,6 +16,7 @@ from tallyloom.llm import decontamination, language_id, ngram_join, packing, suf
 from tallyloom.llm.common import shared_folder, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # near copies share so much of their word 5-grams; op8 has values of its own
 
 
 def accepted_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def accepted_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that n-gram links join, the one with the least id. Rows that repeat an id are one document and stay together."""
-    groups = ngram_join.linked_groups(docs)
+    groups = ngram_join.linked_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 

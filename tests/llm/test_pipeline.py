@@ -85,3 +85,20 @@ def test_packing_and_whole_run(steps):
     assert {r["doc_id"] for r in before} == {r["doc_id"] for r in after}
     piece = lambda r: (r["doc_id"], r["start"], r["length"], r["ids_crc32"])
     assert sorted(map(piece, after)) == sorted(map(piece, steps[1]))
+
+
+def test_groups_of_five_words_and_four_fifths(steps):
+    before, after, _ = steps[0]["ngram_join"]
+    groups = brute_groups([(r["doc_id"], r["text"]) for r in before], 5, 80)
+    assert sorted(r["doc_id"] for r in after) == sorted(doc for doc, (_, group) in groups.items() if doc == group)
+
+
+def test_near_copies_between_both_thresholds_are_one(spark, frame):
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:30], "x", *words[31:60], "y", *words[61:]]
+    far = [*words[:20], "p", *words[21:50], "q", *words[51:80], "r", *words[81:]]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, "other words stand here")]
+    assert brute_groups(rows, 3, 90)[2][1] == 2 and brute_groups(rows, 5, 80)[2][1] == 1
+    docs = frame(rows).selectExpr("doc_id", "text", "'en' AS lang", "'x' AS source", "1L AS n_chars")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect())
+    assert kept == sorted(doc for doc, (_, group) in brute_groups(rows, 5, 80).items() if doc == group)
