@@ -9,16 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontamination, language_id, ngram_join, packing, suffix_dedup
-from tallyloom.llm.common import shared_folder, table
+from tallyloom.llm.common import shared_folder, table, text_hash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS, NEAR_PERCENT = 5, 80  # near copies share so much of their word 5-grams; op8 has values of its own
 
 
+def _same_text(name: str) -> Column:
+    """Whether a row has the id, or the lack of one, and the text of a named row."""
+    return F.col("doc_id").eqNullSafe(F.col(f"{name}_id")) & (text_hash() == F.col(f"{name}_hash"))
+
+
 def accepted_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters whose best language model finds them usual; a missing language is filled in."""
     model = language_id.fit(docs.filter(~language_id.is_held_out()))
@@ -27,10 +32,9 @@ def accepted_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that n-gram links join, the one with the least id. Rows that repeat an id are one document and stay together."""
-    groups = ngram_join.linked_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    """Of texts that n-gram links join, the one with the least id. Rows that repeat an id and its text stay together."""
+    kept = ngram_join.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
+    return docs.join(kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")), _same_text("kept"), "left_semi").select(*COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +49,9 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    marked = decontamination.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    bad = marked.filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti").select(*COLUMNS)
+    marked = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    bad = marked.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash"))
+    return docs.join(bad, _same_text("bad"), "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

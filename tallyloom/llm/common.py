@@ -49,3 +49,8 @@ def part_count(docs: DataFrame, text: str = "text", part_bytes: int = PART_BYTES
 def in_parts(column: Column | str, parts: int) -> Column:
     """The part a row belongs to, from the hash of its id."""
     return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+
+
+def text_hash(text: str = "text") -> Column:
+    """Tells texts under one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

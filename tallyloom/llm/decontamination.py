@@ -157,10 +157,15 @@ def hits(found: DataFrame, held: DataFrame) -> DataFrame:
     return words.join(named, same).drop("doc_id2", "text_hash2")
 
 
+def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text_hash, n_hit, n_items, items_sha256) of the texts in which a window of an item occurs."""
+    windows, held = windows_of(items, window)
+    return hits(occurrences(docs, windows, window), held)
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): words, words inside an occurrence, items that occur, and the verdict."""
-    windows, held = windows_of(items, window)
-    marked = hits(occurrences(docs, windows, window), held)
+    marked = contaminated(docs, items, window)
     marked = marked.withColumnsRenamed({"doc_id": "doc_id2", "text_hash": "text_hash2"})
     text = F.coalesce("text", F.lit(""))
     all_docs = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"))

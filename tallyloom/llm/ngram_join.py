@@ -4,7 +4,8 @@ A document's set holds its distinct word n-grams. Two documents link if the shar
 Sets are ordered by one global order, rare n-grams first: sets that link must then share an n-gram among the first few of
 both, the prefix. An n-gram that only one set has links nothing, so a set whose prefix holds only such is left out.
 
-1. Documents with equal sets are one class from here on, led by the least id; only class leaders are looked at.
+1. Documents with equal sets are one class from here on, a node of its own led by the least id; only class leaders are looked
+   at. An id may lead several classes.
 2. Each part of the texts sends the hashes of its n-grams, packed and counted, and learns which occur in several sets, and in
    how many. It sends on the sets whose prefix holds such n-grams: their shared n-grams in global order.
 3. Sets that are joined, directly or through others, by n-grams in their prefixes form a cluster. No link crosses clusters.
@@ -15,10 +16,12 @@ both, the prefix. An n-gram that only one set has links nothing, so a set whose
    remaining length, or the set's, cannot bring the overlap to what the sizes ask. Sets already known to be in one group are
    skipped. A large cluster is cut into blocks of a set number, and every two blocks meet in a task.
 5. The groups of step 4, as pairs of a set and the least of its group, are merged; every document gets the least id of its group.
+   Nodes are ordered by id first, so the least node has the least id.
 
 Hashes have 64 bits; two n-grams with one hash are taken as one (under one chance in a million within ten million distinct
-n-grams). Null and empty texts have empty sets and link with nothing. Rows without an id count as one document that comes
-last; a repeated id stands for all its rows. An empty table gives no rows. Columns other than doc_id and text are left out.
+n-grams). Null and empty texts have empty sets and link with nothing. Rows are told apart by id and text: different texts under
+one id, or without an id, link on their own. No id comes last. An empty table gives no rows. Columns other than doc_id and text
+are left out.
 """
 
 from __future__ import annotations
@@ -29,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import in_parts, part_count, stored
+from tallyloom.llm.common import part_count, stored, text_hash
 from tallyloom.llm.suffix_dedup import PrefixHashes, mixed
 
 WORDS = 3
@@ -85,27 +88,36 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def set_digests(docs: DataFrame, words: int) -> DataFrame:
-    """(doc, n_shingles, digest) of (doc, text) rows."""
+    """(doc, text_hash, n_shingles, digest) of (doc, text, text_hash) rows."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for rows in batches:
             sets = [ngram_set((text.as_py() or "").encode("utf-8", "surrogatepass"), words) for text in rows.column(1)]
-            digests = [hashlib.blake2b(one.tobytes(), digest_size=16).digest() for one in sets]
-            columns = [rows.column(0), pa.array([len(one) for one in sets], pa.int64()), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "n_shingles", "digest"])
+            digests = [_digest(one) for one in sets]
+            columns = [rows.column(0), rows.column(2), pa.array([len(one) for one in sets], pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "text_hash", "n_shingles", "digest"])
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, n_shingles long, digest binary")
+    return docs.select("doc", "text", "text_hash").mapInArrow(run, "doc long, text_hash long, n_shingles long, digest binary")
 
 
-def _leaders(rows: pd.DataFrame, leaders: set, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The sets of the part's class leaders; a repeated id counts once."""
-    done = set()
-    for doc, text in zip(rows["doc"].tolist(), rows["text"], strict=True):
-        if doc in leaders and doc not in done:
-            done.add(doc)
-            yield doc, ngram_set((text or "").encode("utf-8", "surrogatepass"), words)
+def _digest(one: np.ndarray) -> bytes:
+    return hashlib.blake2b(one.tobytes(), digest_size=16).digest()
+
+
+def _leaders(rows: pd.DataFrame, leaders: pd.DataFrame, words: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(doc, node, set) of the part's class leaders; repeated rows count once."""
+    wanted: dict[tuple[int, int], dict[bytes, int]] = {}
+    for doc, text_hash, digest, node in zip(*(leaders[name] for name in ("doc", "text_hash", "digest", "node")), strict=True):
+        wanted.setdefault((doc, text_hash), {})[bytes(digest)] = int(node)
+    for doc, text_hash, text in zip(rows["doc"].tolist(), rows["text_hash"].tolist(), rows["text"], strict=True):
+        nodes = wanted.get((doc, text_hash))
+        if nodes:
+            one = ngram_set((text or "").encode("utf-8", "surrogatepass"), words)
+            node = nodes.pop(_digest(one), None)
+            if node is not None:
+                yield doc, node, one
 
 
 def _short(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -126,7 +138,7 @@ def _unpack(data: bytes) -> np.ndarray:
 def _send_counts(rows: pd.DataFrame, leaders: pd.DataFrame, buckets: int, words: int) -> pd.DataFrame:
     """The part's distinct n-grams by bucket, with the number of sets that hold each."""
     names = ["bucket", "part", "keys", "counts"]
-    sets = [one for _, one in _leaders(rows, set(leaders["doc"].tolist()), words)]
+    sets = [one for _, _, one in _leaders(rows, leaders, words)]
     if not sets:
         return pd.DataFrame({name: [] for name in names})
     keys, counts = np.unique(np.concatenate(sets), return_counts=True)
@@ -163,16 +175,16 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
             at = np.minimum(np.searchsorted(known, one), len(known) - 1)
             hit = known[at] == one
             if hit.any():
-                out.append((int(part), 0, bucket, _pack(one[hit]), np.minimum(total[at[hit]], 2**31 - 1).astype("int32").tobytes()))
-    return pd.DataFrame(out, columns=["to_part", "doc", "bucket", "keys", "counts"])
+                out.append((int(part), bucket, _pack(one[hit]), np.minimum(total[at[hit]], 2**31 - 1).astype("int32").tobytes()))
+    return pd.DataFrame(out, columns=["to_part", "bucket", "keys", "counts"])
 
 
 def _send_sets(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, words: int, percent: int) -> pd.DataFrame:
     """Sets with a shared n-gram in their prefix: size, number of shared n-grams in the prefix, the shared ones in order."""
     lists = messages[messages["bucket"] >= 0]
-    leaders = set(messages.loc[messages["bucket"] < 0, "doc"].tolist())
+    leaders = messages[messages["bucket"] < 0]
     keys = [_unpack(k) * np.uint64(buckets) + np.uint64(b) for k, b in zip(lists["keys"], lists["bucket"], strict=True)]
-    names = ["doc", "size", "in_prefix", "grams", "counts"]
+    names = ["doc", "node", "size", "in_prefix", "grams", "counts"]
     if not keys:
         return pd.DataFrame({name: [] for name in names})
     known = np.concatenate(keys)
@@ -180,7 +192,7 @@ def _send_sets(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, words:
     order = np.argsort(known)
     known, total = known[order], total[order]
     out = []
-    for doc, one in _leaders(rows, leaders, words):
+    for doc, node, one in _leaders(rows, leaders, words):
         if not len(one):
             continue
         wanted = _short(one, buckets) * np.uint64(buckets) + one % np.uint64(buckets)
@@ -192,7 +204,7 @@ def _send_sets(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, words:
             continue
         grams, counts = wanted[hit], total[at[hit]]
         by = np.lexsort((grams, counts))
-        out.append((doc, len(one), min(prefix, len(by)), grams[by].tobytes(), counts[by].astype("int32").tobytes()))
+        out.append((doc, node, len(one), min(prefix, len(by)), grams[by].tobytes(), counts[by].astype("int32").tobytes()))
     return pd.DataFrame(out, columns=names)
 
 
@@ -319,10 +331,10 @@ class PrefixTree:
                     todo.append((child, more))
 
 
-def join_block(left: list[tuple[int, int, list[int]]], right: list[tuple[int, int, list[int]]], percent: int) -> list[tuple[int, int]]:
-    """Groups by the links within ``left``, or between ``left`` and ``right``, of (doc, size, grams in global order).
+def join_block(left: list[tuple[tuple, int, list[int]]], right: list[tuple[tuple, int, list[int]]], percent: int) -> list[tuple[tuple, tuple]]:
+    """Groups by the links within ``left``, or between ``left`` and ``right``, of (node, size, grams in global order).
 
-    They come as pairs of a document and the least one of its group.
+    A node is (doc, number of the class). Groups come as pairs of a node and the least one of its group.
     """
     tree = PrefixTree(percent)
     for _, size, grams in left:
@@ -331,13 +343,13 @@ def join_block(left: list[tuple[int, int, list[int]]], right: list[tuple[int, in
             tree.link(place, grams, size)
     for _, size, grams in right:
         tree.link(tree.add(size), grams, size)
-    docs = [doc for doc, _, _ in [*left, *right]]
-    least: dict[int, int] = {}
-    for place, doc in enumerate(docs):
+    nodes = [node for node, _, _ in [*left, *right]]
+    least: dict[int, tuple] = {}
+    for place, node in enumerate(nodes):
         root = tree.find(place)
-        least[root] = min(least.get(root, doc), doc)
-    pairs = [(doc, least[tree.find(place)]) for place, doc in enumerate(docs)]
-    return [(doc, first) for doc, first in pairs if doc != first]
+        least[root] = min(least.get(root, node), node)
+    pairs = [(node, least[tree.find(place)]) for place, node in enumerate(nodes)]
+    return [(node, first) for node, first in pairs if node != first]
 
 
 def _join(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -349,74 +361,95 @@ def _join(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     rank = np.empty(len(everything), "int64")
     rank[np.lexsort((everything, count))] = np.arange(len(everything))  # the global order, as small numbers
     sets: dict[bool, list] = {False: [], True: []}
-    for doc, size, one, second in zip(rows["doc"].tolist(), rows["size"].tolist(), grams, rows["second"].tolist(), strict=True):
-        sets[second].append((doc, size, rank[np.searchsorted(everything, one)].tolist()))
+    nodes = zip(rows["doc"].tolist(), rows["node"].tolist(), strict=True)
+    for node, size, one, second in zip(nodes, rows["size"].tolist(), grams, rows["second"].tolist(), strict=True):
+        sets[second].append((node, size, rank[np.searchsorted(everything, one)].tolist()))
     for one in sets.values():
         one.sort(key=lambda x: (x[1], x[0]))
     links = join_block(sets[False], sets[True], percent)
-    return pd.DataFrame(links, columns=["node", "other"])
+    return pd.DataFrame([(*node, *first) for node, first in links], columns=["doc", "node", "other_doc", "other"])
 
 
 def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every (doc_id, text) row: the least id that links reach."""
+    return _grouped(docs, words, percent, block).select(_or_null("doc").alias("doc_id"), "n_shingles", _or_null("component").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(doc_id, text_hash) of one text of each group, that of its least id; of texts without words, all."""
+    return _grouped(docs, words, percent, block).filter("first").select(_or_null("doc").alias("doc_id"), "text_hash").distinct()
+
+
+def _or_null(name: str) -> Column:
+    return F.when(F.col(name) != NO_DOC, F.col(name))
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """(doc, text_hash, n_shingles, component, first) of every row; ``first``: its text is the first of its group."""
     parts = part_count(docs)
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC))
-    docs = docs.select(doc.alias("doc"), "text")
+    docs = docs.select(doc.alias("doc"), "text", text_hash().alias("text_hash"))
     digests = stored(set_digests(docs, words), "set-digests")
-    classes = digests.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc").alias("leader"))
-    leaders = classes.select(F.col("leader").alias("doc")).distinct()
-    leaders = stored(leaders.select("doc", in_parts("doc", parts).alias("to_part")), "leaders")
+    classes = digests.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("doc", "text_hash")).alias("leader"))
+    part = F.pmod(F.xxhash64("doc", "text_hash"), F.lit(parts)).cast("int")  # texts without an id are dealt as well
+    classes = classes.select("digest", "leader.*", F.monotonically_increasing_id().alias("node"))  # numbers hold once stored
+    classes = stored(classes.withColumn("to_part", part), "classes")
 
-    dealt = docs.select("doc", "text", in_parts("doc", parts).alias("part"))
+    dealt = docs.withColumn("part", part)
     counted = (
         dealt.groupBy("part")
-        .cogroup(leaders.groupBy("to_part"))
+        .cogroup(classes.groupBy("to_part"))
         .applyInPandas(lambda rows, own: _send_counts(rows, own, parts, words), "bucket int, part int, keys binary, counts binary")
     )
-    shared = counted.groupBy("bucket").applyInPandas(_shared, "to_part int, doc long, bucket int, keys binary, counts binary")
-    messages = shared.unionByName(leaders.withColumn("bucket", F.lit(-1)), allowMissingColumns=True)
+    shared = counted.groupBy("bucket").applyInPandas(_shared, "to_part int, bucket int, keys binary, counts binary")
+    messages = shared.unionByName(classes.withColumn("bucket", F.lit(-1)), allowMissingColumns=True)
+    messages = messages.fillna(0, ["doc", "text_hash", "node"])  # pandas holds whole numbers with nulls as floats
     sets = (
         dealt.groupBy("part")
         .cogroup(messages.groupBy("to_part"))
         .applyInPandas(
             lambda rows, own: _send_sets(rows, own, parts, words, percent),
-            "doc long, size int, in_prefix int, grams binary, counts binary",
+            "doc long, node long, size int, in_prefix int, grams binary, counts binary",
         )
     )
     sets = stored(sets, "sets")
     clusters = _clusters(sets)
     tasks = _tasks(sets, clusters, block)
-    links = tasks.groupBy("cluster", "i", "j").applyInPandas(lambda rows: _join(rows, percent), "node long, other long")
-    groups = least_reachable(links).withColumnsRenamed({"node": "leader", "least": "of_leader"})
-    named = classes.join(groups, "leader", "left").select("digest", F.coalesce("of_leader", "leader").alias("component"))
-    named = digests.join(named, "digest", "left").select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
-    null = lambda name: F.when(F.col(name) != NO_DOC, F.col(name))
-    return named.select(null("doc").alias("doc_id"), "n_shingles", null("component").alias("component_id"))
+    links = tasks.groupBy("cluster", "i", "j").applyInPandas(lambda rows: _join(rows, percent), "doc long, node long, other_doc long, other long")
+    links = links.select(F.struct("doc", "node").alias("node"), F.struct(F.col("other_doc").alias("doc"), F.col("other").alias("node")).alias("other"))
+    groups = least_reachable(links).select("node.node", F.col("least.doc").alias("component"), F.col("least.node").alias("of_node"))
+    first = F.coalesce(F.col("of_node") == F.col("node"), F.lit(True))
+    named = classes.join(groups, "node", "left").select(
+        "digest", F.coalesce("component", "doc").alias("component"), F.when(first, F.struct("doc", "text_hash")).alias("first")
+    )
+    named = digests.join(named, "digest", "left")
+    first = F.col("component").isNull() | F.coalesce(F.col("first") == F.struct("doc", "text_hash"), F.lit(False))
+    return named.select("doc", "text_hash", "n_shingles", F.coalesce("component", "doc").alias("component"), first.alias("first"))
 
 
 def _clusters(sets: DataFrame) -> DataFrame:
-    """(doc, cluster) of all sets that share an n-gram of their prefix with another."""
+    """(node, cluster) of all sets that share an n-gram of their prefix with another."""
 
     def prefixes(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for rows in batches:
             grams = [np.frombuffer(g.as_py(), "int64")[: k.as_py()] for g, k in zip(rows.column(2), rows.column(1), strict=True)]
-            docs = np.repeat(rows.column(0).to_numpy(), [len(g) for g in grams])
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate(grams) if grams else docs)], ["doc", "gram"])
+            nodes = np.repeat(rows.column(0).to_numpy(), [len(g) for g in grams])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(grams) if grams else nodes)], ["node", "gram"])
 
-    placed = sets.select("doc", "in_prefix", "grams").mapInArrow(prefixes, "doc long, gram long")
-    least = placed.groupBy("gram").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    pairs = placed.join(least, "gram").filter("doc <> least").select(F.col("doc").alias("node"), F.col("least").alias("other")).distinct()
-    return least_reachable(pairs).withColumnsRenamed({"node": "doc", "least": "cluster"})
+    placed = sets.select("node", "in_prefix", "grams").mapInArrow(prefixes, "node long, gram long")
+    least = placed.groupBy("gram").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+    pairs = placed.join(least, "gram").filter("node <> least").select("node", F.col("least").alias("other")).distinct()
+    return least_reachable(pairs).withColumnRenamed("least", "cluster")
 
 
 def _tasks(sets: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
     """Sets with the cluster's pairs of blocks they belong to; a cluster of one block is one task."""
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.select(F.col("cluster").alias("of"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    placed = sets.join(clusters, "doc").join(sizes, F.col("cluster") == F.col("of"))
-    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    placed = sets.join(clusters, "node").join(sizes, F.col("cluster") == F.col("of"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("own", "other"), F.greatest("own", "other")
-    return placed.select("doc", "size", "grams", "counts", "cluster", i.alias("i"), j.alias("j"), (F.col("own") > F.col("other")).alias("second"))
+    return placed.select("doc", "node", "size", "grams", "counts", "cluster", i.alias("i"), j.alias("j"), (F.col("own") > F.col("other")).alias("second"))

@@ -52,3 +52,11 @@ def test_least_reachable_on_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 51)], "node long, other long")
     labels = {r["node"]: r["least"] for r in least_reachable(edges).collect()}
     assert labels == defaultdict(int, {**{i: 0 for i in range(21)}, 50: 50, 51: 50})
+
+
+def test_texts_under_a_null_or_repeated_id_link_on_their_own(frame):
+    texts = {name: " ".join(f"{name}{i}" for i in range(100)) for name in "abcd"}
+    near = lambda name: texts[name] + " more"
+    rows = [(None, texts["a"]), (None, texts["b"]), (None, texts["c"]), (3, near("a")), (5, texts["d"]), (5, near("b")), (8, near("d"))]
+    found = sorted(((r["doc_id"] or 0), r["n_shingles"], r["component_id"] or 0) for r in linked_groups(frame(rows)).collect())
+    assert found == [(0, 98, 0), (0, 98, 3), (0, 98, 5), (3, 99, 3), (5, 98, 5), (5, 99, 5), (8, 99, 5)]

@@ -102,3 +102,16 @@ def test_near_copies_between_both_thresholds_are_one(spark, frame):
     docs = frame(rows).selectExpr("doc_id", "text", "'en' AS lang", "'x' AS source", "1L AS n_chars")
     kept = sorted(r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect())
     assert kept == sorted(doc for doc, (_, group) in brute_groups(rows, 5, 80).items() if doc == group)
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_go_by_their_text(spark, frame, tmp_path):
+    texts = {name: " ".join(f"{name}{i}" for i in range(100)) for name in "abcde"}
+    near = lambda name: texts[name] + " more"
+    rows = [(None, near("a")), (None, texts["b"]), (None, near("b")), (3, texts["a"]), (5, texts["c"]), (5, texts["d"]), (8, near("d")), (None, texts["e"])]
+    docs = frame(rows).selectExpr("doc_id", "text", "'en' AS lang", "'x' AS source", "1L AS n_chars")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    assert {row for row in kept if row[1] not in (texts["b"], near("b"))} == {(3, texts["a"]), (5, texts["c"]), (5, texts["d"]), (None, texts["e"])}
+    assert len(kept) == 5  # one of the two near copies without an id
+    spark.createDataFrame([(1, texts["c"][:300]), (2, texts["e"][:300])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {(r["doc_id"], r["text"]) for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()}
+    assert left == {row for row in rows if row[1] not in (texts["c"], texts["e"])}
