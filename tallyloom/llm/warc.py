@@ -6,7 +6,9 @@ that ran twice leaves nothing behind that would be read.
 
 Reading: records are checked (member checksum, version line, lengths, block digest). After a failed check the reader searches
 for the next member, or in plain archives the next version line, goes on from there, and reports the bytes between as a
-quarantined gap. A record is held in memory, never an archive.
+quarantined gap. A member may hold many records: it is inflated a chunk at a time and read like a plain archive. All its records
+have its offset, and the last one its length; a gap inside it has no length. Of a damaged member those records are kept that
+carry a block digest, if the damage shows in another place. A record is held in memory, never an archive.
 
 A null html is an empty payload, and always a response; a null page id is kept; repeated rows are records of their own. An empty table
 writes no archive. Columns other than page_id, url and html are left out.
@@ -161,59 +163,128 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, int] | str:
     return fields, block, stop + 4
 
 
-def member(source: Bytes, offset: int) -> tuple[bytes, int] | str:
-    """Content and stored length of the compressed member at an offset; or what is wrong with it."""
-    unpacker, out, at = zlib.decompressobj(31), [], offset
-    try:
-        while not unpacker.eof:
+def inflated(source: Bytes, offset: int) -> Iterator[tuple[bytes, int]]:
+    """(content, stored length so far) of the compressed member at an offset, a chunk at a time; an error if it ends too early."""
+    unpacker, at = zlib.decompressobj(31), offset
+    while not unpacker.eof:
+        data = unpacker.unconsumed_tail
+        if not data:
             data = source.at(at, 64 << 10)
-            if not data:
-                return "member cut off"
-            out.append(unpacker.decompress(data))
             at += len(data)
+        out = unpacker.decompress(data, CHUNK)
+        if not data and not out and not unpacker.eof:
+            raise EOFError
+        yield out, at - len(unpacker.unused_data if unpacker.eof else unpacker.unconsumed_tail) - offset
+
+
+def member(source: Bytes, offset: int) -> tuple[int, int, str]:
+    """Size and stored length of the compressed member at an offset, as far as it can be read, and what is wrong with it."""
+    size = length = 0
+    try:
+        for out, length in inflated(source, offset):  # noqa: B007
+            size += len(out)
+    except EOFError:
+        return size, length, "member cut off"
     except zlib.error:
-        return "bad member"
-    return b"".join(out), at - len(unpacker.unused_data) - offset
+        return size, length, "bad member"
+    return size, length, ""
+
+
+class Inflated:
+    """The content of a member as a file; what lies before the last place read is not held."""
+
+    def __init__(self, source: Bytes, offset: int):
+        self.source, self.offset = source, offset
+        self._restart()
+
+    def _restart(self) -> None:
+        self.stream, self.begin, self.held = inflated(self.source, self.offset), 0, bytearray()
+
+    def read_at(self, length: int, offset: int) -> bytes:
+        if offset < self.begin:
+            self._restart()
+        while len(self.held) < offset + length - self.begin:
+            try:
+                out = next(self.stream, None)
+            except (EOFError, zlib.error):  # the content before it has been given
+                out = None
+            if out is None:
+                break
+            self.held += out[0]
+            if self.begin < offset:
+                past = min(offset - self.begin, len(self.held))
+                del self.held[:past]
+                self.begin += past
+        past = min(offset - self.begin, len(self.held))
+        del self.held[:past]
+        self.begin += past
+        return bytes(self.held[:length])
+
+
+Found = tuple[int, int, str | tuple[dict[str, str], bytes]]
 
 
-def salvaged(source: Bytes) -> Iterator[tuple[int, int, str | tuple[dict[str, str], bytes]]]:
+def salvaged(source: Bytes) -> Iterator[Found]:
     """(offset, length, record or reason of a gap) for a whole archive, in order and without holes."""
     packed = source.at(0, 3) == MEMBER or (source.at(0, 7) != b"WARC/1." and source.find(MEMBER, 0) < source.find(b"WARC/1.", 0))
+    return _in_members(source) if packed else _in_plain(source)
+
+
+def _in_plain(source: Bytes) -> Iterator[Found]:
     offset, gap, reason = 0, -1, ""
     while offset < source.size:
-        problem: str | None = None
-        found: list = []
-        if packed:
-            one = member(source, offset) if source.at(offset, 3) == MEMBER else "no member"
-            if isinstance(one, str):
-                problem = one
-            else:
-                data, length = one
-                record_ = parsed(data)
-                if isinstance(record_, str):
-                    problem = record_
-                elif len(data) != record_[2]:
-                    problem = "bytes behind the record"
-                found = [(offset, length, record_)]
-        else:
-            record_ = _plain_record(source, offset)
-            problem = record_ if isinstance(record_, str) else None
-            found = [(offset, 0 if problem else record_[2], record_)]
-        if problem is None:
+        one = _plain_record(source, offset)
+        if isinstance(one, str):
+            if gap < 0:
+                gap, reason = offset, one
+            offset = source.find(b"WARC/1.", offset + 1)
+            continue
+        if gap >= 0:
+            yield gap, offset - gap, reason
+            gap = -1
+        fields, block, length = one
+        yield offset, length, (fields, block)
+        offset += length
+    if gap >= 0:
+        yield gap, source.size - gap, reason
+
+
+def _in_members(source: Bytes) -> Iterator[Found]:
+    offset, gap, reason = 0, -1, ""
+    while offset < source.size:
+        size, length, problem = member(source, offset) if source.at(offset, 3) == MEMBER else (0, 0, "no member")
+        content = (one for _, _, one in _in_plain(Bytes(Inflated(source, offset), size)))
+        if problem:
+            content = _unharmed(source, offset, size)
+        lead = next(content, problem or "no version line")
+        one = next(content, None) if isinstance(lead, str) else lead  # a gap is followed by a record
+        if one is not None:
             if gap >= 0:
                 yield gap, offset - gap, reason
                 gap = -1
-            at, length, (fields, block, _) = found[0]
-            yield at, length, (fields, block)
+            if lead is not one:
+                yield offset, 0, lead
+            for later in content:
+                yield offset, 0, one
+                one = later
+            yield offset, 0 if problem else length, one
+        if one is not None and not problem:
             offset += length
         else:
             if gap < 0:
-                gap, reason = offset, problem
-            offset = source.find(MEMBER if packed else b"WARC/1.", offset + 1)
+                gap, reason = offset, problem or lead
+            offset = source.find(MEMBER, offset + 1)
     if gap >= 0:
         yield gap, source.size - gap, reason
 
 
+def _unharmed(source: Bytes, offset: int, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Records of a damaged member that carry a block digest. If no damage shows, it may lie in any header: none."""
+    content = lambda: (one for _, _, one in _in_plain(Bytes(Inflated(source, offset), size)))
+    if any(isinstance(one, str) for one in content()):
+        yield from (one for one in content() if not isinstance(one, str) and one[0].get("warc-block-digest", "").startswith("sha256:"))
+
+
 def _plain_record(source: Bytes, offset: int) -> tuple[dict[str, str], bytes, int] | str:
     """The record at an offset of a plain archive."""
     if source.at(offset, 7) != b"WARC/1.":

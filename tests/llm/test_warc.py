@@ -1,5 +1,6 @@
 import hashlib
 import io
+import random
 import zlib
 
 import pytest
@@ -67,6 +68,33 @@ def test_several_records_in_one_member_are_reported():
     assert read(joined) == ["bytes behind the record"]
 
 
+def test_every_record_of_a_member_is_read():
+    stored = records(PAGES)
+    found = read(warc.compressed(b"".join(stored)))
+    assert [(f[0], f[5]) for f in found] == list(enumerate(PAGES))
+    behind = read(warc.compressed(stored[0] + b"rubbish") + warc.compressed(stored[1]))
+    assert [f if isinstance(f, str) else f[0] for f in behind] == [0, "no version line", 1]
+
+
+@pytest.mark.parametrize("damaged", [0, 1, 2, 3])
+def test_a_damaged_record_inside_a_member_is_the_only_loss(damaged):
+    pages = [(f"page {i} " * 40_000).encode() for i in range(4)]
+    stored = records(pages)
+    stored[damaged] = stored[damaged].replace(b"page", b"pale", 50)
+    found = read(warc.compressed(b"".join(stored)) + warc.compressed(records([b"next"])[0]))
+    assert [f if isinstance(f, str) else f[0] for f in found] == [*range(damaged), "block digest differs", *range(damaged + 1, 4), 0]
+
+
+def test_a_cut_member_keeps_the_records_before():
+    rnd = random.Random(5)
+    pages = [rnd.randbytes(50_000) for _ in range(4)]
+    joined = warc.compressed(b"".join(records(pages)))
+    for tail in (b"", warc.compressed(records([b"next"])[0])):
+        found = read(joined[: len(joined) // 2 + 5000] + tail)
+        assert [f[0] for f in found if not isinstance(f, str)] == [0, 1] + [0] * bool(tail)
+        assert any(isinstance(f, str) for f in found)
+
+
 def test_pages_through_archives(spark):
     copy = "<p>" + "é" * 60 + "</p>"
     rows = [(5, "u", copy), (2, "v w\n", copy), (9, None, copy), (9, None, copy), (3, "x", "short"), (4, "y", "short"), (1, "z", None), (None, "n", "q" * 200)]
