@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, language_id, ngram_join, packing, quality, suffix_dedup, token_counts, token_output, warc
+from tallyloom.llm import (
+    chat, decontamination, filter_audit, fim, html_extraction, language_id, ngram_join, packing, quality, suffix_dedup, token_counts,
+    token_output, warc,
+)
 from tallyloom.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +188,95 @@ WITH t AS (
 )
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM a
 """
+
+
+@registered
+def op11_fim(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, folder, "documents", "doc_id", "text")))
+
+
+ORACLE["op11_fim"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents
+), h AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+    ('0x' || digest[25:32])::BIGINT % 100 AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+    array_to_string(units[high + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@registered
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(filter_audit.masks(docs, table(spark, folder, "labels", "doc_id", "quality", "toxic")))
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), l AS (
+  SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+      len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+      100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+      coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false)] AS failed
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+), o AS (
+  SELECT a || b || c || d || e AS filter_order, [ascii(x) - 64 FOR x IN [a, b, c, d, e]] AS places
+  FROM unnest(['A', 'B', 'C', 'D', 'E']) AS ua(a), unnest(['A', 'B', 'C', 'D', 'E']) AS ub(b),
+    unnest(['A', 'B', 'C', 'D', 'E']) AS uc(c), unnest(['A', 'B', 'C', 'D', 'E']) AS ud(d), unnest(['A', 'B', 'C', 'D', 'E']) AS ue(e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5
+), g AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic FROM m GROUP BY part, failed
+), r AS (
+  SELECT part, filter_order, step, failed[places[step]] AS fails,
+    len(list_filter(places[:step - 1], lambda p: failed[p])) > 0 AS gone,
+    len(list_filter(failed, lambda f: f)) AS n_failed, n, n_good, n_toxic, places[step] AS filter
+  FROM g, o, unnest(range(1, 6)) AS u(step)
+), s AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, any_value(filter) AS filter,
+    CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (fails AND n_failed = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n_good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n_toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM s
+"""
+
+
+@registered
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.main_texts(table(spark, folder, "pages", "page_id", "url", "html"))
+
+
+# The given pages mark their article by its element and use few references, so SQL can cut it out; other pages are tested by hand.
+ORACLE["op13_html_extraction"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS inner_html FROM pages
+), t AS (
+  SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(inner_html,
+    '<(/?(p|h1)|br)>', ' ', 'g'), '</?b>', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS text FROM a
+), s AS (
+  SELECT page_id, url, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM t
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM s
+"""
