@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +47,33 @@ def part_count(docs: DataFrame, text: str = "text", part_bytes: int = PART_BYTES
     return max(int(total // part_bytes) + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def in_parts(column: Column | str, parts: int) -> Column:
-    """The part a row belongs to, from the hash of its id."""
-    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+def in_parts(column: Column | str, parts: int, *more: Column | str) -> Column:
+    """The part a row belongs to, from the hash of its id and further columns."""
+    return F.pmod(F.xxhash64(column, *more), F.lit(parts)).cast("int")
 
 
 def text_hash(text: str = "text") -> Column:
     """Tells texts under one id apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+# What a Python worker keeps between its tasks, by operator: how to let go of it. Workers outlive the stage that fills them.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep_only(operator: str) -> None:
+    """Called where an operator's task begins: frees what others have left in this worker."""
+    others = [name for name in KEPT if name != operator]
+    for name in others:
+        KEPT.pop(name)()
+    if others:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc gives freed memory back only when asked
+        if trim is not None:
+            trim(0)

@@ -13,6 +13,8 @@ import re
 import unicodedata
 from functools import lru_cache
 
+from tallyloom.llm.common import KEPT, keep_only
+
 # The code points with the Unicode property White_Space, which the library's \s stands for.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Byte-level pre-tokenizer: a run of white space gives its last character to what follows if that is a space.
@@ -159,7 +161,9 @@ def _safe_cut(described: dict) -> re.Pattern | None:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, kept between tasks."""
+    """The worker's encoder for a file, kept between tasks until another operator's begin."""
+    keep_only("encoding")
+    KEPT["encoding"] = encoder.cache_clear
     return Encoder(path)
 
 

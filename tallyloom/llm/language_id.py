@@ -6,29 +6,37 @@ shorter one with the context's weight, which lies in a second set of sorted arra
 lowest cross-entropy per character, and is rejected if that lies above what calibration texts of the language show.
 
 Fitted on a sample of labelled rows of a documented size per language, since models of letters settle early; every text is
-scored whole. A null text or one without letters is ``und``, score 0, rejected. Without labelled rows every text is ``und``.
-Ties go to the first language by name. Repeated rows get equal results; other columns never matter.
+scored whole. What reaches the driver, and every worker as a broadcast, are the n-gram counts of that sample: bounded per language,
+so they grow with the number of languages, not of rows. Calibration texts of every length count, short ones less; a language
+without any is held to the limits of all languages together, and a sample without any to those of the texts learned from.
+
+A null text or one without letters (Unicode category L) is ``und``, score 0, rejected. Without labelled rows every text is ``und``,
+and none with letters is rejected: there is nothing to judge by. The score weighs the languages by their likelihood over at most
+``EVIDENCE`` characters, since neighbouring characters are no independent witnesses. Ties go to the first language by name.
+Repeated rows get equal results, an empty table none; other columns never matter.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import stored
+from tallyloom.llm.common import keep_only, stored
 
 ORDER = 4
 DISCOUNT = 0.75
 PER_LANGUAGE = 1500  # expected number of labelled texts per language that are learned from; a fifth of them calibrates
 BLOCK = 1_000_000  # characters scored at once
-LETTERS = re.compile(r"[^\W\d_]+")
+EVIDENCE = 200  # characters that a score is drawn from at most
+SETTLED = 100  # characters at which a calibration text has half its weight
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,7 +67,8 @@ class Model:
     unknown: np.ndarray  # per language: log-probability of a character never seen
     grams: dict[int, tuple[np.ndarray, np.ndarray]]  # order: sorted hashes, log-probabilities per language
     weights: dict[int, tuple[np.ndarray, np.ndarray]]  # length of the context: sorted hashes, log-weights per language
-    limits: dict[str, tuple[float, float, float]]  # language: mean and deviation of calibration texts, deviation of a character
+    # language, and None for all: mean and deviation of calibration texts, deviation of a character
+    limits: dict[str | None, tuple[float, float, float]]
 
     def char_scores(self, codes: np.ndarray) -> np.ndarray:
         """Log-probability of each character, a column per language."""
@@ -217,7 +226,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
                 for text in texts:
                     line = plain(text)
                     found.update([line[i : i + ORDER] for i in range(len(line) - ORDER + 1)])
-                yield pd.DataFrame({"lang": language, "gram": list(found), "n": list(found.values())})
+                if found:
+                    yield pd.DataFrame({"lang": language, "gram": list(found), "n": list(found.values())})
 
     counted = sample.filter(~F.col("calibrates")).select("text", "lang").mapInPandas(gram_counts, "lang string, gram string, n long")
     counts: dict[str, dict[str, int]] = {}
@@ -234,20 +244,28 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         for rows in batches:
             found = list(scored(rows["text"].tolist(), shared.value))
             places = [shared.value.languages.index(x) if x in shared.value.languages else -1 for x in rows["lang"]]
-            own = [h[k] if k >= 0 and n >= 100 else None for (n, h, _), k in zip(found, places, strict=True)]
-            yield pd.DataFrame({"lang": rows["lang"], "entropy": pd.array(own, "Float64"), "spread": [s for _, _, s in found]})
-
-    shown = sample.filter("calibrates").select("text", "lang").mapInPandas(entropies, "lang string, entropy double, spread double")
-    shown = shown.filter("entropy is not null").groupBy("lang").agg(F.avg("entropy").alias("m"), F.stddev_pop("entropy").alias("d"), F.avg("spread").alias("s"))
-    model.limits = {row["lang"]: (row["m"], row["d"], row["s"]) for row in shown.collect()}
+            own = [h[k] if k >= 0 and n else None for (n, h, _), k in zip(found, places, strict=True)]
+            counts, spreads = [n for n, _, _ in found], [s for _, _, s in found]
+            yield pd.DataFrame({"lang": rows["lang"], "n": counts, "entropy": pd.array(own, "Float64"), "spread": spreads})
+
+    def limits(texts: DataFrame) -> dict[str | None, tuple[float, float, float]]:
+        """Weighted mean and deviation per language, and under None of all; what the spread of characters explains is no deviation."""
+        shown = texts.select("text", "lang").mapInPandas(entropies, "lang string, n long, entropy double, spread double")
+        shown = shown.filter("entropy IS NOT NULL").withColumn("w", F.col("n") / (F.col("n") + SETTLED))
+        mean = lambda what: F.sum(F.col("w") * what) / F.sum("w")
+        h, s = F.col("entropy"), mean(F.col("spread"))
+        explained = s * s * mean(1 / F.col("n"))
+        deviation = F.sqrt(F.greatest(mean(h * h) - mean(h) * mean(h) - explained, F.lit(0.0)))
+        found = shown.rollup("lang").agg(mean(h).alias("m"), deviation.alias("d"), s.alias("s"), F.grouping("lang").alias("all"))
+        return {None if row["all"] else row["lang"]: (row["m"], row["d"], row["s"]) for row in found.collect() if row["m"] is not None}
+
+    model.limits = limits(sample.filter("calibrates")) or limits(sample)
     return model
 
 
 def limit(model: Model, language: str, characters: int) -> float:
     """The cross-entropy above which a text of that many characters is rejected: six deviations and a half nat beyond the mean."""
-    if language not in model.limits:
-        return float("inf")
-    mean, deviation, spread = model.limits[language]
+    mean, deviation, spread = model.limits.get(language) or model.limits[None]
     return mean + 0.5 + 6 * deviation + 6 * spread / characters**0.5
 
 
@@ -258,16 +276,17 @@ def identify(docs: DataFrame, model: Model, passing: tuple[str, ...] = ()) -> Da
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        keep_only("language_id")
         model = shared.value
         for rows in batches:
             names, scores, lowest, rejected = [], [], [], []
             texts = rows.column(1).to_pylist()
-            for n, entropy, _ in scored(texts, model) if model.languages else [(0, np.empty(0), 0.0)] * len(texts):
-                if not n:
-                    names.append("und"), scores.append(0.0), lowest.append(None), rejected.append(True)
+            for n, entropy, _ in scored(texts, model) if model.languages else ((len(plain(text)), None, 0.0) for text in texts):
+                if not n or entropy is None:
+                    names.append("und"), scores.append(0.0), lowest.append(None), rejected.append(not n)
                     continue
                 best = int(entropy.argmin())
-                share = np.exp(-np.minimum((entropy - entropy[best]) * min(n, 200), 700.0))
+                share = np.exp(-np.minimum((entropy - entropy[best]) * min(n, EVIDENCE), 700.0))
                 names.append(model.languages[best])
                 scores.append(float(1.0 / share.sum()))
                 lowest.append(float(entropy[best]))

@@ -9,16 +9,18 @@ bytes of all strings that hold it, are compared.
    whole. So large groups of copies cost a digest each.
 1. Each part of the texts sends the hashes of its anchors, packed and sorted, and learns which occur in several documents.
 2. It sends the surroundings of those, each distinct one once with its least document. A task gathers the surroundings of its
-   anchors. Equal ones are settled by their least document; all suffixes of the different ones are sorted by a merge sort that
-   compares two suffixes through prefix polynomial hashes: a binary search finds how far they agree, the next byte decides.
-   Neighbours that agree over ``length`` bytes form a class; the bytes are compared themselves, so a collision changes nothing.
-   An anchor found in very many parts is not gathered: its surroundings are cut into single strings, dealt by their own hash.
+   anchors. Equal ones are settled by their least document; of the different ones, the suffixes whose first ``length`` bytes have
+   a hash that occurs more than once are sorted by a merge sort that compares two suffixes through prefix polynomial hashes: a
+   binary search finds how far they agree, the next byte decides. Neighbours that agree over ``length`` bytes form a class; the
+   bytes are compared themselves, so a collision changes nothing. An anchor with very many different surroundings, counted
+   before any is sent, is not gathered: its surroundings are cut into single strings, dealt by their own hash.
 3. Each part looks its surroundings up among the answers and removes the covered bytes.
 
 What is shuffled: a digest per text, the texts once (the same exchange serves all three steps), five bytes per anchor, and
-surroundings once per part. Parts hold a few megabytes of text. Texts are whole UTF-8 byte strings, null is empty; a document shorter than
-``length`` stays as it is. Rows that repeat an id do not count as different documents. An empty table gives no rows. Columns
-other than doc_id and text are left out, so no name can clash.
+surroundings once per part. Parts hold a few megabytes of text; rows are dealt to them by id and text, so that many rows without
+an id, or of one id, do not meet. Texts are whole UTF-8 byte strings, null is empty; a document shorter than ``length`` stays as
+it is. Rows that repeat an id do not count as different documents, nor do rows without one. An empty table gives no rows.
+Columns other than doc_id and text are left out, so no name can clash.
 """
 
 from __future__ import annotations
@@ -31,16 +33,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import in_parts, part_count, stored
+from tallyloom.llm.common import KEPT, in_parts, keep_only, part_count, stored, text_hash
 
 LENGTH = 50
 ANCHOR = 20
-HOT_PARTS = 1000  # an anchor found in more parts is dealt string by string
-BLOCK = 1 << 20  # bytes whose anchors are found at once
+HOT = 50_000  # an anchor with more different surroundings, 31 suffixes each, is dealt string by string: some 100 MB to sort
+BLOCK = 1 << 18  # bytes whose anchors are found at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LEADER, ANSWER = -2, -1  # kinds of messages; the others are numbers of buckets
 NO_DOC = np.iinfo("int64").max
 
+ANCHORS = "bucket int, part int, several boolean, keys binary, more binary"
 SURROUNDINGS = "bucket int, part int, keys binary, docs binary, shared binary, left binary, sizes binary, data binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 MESSAGE = "to_part int, kind int, doc long, keys binary, docs binary, spans binary"
@@ -69,12 +72,17 @@ _TABLES = [np.ones(1, "uint64"), np.ones(1, "uint64")]
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, kept by the worker up to the longest string so far."""
     if len(_TABLES[0]) <= n:
+        KEPT["suffix_dedup"] = _forget
         size = max(n, BLOCK + 1000)
         for place, factor in enumerate((BASE, np.uint64(pow(int(BASE), -1, 1 << 64)))):
             _TABLES[place] = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(size, factor))])
     return _TABLES[0], _TABLES[1]
 
 
+def _forget() -> None:
+    _TABLES[:] = [table[:1].copy() for table in _TABLES]
+
+
 class PrefixHashes:
     """Polynomial hashes of all prefixes of a byte string, for the hash of any substring in constant time."""
 
@@ -164,40 +172,50 @@ def _texts(rows: pd.DataFrame, leaders: set[int], length: int, anchor: int) -> I
 
 
 def _send_anchors(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int) -> pd.DataFrame:
-    """Hashes of the part's anchors, packed by bucket: those of one document and those of several."""
-    found, docs = [], []
+    """Hashes of the part's anchors, packed by bucket: those of one document and those of several.
+
+    ``more``: place and number of further different surroundings, for the few anchors that have such within the part.
+    """
+    keep_only("suffix_dedup")
+    nothing = pd.DataFrame({name: [] for name in ("bucket", "part", "several", "keys", "more")})
+    found, docs, around = [], [], []
     for text in _texts(rows, _leaders(messages), length, anchor):
-        for _, keys, _, _ in text.blocks():
-            keys = np.unique(keys)
+        for places, keys, hashes, low in text.blocks():
             found.append(keys)
             docs.append(np.full(len(keys), text.doc))
-    if not found:
-        return pd.DataFrame({"bucket": [], "part": [], "several": [], "keys": []})
-    keys, docs = np.concatenate(found), np.concatenate(docs)
-    order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
+            around.append(Surroundings(text, places, hashes, low).keys)
+    if not sum(map(len, found)):
+        return nothing
+    keys, docs, around = map(np.concatenate, (found, docs, around))
+    order = np.lexsort((around, keys))
+    keys, docs, around = keys[order], docs[order], around[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    if not len(keys):
-        return pd.DataFrame({"bucket": [], "part": [], "several": [], "keys": []})
+    fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (around[1:] != around[:-1])])
+    more = np.add.reduceat(fresh.astype("int64"), first) - 1
     several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
     keys = keys[first]
     out = []
     bucket = (keys % np.uint64(buckets)).astype("int64")
     for flag in (False, True):
-        own, to = keys[several == flag], bucket[several == flag]
-        by = np.argsort(to, kind="stable")
-        own, to = own[by], to[by]
+        by = np.flatnonzero(several == flag)
+        by = by[np.lexsort((_remainders(keys[by], buckets), bucket[by]))]
+        to = bucket[by]
         cuts = np.flatnonzero(to[1:] != to[:-1]) + 1
         for a, b in zip([0, *cuts], [*cuts, len(to)], strict=True) if len(to) else ():
             # five bytes of each hash are enough to drop almost all anchors of one document; a chance match costs work only
-            out.append((int(to[a]), int(rows["part"].iloc[0]), flag, _short(own[a:b], buckets)))
-    return pd.DataFrame(out, columns=["bucket", "part", "several", "keys"])
+            extra = np.flatnonzero(more[by[a:b]])
+            extra = _packed(np.stack([extra, more[by[a:b]][extra]], 1).astype("int32")) if len(extra) else None
+            out.append((int(to[a]), int(rows["part"].iloc[0]), flag, _short(keys[by[a:b]], buckets), extra))
+    return pd.DataFrame(out, columns=nothing.columns)
+
+
+def _remainders(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys // np.uint64(buckets)) & np.uint64((1 << 40) - 1)
 
 
 def _short(keys: np.ndarray, buckets: int) -> bytes:
-    """Sorted 40-bit remainders of hashes within a bucket."""
-    rest = np.sort((keys // np.uint64(buckets)) & np.uint64((1 << 40) - 1))
-    return _packed(rest.view("uint8").reshape(-1, 8)[:, :5])
+    """40-bit remainders of hashes within a bucket."""
+    return _packed(np.ascontiguousarray(_remainders(keys, buckets)).view("uint8").reshape(-1, 8)[:, :5])
 
 
 def _long(data: bytes) -> np.ndarray:
@@ -206,17 +224,24 @@ def _long(data: bytes) -> np.ndarray:
     return wide.view("uint64").ravel()
 
 
-def _repeated(rows: pd.DataFrame, hot_parts: int) -> pd.DataFrame:
-    """Answer each part which of its anchors of this bucket occur in several documents, and which of them in very many parts."""
+def _repeated(rows: pd.DataFrame, hot: int) -> pd.DataFrame:
+    """Answer each part which of its anchors of this bucket occur in several documents, and which of them have too many
+    different surroundings to be gathered. These are counted per part, so the same one in two parts counts twice."""
     lists = [_long(keys) for keys in rows["keys"]]
     keys = np.concatenate(lists)
     weight = np.concatenate([np.full(len(one), 2 if flag else 1, "int32") for one, flag in zip(lists, rows["several"], strict=True)])
+    kinds, begin = np.ones(len(keys), "int64"), 0
+    for one, more in zip(lists, rows["more"], strict=True):
+        if more is not None:
+            place, number = np.frombuffer(more, "int32").reshape(-1, 2).T
+            kinds[begin + place] += number
+        begin += len(one)
     order = np.argsort(keys, kind="stable")
-    keys, weight = keys[order], weight[order]
+    keys, weight, kinds = keys[order], weight[order], kinds[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     total = np.add.reduceat(weight, first)
     known = keys[first][total > 1]
-    spread = np.diff(np.append(first, len(keys)))[total > 1] > hot_parts
+    spread = np.add.reduceat(kinds, first)[total > 1] > hot
     bucket = int(rows["bucket"].iloc[0])
     out = []
     for part, one in zip(rows["part"], lists, strict=True):
@@ -259,8 +284,9 @@ def _strings(text: Text, places: np.ndarray, hashes: PrefixHashes, low: int) ->
     return begin, mixed(hashes.of(begin - low, text.length) + VALUES[13])
 
 
-def _send_surroundings(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int) -> pd.DataFrame:
-    """Distinct surroundings of repeated anchors with the least document of each, packed by bucket."""
+def _send_surroundings(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, compared: int, length: int, anchor: int) -> pd.DataFrame:
+    """Distinct surroundings of repeated anchors with the least document of each, packed by bucket of these."""
+    keep_only("suffix_dedup")
     known = Repeated(messages[messages["kind"] >= 0], buckets)
     keys, docs, to, left, sizes, data = [], [], [], [], [], []
     for text in _texts(rows, _leaders(messages), length, anchor):
@@ -270,7 +296,7 @@ def _send_surroundings(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int,
             around = Surroundings(text, places[cold], hashes, low)
             begin, single = _strings(text, places[hot], hashes, low)
             keys += [around.keys, single]
-            to += [(hashed[cold] % np.uint64(buckets)).astype("int64"), (single % np.uint64(buckets)).astype("int64")]
+            to += [(one % np.uint64(compared)).astype("int64") for one in (hashed[cold], single)]
             left += [around.left, np.full(len(single), -1)]
             sizes += [around.left + around.right, np.full(len(single), length)]
             docs.append(np.full(len(around.keys) + len(single), text.doc))
@@ -389,6 +415,7 @@ def _compare(rows: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
 
     ``docs``: the least document with equal surroundings; ``spans``: for that document itself, the covered bytes among them.
     """
+    keep_only("suffix_dedup")
     lists = [np.frombuffer(one, "uint64") for one in rows["keys"]]
     keys = np.concatenate(lists)
     docs = np.concatenate([np.frombuffer(one, "int64") for one in rows["docs"]])
@@ -439,8 +466,12 @@ def _collisions(order: np.ndarray, first: np.ndarray, data: np.ndarray, starts:
 
 
 def _anchor_hashes(data: np.ndarray, starts: np.ndarray, left: np.ndarray, anchor: int) -> np.ndarray:
-    hashes = PrefixHashes(data)
-    return mixed(hashes.of(starts + np.maximum(left, 0), anchor))
+    """Polynomial hashes of the anchors alone; hashes of all prefixes would take many times the bytes."""
+    places, powers = starts + np.maximum(left, 0), _powers(anchor)[0]
+    sums = np.zeros(len(places), "uint64")
+    for i in range(anchor):
+        sums += VALUES[data[places + i]] * powers[i]
+    return mixed(sums)
 
 
 def _groups(places: np.ndarray, hashed: np.ndarray, most: int = 20_000) -> Iterator[np.ndarray]:
@@ -455,6 +486,16 @@ def _groups(places: np.ndarray, hashed: np.ndarray, most: int = 20_000) -> Itera
             begin = cut
 
 
+def _in_twos(hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash occurs more than once: a string with a hash of its own equals no other."""
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(hashes), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return twice
+
+
 def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) -> None:
     """Sort all strings of ``length`` bytes in some surroundings and mark those that a smaller document has."""
     own_sizes = sizes[chosen[some]]
@@ -463,7 +504,9 @@ def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) ->
     counts = own_sizes - length + 1
     suffixes = np.repeat(offsets, counts) + _ramp(counts)
     sorter = SuffixSort(joined, length)
-    ordered = sorter.sort(suffixes)
+    ordered = sorter.sort(suffixes[_in_twos(sorter.hashes.of(suffixes, length))])
+    if not len(ordered):
+        return
     classes = sorter.classes(ordered)
     owner = np.searchsorted(offsets, ordered, side="right") - 1
     doc = least[some][owner]
@@ -481,6 +524,7 @@ def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) ->
 
 def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: int, anchor: int, with_kept: bool, passing: tuple[str, ...]) -> pd.DataFrame:
     """Remove covered bytes from the part's texts."""
+    keep_only("suffix_dedup")
     known = Repeated(messages[messages["kind"] >= 0], buckets)
     answers = messages[messages["kind"] == ANSWER]
     leaders = _leaders(messages)
@@ -521,30 +565,34 @@ def _remove(rows: pd.DataFrame, messages: pd.DataFrame, buckets: int, length: in
     return result
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_parts: int = HOT_PARTS, with_kept: bool = True, passing: tuple[str, ...] = ()) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, with_kept: bool = True, passing: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every (doc_id, text) row.
 
     ``doc_id`` is a whole number; rows without one count as one document that comes last. ``kept`` are the remaining bytes.
     ``passing`` names text columns to pass on.
     """
     parts = part_count(docs)
-    buckets = parts // 4 + 1  # a row goes from each part to each bucket and back: fewer buckets, fewer and larger rows
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC))
-    content = F.sha2(F.coalesce("text", F.lit("")), 256).alias("content")
-    leaders = docs.select(doc.alias("doc"), content).groupBy("content").agg(F.min("doc").alias("doc")).select("doc").distinct()
-    leaders = leaders.select(in_parts("doc", parts).alias("to_part"), F.lit(LEADER).alias("kind"), "doc")
+    # A row goes from each part to each bucket and back: fewer buckets for the short lists of anchors, more for surroundings.
+    buckets, compared = parts // 4 + 1, parts // 2 + 1
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC)).alias("doc"), "text", *(F.col(name).cast("string") for name in passing)
+    )
+    by_text = in_parts("doc", parts, "same")
+    leaders = rows.select("doc", F.sha2(F.coalesce("text", F.lit("")), 256).alias("content"), text_hash().alias("same"))
+    leaders = leaders.groupBy("content", "same").agg(F.min("doc").alias("doc"))
+    leaders = leaders.select(by_text.alias("to_part"), F.lit(LEADER).alias("kind"), "doc").distinct()
     leaders = stored(leaders, "leaders")
-    dealt = docs.select(doc.alias("doc"), "text", in_parts(doc, parts).alias("part"), *(F.col(name).cast("string") for name in passing))
+    dealt = rows.withColumn("same", text_hash()).withColumn("part", by_text).drop("same")
     sent = (
         dealt.groupBy("part")
         .cogroup(leaders.groupBy("to_part"))
-        .applyInPandas(lambda rows, messages: _send_anchors(rows, messages, buckets, length, anchor), "bucket int, part int, several boolean, keys binary")
+        .applyInPandas(lambda rows, messages: _send_anchors(rows, messages, buckets, length, anchor), ANCHORS)
     )
-    repeated = sent.groupBy("bucket").applyInPandas(lambda rows: _repeated(rows, hot_parts), MESSAGE)
+    repeated = sent.groupBy("bucket").applyInPandas(lambda rows: _repeated(rows, hot), MESSAGE)
     around = (
         dealt.groupBy("part")
         .cogroup(repeated.unionByName(leaders, allowMissingColumns=True).groupBy("to_part"))
-        .applyInPandas(lambda rows, messages: _send_surroundings(rows, messages, buckets, length, anchor), SURROUNDINGS)
+        .applyInPandas(lambda rows, messages: _send_surroundings(rows, messages, buckets, compared, length, anchor), SURROUNDINGS)
     )
     answers = around.groupBy("bucket").applyInPandas(lambda rows: _compare(rows, length, anchor), MESSAGE)
     schema = RESULT + ", kept binary" * with_kept + "".join(f", `{name}` string" for name in passing)

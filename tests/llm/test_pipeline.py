@@ -50,14 +50,6 @@ def test_languages(steps):
     assert {r["doc_id"]: r["lang"] for r in after}[9002] == "en"
 
 
-def test_groups(steps):
-    before, after, columns = steps[0]["ngram_join"]
-    groups = brute_groups([(r["doc_id"], r["text"]) for r in before], 3, 90)
-    assert columns == corpus_pipeline.COLUMNS
-    assert sorted(r["doc_id"] for r in after) == sorted(doc for doc, (_, group) in groups.items() if doc == group)
-    assert not {9001, 9002} & {r["doc_id"] for r in after}
-
-
 def test_passages(steps):
     before, after, columns = steps[0]["suffix_dedup"]
     removed = brute_removed([(r["doc_id"], r["text"]) for r in before], 50)
@@ -88,8 +80,9 @@ def test_packing_and_whole_run(steps):
 
 
 def test_groups_of_five_words_and_four_fifths(steps):
-    before, after, _ = steps[0]["ngram_join"]
+    before, after, columns = steps[0]["ngram_join"]
     groups = brute_groups([(r["doc_id"], r["text"]) for r in before], 5, 80)
+    assert columns == corpus_pipeline.COLUMNS and not {9001, 9002} & {r["doc_id"] for r in after}
     assert sorted(r["doc_id"] for r in after) == sorted(doc for doc, (_, group) in groups.items() if doc == group)
 
 
@@ -115,3 +108,12 @@ def test_rows_without_an_id_or_with_a_repeated_one_go_by_their_text(spark, frame
     spark.createDataFrame([(1, texts["c"][:300]), (2, texts["e"][:300])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = {(r["doc_id"], r["text"]) for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()}
     assert left == {row for row in rows if row[1] not in (texts["c"], texts["e"])}
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None), (None, None, "en")], [(1, "", None), (2, "12", "en")], [(1, "words without a label", None)] * 2])
+def test_empty_null_and_unlabelled_tables(spark, rows, tmp_path):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'x' AS source", "1L AS n_chars", "0 AS part")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "some item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == {doc for doc, text, _ in rows if text and not text.isdigit()}

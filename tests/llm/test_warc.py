@@ -62,12 +62,6 @@ def test_salvage_keeps_every_other_record(pack, damaged, how):
         assert any(isinstance(f, str) for f in found)
 
 
-def test_several_records_in_one_member_are_reported():
-    assert read(zlib.compress(b"x")) == ["no member"] or read(b"garbage") == ["no version line"]
-    joined = warc.compressed(b"".join(records(PAGES[:2])))
-    assert read(joined) == ["bytes behind the record"]
-
-
 def test_every_record_of_a_member_is_read():
     stored = records(PAGES)
     found = read(warc.compressed(b"".join(stored)))
