@@ -2,6 +2,11 @@
 
 Language ID drops what no language model accepts; of documents linked by their n-grams one stays; passages that an earlier
 document holds are cut out; documents that hold benchmark passages go; what is left is packed into sequences.
+
+A null, empty or letterless text goes at the first stage. Without any labelled document no language can be told: then every text
+with letters stays. Very long texts are worked on whole. Of rows that repeat an id and its text all stay together or go together;
+texts under one id, or without an id, are told apart by their hash. Ties between group members go to the least id. An empty table
+gives an empty result at every stage. Columns other than the five of documents are left out before anything is joined.
 """
 
 from __future__ import annotations
