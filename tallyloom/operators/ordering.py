@@ -4,8 +4,9 @@ A window over a whole group puts the group in one task. The functions here first
 slots (value ranges or hash ranges), total every slot, and run the window inside one slot only. The
 slot totals are at most ``slots`` rows per group, so their own window stays small. Results are exact.
 
-Values are cut twice: the group's range into slots of equal width, and each slot's own range again, so that an outlier or a
-dense cluster fills many inner slots. Infinities only widen the outer range; NaN is no value and is left out with the nulls.
+Values are cut at equal depth: a mergeable quantile sketch of a group's distinct values gives the cut points, so slots hold
+about equally many values however these are spread. The cuts need not be exact: ranks come from the counts in each slot.
+Infinities are values like others; NaN is no value and is left out with the nulls.
 
 A plan partitioned by the group also counts as partitioned by (group, slot), and Spark would then leave the
 group where it is. So slotted rows are repartitioned by (group, slot) explicitly.
@@ -18,29 +19,40 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SKETCH = 4  # ranks of the cut points are off by at most one slot in so many
+UNCUT = 4  # a group with at most so many values per slot stays in one
 
-LARGEST = 8e307  # stands for an infinity where the width of a range is needed
 
+def _cut_points(order: str, slots: int) -> Column:
+    """Aggregate: ascending cut points that part the group's rows into slots of about equal depth; none for a small group."""
+    if slots < 2:
+        return F.expr("array()").cast("array<double>")
+    shares = F.array(*[F.lit(i / slots) for i in range(1, slots)])
+    cuts = F.percentile_approx(F.col(order).cast("double"), shares, SKETCH * slots)
+    return F.when(F.count(order) > UNCUT * slots, F.array_distinct(cuts)).otherwise(F.expr("array()").cast("array<double>"))
 
-def _spans(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str]) -> DataFrame:
-    """Attach the group's smallest and largest order value (_lo, _hi) and the measures' totals (<m>_total)."""
-    finite = F.greatest(F.least(F.col(order).cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
-    parts = {"_lo": F.min(finite), "_hi": F.max(finite), **{f"{m}_total": F.sum(m) for m in measures}}
-    if by:
-        return attach(df, df.groupBy(*by).agg(*[c.alias(n) for n, c in parts.items()]), by, order)
-    # a single group: one scalar subquery instead of a join without keys
-    whole = df.agg(F.struct(*[c.alias(n) for n, c in parts.items()])).scalar()
-    return df.withColumn("_span", whole).select(*df.columns, "_span.*")
+
+def _cuts_before(cuts: Column, value: Column, slots: int) -> Column:
+    """How many of the ascending cut points lie at or below a value: a binary search by halving steps."""
+    steps = [1 << bit for bit in reversed(range(max(slots - 1, 1).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(step) for step in steps]), F.lit(0),
+        lambda at, step: at + F.when(F.get(cuts, at + step - 1) <= value, step).otherwise(0),
+    )
 
 
 def value_slots(df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int) -> DataFrame:
-    """Cut each group into ranges of a numeric column, as _slot in their order; equal values share a slot."""
-    value = F.greatest(F.least(F.col(order).cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
-    share = (value - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * slots), F.lit(slots - 1))).otherwise(F.lit(0))
-    outer = _spans(df, by, order, measures).withColumn("_outer", slot.cast("long")).drop("_lo", "_hi")
-    inner = _spans(outer, [*by, "_outer"], order, []).withColumn("_slot", F.col("_outer") * slots + slot)
-    return inner.drop("_lo", "_hi", "_outer").repartition(*by, "_slot")
+    """Cut each group into ranges of a numeric column, as _slot in their order, and add the measures' totals (<m>_total).
+
+    ``df`` must hold one row per (by, order value), so that no slot is filled by one value's rows.
+    """
+    parts = [_cut_points(order, slots).alias("_cuts"), *[F.sum(m).alias(f"{m}_total") for m in measures]]
+    if by:
+        known = attach(df, df.groupBy(*by).agg(*parts), by, order)
+    else:  # a single group: one scalar subquery instead of a join without keys
+        known = df.withColumn("_group", df.agg(F.struct(*parts)).scalar()).select(*df.columns, "_group.*")
+    slot = _cuts_before(F.col("_cuts"), F.col(order).cast("double"), slots)
+    return known.withColumn("_slot", slot).drop("_cuts").repartition(*by, "_slot")
 
 
 def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -56,7 +68,7 @@ def _slot_offsets(df: DataFrame, by: Sequence[str], measures: Sequence[str]) ->
 
 
 def running_before(
-    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 4096
+    df: DataFrame, by: Sequence[str], order: str, measures: Sequence[str], slots: int = 1024
 ) -> DataFrame:
     """Add ``<m>_before`` and ``<m>_total``: sums of each measure over smaller order values and over the group.
 
@@ -92,7 +104,7 @@ def attach(df: DataFrame, per_group: DataFrame, by: Sequence[str], spread: str,
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 4096
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None, slots: int = 1024
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and one column per entry of ``probs``.
 

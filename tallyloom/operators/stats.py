@@ -30,7 +30,7 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias("accuracy"))
 
 
-def auc(df: DataFrame, label: str, score: str, slots: int = 16384) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, slots: int = 1024) -> DataFrame:
     """Area under the ROC curve by the rank-sum rule, tied scores counting half.
 
     Rows are first reduced to one per score, so ranks are running sums over score ranges, never one global sort.

@@ -79,22 +79,38 @@ def test_auc_of_one_class_is_null(spark):
     assert stats.auc(spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double"), "y", "s").first()[0] is None
 
 
+DRAW = random.Random(8)
+
+
 @pytest.mark.parametrize("values", [
     [i / 1e6 for i in range(20_000)] + [1e9],
     [i / 1e6 for i in range(20_000)] + [float("inf"), float("-inf")],
     [0.5 + i / 1e9 for i in range(20_000)] + [0.0, 1.0],
+    [DRAW.lognormvariate(0, 6) for _ in range(20_000)],
+    [10 ** DRAW.uniform(-15, 15) for _ in range(20_000)],
+    [-(10 ** DRAW.uniform(-300, 300)) for _ in range(20_000)],
 ])
-def test_slots_stay_small_beside_outliers_and_clusters(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    placed = ordering.value_slots(df.withColumn("n", F.lit(1)), [], "v", ["n"], 4096)
-    sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.avg("n")).first()
-    assert sizes[0] <= 10 * sizes[1]
-    found = ordering.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
-    ordered = sorted(values)
-    middle = (ordered[(len(values) - 1) // 2] + ordered[len(values) // 2]) / 2
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_slots_are_about_equally_deep_whatever_the_spread(spark, values, by):
+    df = spark.createDataFrame([("a", v) for v in set(values)], "g string, v double")
+    placed = ordering.value_slots(df.withColumn("n", F.lit(1)), by, "v", ["n"], 512)
+    sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.avg("n"), F.count(F.lit(1))).first()
+    assert sizes[0] <= 2 * sizes[1] and sizes[2] > 400
+    edges = placed.groupBy("_slot").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_slot").collect()
+    assert all(a.hi < b.lo for a, b in zip(edges, edges[1:]))  # slots are in the order of their values
+    found = ordering.exact_quantiles(df, by, "v", {"m": 0.5}, slots=512).first()["m"]
+    ordered = sorted(set(values))
+    middle = (ordered[(len(ordered) - 1) // 2] + ordered[len(ordered) // 2]) / 2
     assert found == pytest.approx(middle, rel=1e-12)
 
 
+def test_small_groups_stay_whole_and_large_ones_are_cut(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 29_000, "big").otherwise(F.concat(F.lit("g"), F.col("id") % 300)).alias("g"), F.col("id").cast("double").alias("v"))
+    placed = ordering.value_slots(df.withColumn("n", F.lit(1)), ["g"], "v", ["n"], 256)
+    slots = {r.g: r.n for r in placed.groupBy("g").agg(F.countDistinct("_slot").alias("n")).collect()}
+    assert slots.pop("big") > 200 and set(slots.values()) == {1}
+
+
 def test_nan_is_no_value(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "v double")
     assert ordering.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 2.0
