@@ -10,7 +10,7 @@ bytes of all strings that hold it, are compared.
 1. Each part of the texts sends the hashes of its anchors, packed and sorted, and learns which occur in several documents.
 2. It sends the surroundings of those, each distinct one once with its least document. A task gathers the surroundings of its
    anchors. Equal ones are settled by their least document; of the different ones, the suffixes whose first ``length`` bytes have
-   a hash that occurs more than once are sorted by a merge sort that compares two suffixes through prefix polynomial hashes: a
+   a hash that occurs more than once, one of each hash, are sorted by a merge sort that compares two suffixes through prefix polynomial hashes: a
    binary search finds how far they agree, the next byte decides. Neighbours that agree over ``length`` bytes form a class; the
    bytes are compared themselves, so a collision changes nothing. An anchor with very many different surroundings, counted
    before any is sent, is not gathered: its surroundings are cut into single strings, dealt by their own hash.
@@ -376,6 +376,19 @@ class SuffixSort:
             run *= 2
         return suffixes
 
+    def sorted_repeats(self, suffixes: np.ndarray) -> np.ndarray:
+        """Suffixes in order, without those whose first ``depth`` bytes have a hash of their own: they equal no other. Of those
+        with one hash the comparison finds one place, so one is sorted and the others follow it."""
+        hashes = self.hashes.of(suffixes, self.depth)
+        order = np.argsort(hashes, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])) if len(order) else order
+        sizes = np.diff(np.append(first, len(order)))
+        first, sizes = first[sizes > 1], sizes[sizes > 1]
+        lead = suffixes[order[first]]
+        by_place = np.argsort(lead)
+        at = by_place[np.searchsorted(lead[by_place], self.sort(lead))]
+        return suffixes[order[np.repeat(first[at], sizes[at]) + _ramp(sizes[at])]]
+
     def _rank(self, suffixes: np.ndarray, index: np.ndarray, low: np.ndarray, high: np.ndarray, is_left: np.ndarray) -> np.ndarray:
         """Where each element goes in the other run: left elements before equal ones, right elements behind them."""
         low, high = low.copy(), high.copy()
@@ -395,7 +408,7 @@ class SuffixSort:
         """Class number of each sorted suffix; neighbours that agree over the depth share one. Bytes are compared at last."""
         if not len(ordered):
             return np.empty(0, "int64")
-        same = self.agreement(ordered[:-1], ordered[1:]) >= self.depth
+        same = self.hashes.of(ordered[:-1], self.depth) == self.hashes.of(ordered[1:], self.depth)
         at = np.flatnonzero(same)
         for begin in range(0, len(at), 1 << 16):  # collision check
             some = at[begin : begin + (1 << 16)]
@@ -486,16 +499,6 @@ def _groups(places: np.ndarray, hashed: np.ndarray, most: int = 20_000) -> Itera
             begin = cut
 
 
-def _in_twos(hashes: np.ndarray) -> np.ndarray:
-    """Whether each hash occurs more than once: a string with a hash of its own equals no other."""
-    order = np.argsort(hashes)
-    same = hashes[order][1:] == hashes[order][:-1]
-    twice = np.zeros(len(hashes), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    return twice
-
-
 def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) -> None:
     """Sort all strings of ``length`` bytes in some surroundings and mark those that a smaller document has."""
     own_sizes = sizes[chosen[some]]
@@ -504,7 +507,7 @@ def _sort_open(some, chosen, data, starts, sizes, least, begin, stop, length) ->
     counts = own_sizes - length + 1
     suffixes = np.repeat(offsets, counts) + _ramp(counts)
     sorter = SuffixSort(joined, length)
-    ordered = sorter.sort(suffixes[_in_twos(sorter.hashes.of(suffixes, length))])
+    ordered = sorter.sorted_repeats(suffixes)
     if not len(ordered):
         return
     classes = sorter.classes(ordered)

@@ -60,6 +60,19 @@ def test_merge_sort_is_the_order_of_suffixes():
     assert len(np.unique(sorter.classes(ordered))) == len(set(keys))
 
 
+def test_repeats_are_sorted_and_lone_suffixes_left_out():
+    rnd = random.Random(6)
+    text = "".join(rnd.choice("ab") for _ in range(700)).encode() * 2 + "".join(rnd.choice("abc") for _ in range(900)).encode()
+    sorter = SuffixSort(np.frombuffer(text, "uint8"), 20)
+    starts = np.arange(len(text) - 20)
+    keys = [text[i : i + 20] for i in starts]
+    want = sorted(key for key in keys if keys.count(key) > 1)
+    ordered = sorter.sorted_repeats(starts)
+    assert [text[i : i + 20] for i in ordered] == want and len(set(ordered.tolist())) == len(want)
+    assert len(np.unique(sorter.classes(ordered))) == len(set(want))
+    assert len(sorter.sorted_repeats(starts[:0])) == 0
+
+
 def texts_around_an_anchor(n):
     """Texts with one passage in contexts of their own; some contexts return."""
     rnd = random.Random(9)
