@@ -6,43 +6,42 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.formats import exact_sum, from_cents, money
 from tallyloom.operators import windows
-from tallyloom.operators.cube import CubeSpec
+from tallyloom.operators.cube import Dimension, StoredCube
 from tallyloom.operators.olap import Cube
 from tallyloom.plans import trade
+from tallyloom.session import fingerprint, shared_folder
 
-def trade_cube() -> CubeSpec:
-    return CubeSpec(
-        hierarchies=(("s_state", "s_city", "supplier"), ("c_state", "c_city", "consumer")),
-        flat=("product",),
-        measures={"quantity": F.sum("units"), "transactions": F.sum("tx")},
-    )
+TABLES = ("lineitem", "orders", "supplier", "customer", "part", "nation", "region")
+_STORED: dict[tuple[str, str], tuple[str, StoredCube]] = {}
 
 
-def cube_rows(spark, folder):
-    """Facts with the names of all three dimensions. Dimensions a slice filters come first, so that fewer
-    lines reach the shuffle on the order id."""
+def build_cube(spark, folder) -> StoredCube:
     s = trade.suppliers(spark, folder).withColumnsRenamed({"city": "s_city", "state": "s_state"})
-    c = trade.consumers(spark, folder).select(
-        "con_id", "consumer", F.col("city").alias("c_city"), F.col("state").alias("c_state")
-    )
-    return (
-        trade.lines(spark, folder)
-        .join(s, "supp_id")
-        .join(trade.products(spark, folder).select("prod_id", "product"), "prod_id")
-        .join(trade.sales(spark, folder).join(c, "con_id"), "order_id")
-        .select("s_state", "s_city", "supplier", "c_state", "c_city", "consumer", "product", F.col("quantity").alias("units"), F.lit(1).alias("tx"))
-    )
+    c = trade.consumers(spark, folder).withColumnsRenamed({"city": "c_city", "state": "c_state"})
+    dimensions = [
+        Dimension("supp_id", ("s_state", "s_city", "supplier"), s),
+        Dimension("con_id", ("c_state", "c_city", "consumer"), c),
+        Dimension("prod_id", ("product",), trade.products(spark, folder).select("prod_id", "product")),
+    ]
+    cube = StoredCube(spark, shared_folder(spark, "cube"), dimensions, {"quantity": F.col("quantity"), "transactions": F.lit(1)})
+    return cube.build(trade.transactions(spark, folder))
+
+
+def trade_cube(spark, folder, anew: bool = False) -> StoredCube:
+    """The stored cube of a folder: built by the session's first question, and again when a file has changed since."""
+    key, state = (spark.sparkContext.applicationId, folder), fingerprint(spark, folder, *TABLES)
+    if anew or key not in _STORED or _STORED[key][0] != state:
+        _STORED[key] = state, build_cube(spark, folder)
+    return _STORED[key][1]
 
 
 def cube_32(spark, folder):
-    """All levels. The finest level is aggregated first: the 32-fold expansion then starts from its rows."""
-    spec = trade_cube()
-    finest = cube_rows(spark, folder).groupBy(*spec.columns).agg(F.sum("units").alias("units"), F.sum("tx").alias("tx"))
-    return spec.build(finest)
+    """Build and store the cube, and read all its levels."""
+    return trade_cube(spark, folder, anew=True).cells()
 
 
 def _level(spark, folder, depths, flat=(), where=None):
-    return trade_cube().level(cube_rows(spark, folder), depths, flat, where)
+    return trade_cube(spark, folder).slice((*depths, len(flat)), where)
 
 
 def cube_base(spark, folder):

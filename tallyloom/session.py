@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the session names in ``spark.checkpoint.dir`` for driver and executors alike.
+
+    Only a local session without that setting gets a folder of its own; on a cluster a missing folder is an
+    error, because a machine-local folder would be lost with its executor.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        base = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+        context.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def fingerprint(spark: SparkSession, folder: str, *names: str) -> str:
+    """Paths, sizes and times of the files of some tables: what is stored from them holds while this stays the same."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        files = store.listStatus(path)
+        found += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    return repr(found)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of an iterative job with a reliable checkpoint.
 
