@@ -109,8 +109,8 @@ def test_levels_come_from_the_smallest_finished_parent(stored):
 
 def test_a_slice_reads_one_level_and_levels_shuffle_no_names(stored):
     cube, _ = stored
-    plan = cube.slice((1, 0))._jdf.queryExecution().executedPlan().toString()
-    assert f"cells/level_id={cube.level_id((1, 0))}]" in plan and plan.count("cells/level_id") == 1
+    read = {path.split("/cells/")[1].split("/")[0] for path in cube.slice((1, 0)).inputFiles() if "/cells/" in path}
+    assert read == {f"level_id={cube.level_id((1, 0))}"}
     grouped = cube._summed(cube._cells((3, 1)), (2, 1))._jdf.queryExecution().executedPlan().toString()
     assert not any(name in grouped for name in ("region", "town", "shop", "item")) and "Expand" not in grouped
 
