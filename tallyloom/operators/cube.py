@@ -180,12 +180,11 @@ class StoredCube:
         out = self.spark.read.schema(f"{self.schema}, level_id long").parquet(f"{self.path}/cells")
         for place, d in enumerate(self.dimensions):
             depth = sum((F.col(i).isNotNull().cast("int") for i in d.ids), F.lit(0))
-            out = out.withColumns({"_depth": depth, "_id": F.coalesce(*[F.col(i) for i in reversed(d.ids)], F.lit(0).cast("long"))})
-            members = self._members(place)
-            parts = [F.struct(F.lit(0).alias("_depth"), F.lit(0).cast("long").alias("_id"), *[F.lit(None).cast("string").alias(c) for c in d.levels])]
+            out = out.withColumns({"_depth": depth, "_id": F.coalesce(*[F.col(i) for i in reversed(d.ids)])})
+            parts = []
             for at, i in enumerate(d.ids, 1):
-                kept = [(F.col(c) if n < at else F.lit(None)).cast("string").alias(c) for n, c in enumerate(d.levels)]
+                kept = [F.when(F.lit(n < at), F.col(c)).alias(c) for n, c in enumerate(d.levels)]
                 parts.append(F.struct(F.lit(at).alias("_depth"), F.col(i).alias("_id"), *kept))
-            names = members.select(F.inline(F.array(*parts))).distinct()
-            out = out.join(names, ["_depth", "_id"]).drop("_depth", "_id")
+            names = self._members(place).select(F.inline(F.array(*parts))).distinct()
+            out = out.join(names, ["_depth", "_id"], "left").drop("_depth", "_id")  # "all" has no name
         return out.select(*[c for d in self.dimensions for c in d.levels], "level_id", *self.measures)
