@@ -184,7 +184,7 @@ def _whole_model(rows):
 def pdp_category(spark, folder):
     rows = models.packed(labelled(spark, folder))
     names = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
-    return models.partial_dependence(_whole_model(rows), rows, "lang", stats.levels_of(rows, "lang"), NUMERIC + CATEGORICAL, names)
+    return models.partial_dependence(_whole_model(rows), rows, "lang", None, NUMERIC + CATEGORICAL, names)
 
 
 def pdp_numeric(spark, folder):
@@ -211,12 +211,15 @@ def ols_multi(spark, folder):
     return fit.coefficients.select("term", F.round("estimate", 3).alias("estimate"))
 
 
+WITH_PRODUCT = stats.Formula(("l_quantity", "l_discount"), {"l_returnflag": "N"}, (("l_returnflag", "l_quantity"),))
+
+
 def ols_coefficients(spark, folder):
     """Price on quantity, discount and return flag with the flag's products: estimates, errors and intervals."""
-    fit = stats.ols(
-        read_table(spark, folder, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], {"l_returnflag": "N"}, [("l_returnflag", "l_quantity")]
-    )
-    return fit.coefficients
+    lines = read_table(spark, folder, "lineitem")
+    fit = stats.ols(lines, "l_extendedprice", WITH_PRODUCT.numeric, WITH_PRODUCT.categorical, WITH_PRODUCT.products)
+    numbers = [F.round(c, 2).alias(c) for c in ("estimate", "std_error", "t_value", "p_value", "low", "high")]
+    return fit.coefficients.select("term", *numbers)
 
 
 def ols_simple(spark, folder):
@@ -246,19 +249,16 @@ def ols_slopes(spark, folder):
 
 
 def ols_models(spark, folder):
-    """Adjusted R2, AIC and errors of several formulas side by side."""
-    lines = read_table(spark, folder, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag")
+    """Adjusted R2, AIC and error of several formulas side by side, from one scan."""
+    numbers = ("l_quantity", "l_discount", "l_tax")
     formulas = {
-        "quantity": (["l_quantity"], {}, []),
-        "all numbers": (["l_quantity", "l_discount", "l_tax"], {}, []),
-        "with flag": (["l_quantity", "l_discount", "l_tax"], {"l_returnflag": "N"}, []),
-        "with product": (["l_quantity", "l_discount"], {"l_returnflag": "N"}, [("l_returnflag", "l_quantity")]),
+        "quantity": stats.Formula(("l_quantity",)),
+        "all numbers": stats.Formula(numbers),
+        "with flag": stats.Formula(numbers, {"l_returnflag": "N"}),
+        "with product": WITH_PRODUCT,
     }
-    out = None
-    for name, (numeric, categorical, products) in formulas.items():
-        row = stats.ols(lines, "l_extendedprice", numeric, categorical, products).quality.withColumn("model", F.lit(name))
-        out = row if out is None else out.unionByName(row)
-    return out
+    found = stats.ols_table(read_table(spark, folder, "lineitem"), "l_extendedprice", formulas)
+    return found.select("model", "n", "parameters", *[F.round(c, 6).alias(c) for c in ("r2", "adjusted_r2")], F.round("aic", 2).alias("aic"), F.round("rmse", 3).alias("rmse"))
 
 
 QUERIES = {
@@ -269,7 +269,58 @@ QUERIES = {
     )
 }
 
+# Co-moments within a set of rows, as SQL; the response is y, the numbers are q, d and x.
+_CO = "count(*) AS n, avg(y) AS my, avg(q) AS mq, avg(d) AS md, " + ", ".join(
+    f"covar_pop({a}, {b}) * count(*) AS {a}{b}" for a, b in ("yy", "yq", "yd", "yx", "qq", "qd", "qx", "dd", "dx", "xx")
+)
+_LINES = "l AS (SELECT l_returnflag AS flag, l_extendedprice AS y, l_quantity AS q, l_discount AS d, l_tax AS x FROM lineitem)"
+
+
+def _swept(table: str, by: str, left: str) -> str:
+    """Co-moments after one number has been taken out of the others."""
+    kept = [f"{a}{b}" for i, a in enumerate(left) for b in left[i:]]
+    pair = lambda a: "".join(sorted((a, by), key="yqdx".index))
+    return f"SELECT {', '.join(f'{c} - {pair(c[0])} * {pair(c[1])} / {by}{by} AS {c}' for c in kept)} FROM {table}"
+
+
+def _in_groups(left: str) -> str:
+    return ", ".join(f"sum({a}{b}) AS {a}{b}" for i, a in enumerate(left) for b in left[i:])
+
+
 ORACLE = {
+    # The products give each flag a slope of its own, so only the discount ties the groups together.
+    "ols_coefficients": f"""
+WITH {_LINES}, g AS (SELECT flag, {_CO} FROM l GROUP BY flag),
+w AS (SELECT sum(yd - yq * qd / qq) AS num, sum(dd - qd * qd / qq) AS den, sum(n) AS n, sum(yy - yq * yq / qq) AS own FROM g),
+v AS (SELECT num / den AS b, den, n - 7 AS free, (own - num * num / den) / (n - 7) AS s2 FROM w),
+k AS (SELECT flag, (yq - b * qd) / qq AS slope, my - mq * (yq - b * qd) / qq - b * md AS level, qd / qq AS k, md - mq * qd / qq AS e,
+  1 / qq AS slope_own, 1.0 / n + mq * mq / qq AS level_own FROM g, v),
+t AS (
+  SELECT 'l_discount' AS term, b AS estimate, sqrt(s2 / den) AS std_error FROM v
+  UNION ALL SELECT 'l_quantity', slope, sqrt(s2 * (slope_own + k * k / den)) FROM k, v WHERE flag = 'N'
+  UNION ALL SELECT '(intercept)', level, sqrt(s2 * (level_own + e * e / den)) FROM k, v WHERE flag = 'N'
+  UNION ALL SELECT 'l_returnflag=' || a.flag, a.level - z.level, sqrt(s2 * (a.level_own + z.level_own + (a.e - z.e) ** 2 / den))
+    FROM k a, k z, v WHERE a.flag <> 'N' AND z.flag = 'N'
+  UNION ALL SELECT 'l_returnflag=' || a.flag || ':l_quantity', a.slope - z.slope, sqrt(s2 * (a.slope_own + z.slope_own + (a.k - z.k) ** 2 / den))
+    FROM k a, k z, v WHERE a.flag <> 'N' AND z.flag = 'N'
+), u AS (  -- quantile and tail of Student's t by their expansions in the degrees of freedom around the normal ones
+  SELECT *, estimate / std_error AS t_value, 1.959963984540054 AS z, free FROM t, v
+), r AS (
+  SELECT *, z + (z ** 3 + z) / (4 * free) + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * free ** 2) AS reach,
+    abs(t_value) * (1 - 1 / (4 * free)) / sqrt(1 + t_value ** 2 / (2 * free)) AS a FROM u
+), h AS (SELECT *, 1 / (1 + 0.2316419 * a) AS c FROM r)
+SELECT term, ROUND(estimate, 2) AS estimate, ROUND(std_error, 2) AS std_error, ROUND(t_value, 2) AS t_value,
+  ROUND(2 * exp(-a * a / 2) / sqrt(2 * pi()) * (0.319381530 * c - 0.356563782 * c ** 2 + 1.781477937 * c ** 3 - 1.821255978 * c ** 4 + 1.330274429 * c ** 5), 2) AS p_value,
+  ROUND(estimate - reach * std_error, 2) AS low, ROUND(estimate + reach * std_error, 2) AS high FROM h""",
+    "ols_models": f"""
+WITH {_LINES}, a AS (SELECT {_CO} FROM l), g AS (SELECT flag, {_CO} FROM l GROUP BY flag),
+q1 AS ({_swept("a", "q", "ydx")}), q2 AS ({_swept("q1", "d", "yx")}), q3 AS ({_swept("q2", "x", "y")}),
+f0 AS (SELECT {_in_groups("yqdx")} FROM g), f1 AS ({_swept("f0", "q", "ydx")}), f2 AS ({_swept("f1", "d", "yx")}), f3 AS ({_swept("f2", "x", "y")}),
+p0 AS ({_swept("g", "q", "yd")}), p1 AS (SELECT {_in_groups("yd")} FROM p0), p2 AS ({_swept("p1", "d", "y")}),
+m AS (SELECT 'quantity' AS model, 2 AS p, yy AS rest FROM q1 UNION ALL SELECT 'all numbers', 4, yy FROM q3
+  UNION ALL SELECT 'with flag', 6, yy FROM f3 UNION ALL SELECT 'with product', 7, yy FROM p2)
+SELECT model, n, p AS parameters, ROUND(1 - rest / yy, 6) AS r2, ROUND(1 - rest / yy * (n - 1) / (n - p), 6) AS adjusted_r2,
+  ROUND(n * ln(rest / n) + 2 * p, 2) AS aic, ROUND(sqrt(rest / n), 3) AS rmse FROM m, a""",
     "ols_simple": """
 WITH m AS (SELECT count(*) AS n, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
   regr_sxy(l_extendedprice, l_quantity) AS sxy, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem),

@@ -125,6 +125,58 @@ def test_ols_equals_the_closed_form(spark):
     assert q.rmse == pytest.approx((rss[0] / n) ** 0.5, rel=1e-6)
 
 
+def test_many_formulas_from_one_aggregate_with_missing_values_and_many_levels(spark):
+    numpy = pytest.importorskip("numpy")
+    draw = numpy.random.default_rng(8)
+    n = 4000
+    a, b = draw.normal(1e4, 3, n), draw.normal(size=n)
+    g, h = draw.integers(0, 1100, n), draw.integers(0, 3, n)
+    y = 5 + 0.3 * a - 2 * b + 0.01 * g + (h == 1) * b + draw.normal(size=n)
+    gap = draw.random(n) < 0.05
+    data = [(float(y[i]), None if gap[i] else float(a[i]), float("nan") if i % 97 == 0 else float(b[i]), f"g{g[i]:04}", f"h{h[i]}") for i in range(n)]
+    df = frame(spark, data, "y double, a double, b double, g string, h string")
+    formulas = {
+        "a": stats.Formula(("a",)), "b": stats.Formula(("b",), {"h": None}), "both": stats.Formula(("a", "b"), {"h": "h1"}, (("h", "b"), ("a", "b"))),
+        "levels": stats.Formula(("b",), {"g": None}), "same twice": stats.Formula(("b",), {"h": None}, (("b", "b"),)), "none": stats.Formula(),
+    }
+    found = {r.model: r for r in stats.ols_table(df, "y", formulas).collect()}
+    ok_b = numpy.arange(n) % 97 != 0
+    dummies = lambda v, base: [(v == k).astype(float) for k in sorted(set(v)) if k != base]
+
+    def check(name, rows, *columns):
+        design = numpy.column_stack([numpy.ones(rows.sum()), *[c[rows] for c in columns]])
+        beta = numpy.linalg.lstsq(design, y[rows], rcond=None)[0]
+        rest = ((y[rows] - design @ beta) ** 2).sum()
+        r = found[name]
+        assert (r.n, r.parameters) == (rows.sum(), design.shape[1])
+        assert r.rmse == pytest.approx((rest / r.n) ** 0.5, rel=1e-6) and r.aic == pytest.approx(r.n * numpy.log(rest / r.n) + 2 * r.parameters, rel=1e-6)
+        assert r.r2 == pytest.approx(1 - rest / ((y[rows] - y[rows].mean()) ** 2).sum(), abs=1e-7)
+
+    check("a", ~gap, a)
+    check("b", ok_b, b, *dummies(h, 0))
+    check("both", ~gap & ok_b, a, b, *dummies(h, 1), (h == 0) * b, (h == 2) * b, a * b)
+    check("levels", ok_b, b, *[(g == k).astype(float) for k in sorted(set(g[ok_b]))[1:]])
+    assert found["levels"].parameters > 1000
+    check("same twice", ok_b, b, *dummies(h, 0), b * b)
+    assert found["none"].parameters == 1 and found["none"].rmse == pytest.approx(y.std())
+
+
+def test_a_term_that_others_make_up_has_no_estimate(spark):
+    df = frame(spark, [(float(i), float(i), 2.0 * i, 1.0 + i + (i % 3)) for i in range(30)], "k double, a double, b double, y double")
+    fit = stats.ols(df, "y", ["a", "b"])
+    assert {r.term: r.estimate is None for r in fit.coefficients.collect()} == {"a": False, "b": True, "(intercept)": False}
+    assert fit.quality.first().parameters == 2
+
+
+def test_fitted_values_and_one_scan(spark):
+    df = frame(spark, [(float(i), "uv"[i % 2], 3.0 + i * (1 + i % 2)) for i in range(40)] + [(None, "u", 1.0)], "x double, g string, y double")
+    fit = stats.ols(df, "y", ["x"], {"g": None}, [("g", "x")])
+    assert fit.fitted.count() == 40 and stats.fit_errors(fit.fitted, "y", "fitted").first().rmse == pytest.approx(0, abs=1e-9)
+    by_numbers = stats.ols(df.withColumn("z", F.col("x") * F.col("x")), "y", ["x", "z"], {}, [("x", "z")])
+    assert [r.term for r in by_numbers.coefficients.collect()] == ["x", "z", "x:z", "(intercept)"]
+    assert stats.ols(df.limit(0), "y", ["x"]).quality.first().n == 0
+
+
 def test_star_joins_every_dimension(spark, rows):
     fact = frame(spark, [(1, 7, 2), (1, 8, 3), (9, 7, 4)], "s int, p int, q int")
     sellers, goods = frame(spark, [(1, "ann")], "s int, seller string"), frame(spark, [(7, "milk"), (8, "tv")], "p int, item string")
