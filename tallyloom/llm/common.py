@@ -62,18 +62,14 @@ KEPT: dict[str, Callable[[], None]] = {}
 
 
 def keep_only(operator: str) -> None:
-    """Called where an operator's task begins: frees what others have left in this worker."""
-    others = [name for name in KEPT if name != operator]
-    for name in others:
-        KEPT.pop(name)()
-    if others:
-        import ctypes
-        import gc
+    """Called where an operator's task begins: frees what others have left in this worker, and returns freed memory."""
+    import ctypes
 
-        import pyarrow as pa
+    import pyarrow as pa
 
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc gives freed memory back only when asked
-        if trim is not None:
-            trim(0)
+    for name in [name for name in KEPT if name != operator]:
+        KEPT.pop(name)()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory until asked
+    if trim is not None:
+        trim(0)
