@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tallyloom.operators import models, stats
-from tallyloom.session import read_table
+from tallyloom.operators import models, parzen, stats
+from tallyloom.session import fingerprint, read_table
 
 NUMERIC, CATEGORICAL, LABEL, KEY = ["n_chars"], ["lang", "source"], "quality", ["doc_id"]
 AREA = dict(labelCol=LABEL, metricName="areaUnderROC")
@@ -71,36 +73,49 @@ def logreg_coefficients(spark, folder):
     return models.importances(model, rows)
 
 
-# The space of the registered searches; the operators take any space, and the full one is models.FOREST_GRID.
-SPACE = {"numTrees": [5, 10, 20], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+# Every depth, leaf size and split width of models.FOREST_GRID, and a tenth of its numbers of trees: with all of them a grid
+# takes 225 fits of 500 trees, some 12 seconds each even on a few hundred rows. ForestSearch takes any space.
+GRID = models.FOREST_GRID | {"numTrees": [n // 10 for n in models.FOREST_GRID["numTrees"]]}
+_SEARCHES: dict[tuple[str, str], tuple[str, models.ForestSearch]] = {}
+
+
+def forest_scores(spark, folder) -> models.ForestSearch:
+    """Scores of forests on the folder's labelled documents. A session's searches share what any of them has scored, until a
+    file changes; scaling and encoding are fitted on the training part of each fold."""
+    key, state = (spark.sparkContext.applicationId, folder), fingerprint(spark, folder, "documents", "labels")
+    if key not in _SEARCHES or _SEARCHES[key][0] != state:
+        if key in _SEARCHES:
+            models.release(_SEARCHES[key][1].parts)
+        rows = folded(spark, folder)
+        parts = models.fold_parts(rows, "fold", FOLDS, encoding())
+        evaluator = BinaryClassificationEvaluator(**AREA)
+        _SEARCHES[key] = state, models.ForestSearch(parts, LABEL, GRID["numTrees"], evaluator)
+    return _SEARCHES[key][1]
+
+
+def _searched(spark, settings, scores):
+    rows = [(*(str(one[name]) for name in GRID), float(score)) for one, score in zip(settings, scores)]
+    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in GRID) + ", auc double")
 
 
 def rf_grid(spark, folder):
-    rows, estimator = folded(spark, folder), models.forest(LABEL)
-    grid = models.grid_of(estimator, {"numTrees": [10, 20], "maxDepth": [3, 6]})
-    found = models.search(rows, estimator, grid, BinaryClassificationEvaluator(**AREA), "fold", FOLDS, refit=False, prepare=encoding())
-    rows.unpersist()
-    return _scores(spark, found, ["numTrees", "maxDepth"])
+    """All 180 combinations of the four settings."""
+    settings = models.settings_of(GRID)
+    return _searched(spark, settings, forest_scores(spark, folder).score_all(settings))
 
 
 def rf_random_search(spark, folder):
-    rows, estimator = folded(spark, folder), models.forest(LABEL)
-    grid = models.grid_of(estimator, SPACE)
-    found = models.random_search(rows, estimator, grid, BinaryClassificationEvaluator(**AREA), "fold", FOLDS, draws=20, refit=False, prepare=encoding())
-    rows.unpersist()
-    return _scores(spark, found, list(SPACE))
+    """Twenty seeded draws from the same space."""
+    settings = random.Random(42).sample(models.settings_of(GRID), 20)
+    return _searched(spark, settings, forest_scores(spark, folder).score_all(settings))
 
 
 def rf_sequential_search(spark, folder):
-    rows, evaluator = folded(spark, folder), BinaryClassificationEvaluator(**AREA)
-    parts = models.fold_parts(rows, "fold", FOLDS, encoding())
-    trials = models.sequential_search(
-        lambda settings: models.cv_score(rows, models.forest(LABEL, **settings), evaluator, "fold", FOLDS, parts), SPACE, trials=50
-    )
-    models.release(parts)
-    rows.unpersist()
-    table = [(i + 1, *(str(t[name]) for name in SPACE), float(score)) for i, (t, score) in enumerate(trials)]
-    return spark.createDataFrame(table, "place int, " + ", ".join(f"{n} string" for n in SPACE) + ", auc double")
+    """Fifty trials over the same space, proposed by Parzen estimators."""
+    search = forest_scores(spark, folder)
+    trials = parzen.sequential_search(search.score, GRID, trials=50, open_trials=2)
+    table = [(i + 1, *(str(t[name]) for name in GRID), float(score)) for i, (t, score) in enumerate(trials)]
+    return spark.createDataFrame(table, "place int, " + ", ".join(f"{n} string" for n in GRID) + ", auc double")
 
 
 def _forest_on(rows, **settings):
@@ -120,13 +135,22 @@ def _embedded(spark, folder):
     return read_table(spark, folder, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].alias(c) for i, c in enumerate(ENTRIES)])
 
 
+WIDTHS = ["log2", "sqrt", "onethird", "all"]  # numbers of predictors tried at a split; the searches over documents vary more
+
+
 def _forest_of_all():
-    return models.forest("label", numTrees=10, maxDepth=5)
+    return models.forest("label", numTrees=20, maxDepth=8)
 
 
 def _forest_of_chosen():
     selector = models.select_best(CHOSEN, "label")
-    return Pipeline(stages=[selector, models.forest("label", features="selected", numTrees=10, maxDepth=5)])
+    return Pipeline(stages=[selector, models.forest("label", features="selected", numTrees=20, maxDepth=8)])
+
+
+def _candidates():
+    """Both kinds of predictors, each with every split width."""
+    all_of_them, chosen = _forest_of_all(), _forest_of_chosen()
+    return [(all_of_them, models.grid_of(all_of_them, {"featureSubsetStrategy": WIDTHS})), (chosen, models.grid_of(chosen.getStages()[-1], {"featureSubsetStrategy": WIDTHS}))]
 
 
 def _assembled():
@@ -138,9 +162,7 @@ def rf_multiclass_cv(spark, folder):
     rows = models.packed(_assembled().transform(models.with_folds(_embedded(spark, folder), "label", FOLDS, ["vec_id"])).select("label", "fold", "features"))
     evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
     tables = []
-    for name, estimator in (("all", _forest_of_all()), ("chosen", _forest_of_chosen())):
-        forest = estimator if name == "all" else estimator.getStages()[-1]
-        grid = models.grid_of(forest, {"featureSubsetStrategy": ["log2", "sqrt", "onethird", "all"]})
+    for name, (estimator, grid) in zip(("all", "chosen"), _candidates()):
         found = models.search(rows, estimator, grid, evaluator, "fold", FOLDS, refit=False)
         tables.append(_scores(spark, found, ["featureSubsetStrategy"], "accuracy", (name,)))
     rows.unpersist()
@@ -148,10 +170,10 @@ def rf_multiclass_cv(spark, folder):
 
 
 def nested_predictions(spark, folder):
-    """Every row predicted once, by a model that never saw it; the better of two kinds of predictors is chosen inside each outer fold."""
+    """Every row predicted once, by a model that never saw it: kind of predictors and split width are searched inside each outer fold."""
     evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
     rows = _assembled().transform(_embedded(spark, folder)).select("vec_id", "label", "features")
-    return models.nested_cv(rows, [(_forest_of_all(), [{}]), (_forest_of_chosen(), [{}])], evaluator, "label", ["vec_id"]).predictions
+    return models.nested_cv(rows, _candidates(), evaluator, "label", ["vec_id"]).predictions
 
 
 def nested_confusion(spark, folder):
