@@ -75,8 +75,7 @@ def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ho
 
 def sample_exact(df: DataFrame, by: Sequence[str], fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:
     """A seeded sample of exactly the rounded fraction of every class."""
-    picked = ordering.numbered(df, by, key, seed).where(F.col("rn") <= F.round(F.col("group_rows") * fraction))
-    return picked.drop("rn", "group_rows")
+    return ordering.first_of_each(df, by, key, F.round(F.col("_rows") * fraction), seed)
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:

@@ -155,6 +155,35 @@ def exact_quantiles(
     )
 
 
+def hash_slot(key: Sequence[str], seed: int, slots: int) -> tuple[Column, Column]:
+    """Seeded hash of a row's key, and the slot it falls into; rows are taken in the order of (slot, hash, key)."""
+    hashed = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
+    return hashed, F.pmod(F.shiftright(hashed, 20), F.lit(slots)).cast("int")
+
+
+def first_of_each(df: DataFrame, by: Sequence[str], key: Sequence[str], wanted: Column, seed: int = 42, slots: int = 65536) -> DataFrame:
+    """The first rows of each group in the order of ``numbered``; ``wanted`` gives their number from the group's ``_rows``.
+
+    Counts per slot tell where a group's last wanted row falls. Slots before that are a plain filter of the rows, and only the
+    slot itself is ranked, so no other row is shuffled. Every task holds one entry per group: for few groups with many rows.
+    """
+    hashed, slot = hash_slot(key, seed, slots)
+    counted = df.groupBy(*by, slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.select(
+        *by, "_slot", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(*by)).alias("_rows")
+    ).withColumn("_wanted", wanted)
+    last = placed.where((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("_n")))
+    group = F.to_json(F.struct(*[F.col(c) for c in by]), {"ignoreNullFields": "false"})
+    entry = F.struct(group.alias("k"), F.struct("_slot", (F.col("_wanted") - F.col("_before")).alias("_left")).alias("v"))
+    cuts = last.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    marked = df.withColumns({"_cut": F.element_at(cuts, group), "_slot": slot})
+    whole = marked.where(F.col("_slot") < F.col("_cut._slot"))
+    ranked = marked.where(F.col("_slot") == F.col("_cut._slot")).withColumn("_h", hashed)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_h", *key))
+    return whole.select(*df.columns).unionByName(ranked.withColumn("_place", place).where(F.col("_place") <= F.col("_cut._left")).select(*df.columns))
+
+
 def numbered(
     df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int = 42, slots: int = 65536
 ) -> DataFrame:
@@ -162,9 +191,8 @@ def numbered(
 
     ``key`` must identify a row, so that the order is the same whenever a task is run again.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key])).withColumn(
-        "_slot", F.pmod(F.shiftright("_h", 20), F.lit(slots)).cast("int")
-    )
+    own, slot = hash_slot(key, seed, slots)
+    hashed = df.withColumns({"_h": own, "_slot": slot})
     per_slot = hashed.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slot.select(

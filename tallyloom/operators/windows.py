@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators import ordering
+
 
 def rank_top(df: DataFrame, partition: Sequence[str], order: Sequence[Column], method: str = "rank") -> DataFrame:
     """Rows ranked first in their partition; ``rank`` and ``dense_rank`` keep ties."""
@@ -53,14 +55,46 @@ def best_window(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return windows.groupBy(*by).agg(best).select(*by, (-F.col("b.v")).alias("mean_value"), F.col("b.d").alias("start_day"))
 
 
+SIDES = (("rest", "own"), ("head", "NOT own"))  # what a reading's own block gives, and the block its window ends in
+
+
+def _swept(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Running minima inside each group: of own readings from the last one back, of others from the first one on."""
+    windows = {
+        "rest": Window.partitionBy(*by, "blk").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0),
+        "head": Window.partitionBy(*by, "blk").orderBy("t", "own").rowsBetween(Window.unboundedPreceding, 0),
+    }
+    minima = [F.min(F.when(F.expr(kind), F.col(c))).over(windows[side]).alias(f"{side}_{c}") for side, kind in SIDES for c in ("hi", "lo")]
+    return parts.select(*by, "at", "blk", "own", *minima).where("own").drop("own")
+
+
+def _swept_in_slots(parts: DataFrame, by: Sequence[str], slots: int) -> DataFrame:
+    """The same for groups of any size: they are cut by time, and a slot adds the minima of the slots behind or before it."""
+    keys = [*by, "blk"]
+    slotted = ordering.value_slots(parts, keys, "t", [], slots)
+    totals = slotted.groupBy(*keys, "_slot").agg(*[F.min(F.when(F.expr(kind), F.col(c))).alias(f"{side}_{c}") for side, kind in SIDES for c in ("hi", "lo")])
+    behind = {
+        "rest": Window.partitionBy(*keys).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1),
+        "head": Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1),
+    }
+    names = [(side, f"{side}_{c}") for side, _ in SIDES for c in ("hi", "lo")]
+    beyond = totals.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("_slot").alias("_of"), *[F.min(n).over(behind[side]).alias(f"_{n}") for side, n in names])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]) & (F.col("_slot") == F.col("_of"))
+    inside = _swept(slotted, [*by, "_slot"])
+    return inside.join(beyond, same).select(*by, "at", "blk", *[F.least(n, f"_{n}").alias(n) for _, n in names])
+
+
 def rolling_extremes(
-    df: DataFrame, by: Sequence[str], ts: str, value: str, hours: int, block_minutes: int = 60
+    df: DataFrame, by: Sequence[str], ts: str, value: str, hours: int, block_minutes: int = 60, most: int = 100_000, slots: int = 256
 ) -> DataFrame:
     """Per reading time, the largest and smallest value of the next ``hours`` (ends included) and when they occur first.
 
     Time is cut into blocks. A window is the rest of its own block, the whole blocks after it, and the head of
     the block it ends in. Whole blocks come from a table with one row per block; the two partial ones need only
     running minima inside one (series, block) group. No task holds a whole series and no row scans its window.
+
+    A block with more than ``most`` readings is cut further, at equal depth by time: the running minima of such a block come from
+    the minima of its slots, one row each, and from a window inside each slot.
     """
     block = block_minutes * 60_000_000
     span = hours * 3_600_000_000
@@ -103,19 +137,9 @@ def rolling_extremes(
             )
         ).alias("p"),
     ).select(*by, "at", "hi", "lo", "p.blk", "p.t", "p.own")
-    rest = Window.partitionBy(*by, "blk").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
-    head = Window.partitionBy(*by, "blk").orderBy("t", "own").rowsBetween(Window.unboundedPreceding, 0)
-    own, other = F.col("own"), ~F.col("own")
-    swept = parts.select(
-        *by,
-        "at",
-        "blk",
-        "own",
-        F.min(F.when(own, F.col("hi"))).over(rest).alias("rest_hi"),
-        F.min(F.when(own, F.col("lo"))).over(rest).alias("rest_lo"),
-        F.min(F.when(other, F.col("hi"))).over(head).alias("head_hi"),
-        F.min(F.when(other, F.col("lo"))).over(head).alias("head_lo"),
-    ).where("own")
+    hot = parts.groupBy(*by, "blk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*[F.col(c).alias(f"_{c}") for c in (*by, "blk")])
+    is_hot = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "blk")])
+    swept = _swept(parts.join(hot, is_hot, "left_anti"), by).unionByName(_swept_in_slots(parts.join(hot, is_hot, "left_semi"), by, slots))
     joined = swept.join(blocks, [*by, "blk"])
     return joined.select(
         *by,

@@ -55,7 +55,19 @@ def best_route(spark, folder):
     return routes.best_route(costs, "closed_cost").withColumnRenamed("closed_cost", "cost")
 
 
-QUERIES = {f.__name__: f for f in (route_cost, nn_tour, best_route)}
+TOURED = [f"NATION_{i}" for i in range(8)]
+
+
+def exact_tour(spark, folder):
+    """Cheapest round trip of each priority through eight places, and what the nearest-neighbour tours from each of them cost at best."""
+    edges = checkpointed(trade_edges(sold_between(spark, folder)).where(F.col("src").isin(TOURED) & F.col("dst").isin(TOURED)))
+    exact = routes.exact_tours(edges)
+    near = routes.nearest_tours(edges).where("complete").select("instance", F.col("start").alias("route"), "stops")
+    nearest = routes.route_cost(near, edges).groupBy("instance").agg(F.min("closed_cost").alias("nearest_cost"))
+    return exact.join(nearest, "instance", "left").select("instance", F.concat_ws(">", "stops").alias("tour"), "cost", "nearest_cost")
+
+
+QUERIES = {f.__name__: f for f in (route_cost, nn_tour, best_route, exact_tour)}
 
 _E = """, b AS (SELECT o_orderpriority AS instance, s.city AS src, c.city AS dst, segment,
   CAST(l_quantity AS BIGINT) AS units, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents
@@ -90,4 +102,28 @@ tour AS (
 SELECT instance, start, array_to_string(stops, '>') AS tour, cost,
   CAST(len(stops) = (SELECT COUNT(*) FROM places p WHERE p.instance = tour.instance) AS INTEGER) AS complete
 FROM tour QUALIFY ROW_NUMBER() OVER (PARTITION BY instance, start ORDER BY len(stops) DESC) = 1""",
+    # every trip through the places, against the nearest-neighbour tours among them
+    "exact_tour": trade.STAR_SQL.replace("WITH pl", "WITH RECURSIVE pl").rstrip()
+    + _E.rstrip()
+    + f""", x AS (SELECT * FROM e WHERE src IN ({', '.join(f"'{p}'" for p in TOURED)}) AND dst IN ({', '.join(f"'{p}'" for p in TOURED)})),
+places AS (SELECT instance, src AS place FROM x UNION SELECT instance, dst FROM x),
+n AS (SELECT instance, count(*) AS n, min(place) AS home FROM places GROUP BY 1),
+trip AS (
+  SELECT instance, [home] AS stops, CAST(0 AS BIGINT) AS cost FROM n
+  UNION ALL
+  SELECT t.instance, list_append(stops, dst), t.cost + x.cost FROM trip t JOIN x ON x.instance = t.instance AND x.src = stops[-1]
+    AND NOT list_contains(stops, dst)),
+closed AS (SELECT t.instance, stops, t.cost + x.cost AS cost FROM trip t JOIN n ON n.instance = t.instance AND len(stops) = n
+  JOIN x ON x.instance = t.instance AND src = stops[-1] AND dst = home),
+near AS (
+  SELECT instance, place AS start, [place] AS stops, CAST(0 AS BIGINT) AS cost FROM places
+  UNION ALL
+  SELECT instance, start, list_append(stops, nxt.d), cost + nxt.c FROM (
+    SELECT t.instance, t.start, ANY_VALUE(t.stops) AS stops, ANY_VALUE(t.cost) AS cost, MIN({{'c': x.cost, 'd': x.dst}}) AS nxt
+    FROM near t JOIN x ON x.instance = t.instance AND x.src = t.stops[-1] AND NOT list_contains(t.stops, x.dst)
+    GROUP BY t.instance, t.start)),
+back AS (SELECT t.instance, min(t.cost + x.cost) AS nearest_cost FROM near t JOIN n ON n.instance = t.instance AND len(stops) = n
+  JOIN x ON x.instance = t.instance AND x.src = stops[-1] AND x.dst = start GROUP BY 1)
+SELECT instance, array_to_string(stops, '>') AS tour, cost, nearest_cost FROM closed LEFT JOIN back USING (instance)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY instance ORDER BY cost, stops) = 1""",
 }

@@ -28,7 +28,7 @@ def test_every_query_but_the_models_has_sql():
     assert set(QUERIES) - set(SQL) <= set(models.QUERIES)
 
 
-EAGER = {*models.QUERIES, "nn_tour", "route_cost", "best_route", "study_table", "study_audit", "study_rejects"}
+EAGER = {*models.QUERIES, "nn_tour", "route_cost", "best_route", "exact_tour", "study_table", "study_audit", "study_rejects"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))

@@ -54,6 +54,18 @@ def test_numbered_is_a_permutation_and_repeats_itself(spark):
         assert sorted(numbers) == list(range(1, size + 1))
 
 
+@pytest.mark.parametrize("slots", [1, 5, 65536])
+def test_first_rows_are_those_of_the_numbering_and_only_one_slot_is_shuffled(spark, slots):
+    df = skewed(spark).union(spark.createDataFrame([(90_000 + i, None, float(i)) for i in range(7)], "id long, g string, v double"))
+    for share in (0.0, 0.13, 0.5, 1.0):
+        want = ordering.numbered(df, ["g"], ["id"], slots=slots).where(F.col("rn") <= F.round(F.col("group_rows") * share)).where("g IS NOT NULL")
+        found = ordering.first_of_each(df, ["g"], ["id"], F.round(F.col("_rows") * share), slots=slots)
+        assert sorted(r.id for r in found.where("g IS NOT NULL").collect()) == sorted(r.id for r in want.collect())
+        assert found.where("g IS NULL").count() == round(7 * share + 1e-9) and found.columns == df.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Join" not in plan
+
+
 def brute_auc(pairs):
     pos = [s for y, s in pairs if y == 1]
     neg = [s for y, s in pairs if y == 0]

@@ -1,6 +1,7 @@
 import random
 from itertools import permutations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import routes
@@ -66,3 +67,30 @@ def test_best_of_all_permutations(spark):
 
     assert (best.closed_cost, best.route) == min((closed(s), r) for _, r, s in every)
     assert found.agg(F.count("cost")).first()[0] == 24
+
+
+def brute_tour(costs, instance):
+    names = sorted({place for i, a, b in costs if i == instance for place in (a, b)})
+    best = None
+    for rest in permutations(names[1:]):
+        stops = [names[0], *rest]
+        legs = [(instance, a, b) for a, b in zip(stops, stops[1:] + stops[:1])]
+        if all(leg in costs for leg in legs):
+            best = min(best or (float("inf"), []), (sum(costs[leg] for leg in legs), stops))
+    return best
+
+
+def test_exact_tours_equal_brute_force(spark):
+    costs = random_costs(9, "nine", 1) | random_costs(4, "four", 2) | random_costs(7, "sparse", 3) | {("pair", "a", "b"): 2, ("pair", "b", "a"): 5}
+    draw = random.Random(5)
+    costs = {leg: cost for leg, cost in costs.items() if leg[0] != "sparse" or draw.random() < 0.75}
+    costs |= {("dead", "a", "b"): 1, ("dead", "b", "c"): 1, ("ties", "a", "b"): 1, ("ties", "b", "a"): 1, ("ties", "a", "c"): 1, ("ties", "c", "a"): 1, ("ties", "b", "c"): 1, ("ties", "c", "b"): 1}
+    found = {r.instance: (r.cost, r.stops) for r in routes.exact_tours(edge_list(spark, costs)).collect()}
+    want = {i: brute_tour(costs, i) for i in ("nine", "four", "sparse", "pair", "ties", "dead")}
+    assert want["sparse"] and found == {i: tour for i, tour in want.items() if tour}
+
+
+def test_exact_tours_refuse_too_many_places_and_take_none(spark):
+    with pytest.raises(ValueError):
+        routes.exact_tours(edge_list(spark, random_costs(5)), most_places=4)
+    assert routes.exact_tours(edge_list(spark, random_costs(2)).where("false")).collect() == []

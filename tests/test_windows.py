@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import aggregates, windows
+from tallyloom.operators import aggregates, ordering, windows
 
 T0 = dt.datetime(2024, 3, 1)
 
@@ -18,8 +18,8 @@ def brute_swings(data, hours):
     return out
 
 
-@pytest.mark.parametrize("block", [60, 30, 720])
-def test_rolling_extremes_equal_brute_force(spark, block):
+@pytest.mark.parametrize("block, most", [(60, 100_000), (30, 100_000), (720, 100_000), (60, 3), (720, 20)])
+def test_rolling_extremes_equal_brute_force(spark, block, most):
     draw = random.Random(block)
     data = []
     for s, n, days in (("a", 150, 5), ("b", 40, 20), ("c", 1, 1)):
@@ -30,11 +30,22 @@ def test_rolling_extremes_equal_brute_force(spark, block):
     df = spark.createDataFrame(data, "s string, t timestamp_ntz, v double")
     got = {
         (r.s, r.start): (r.max_value, r.max_time, r.min_value, r.min_time)
-        for r in windows.rolling_extremes(df, ["s"], "t", "v", 24, block).collect()
+        for r in windows.rolling_extremes(df, ["s"], "t", "v", 24, block, most, slots=4).collect()
     }
     assert got == brute_swings(data, 24)
 
 
+def test_a_series_within_one_hour_spreads_over_many_tasks(spark):
+    draw = random.Random(1)
+    data = [("a", T0 + dt.timedelta(microseconds=draw.randrange(3_600_000_000)), float(draw.randrange(1000))) for _ in range(3000)]
+    df = spark.createDataFrame(data, "s string, t timestamp_ntz, v double")
+    found = windows.rolling_extremes(df, ["s"], "t", "v", 24, most=500, slots=64)
+    assert {(r.s, r.start): (r.max_value, r.max_time, r.min_value, r.min_time) for r in found.collect()} == brute_swings(data, 24)
+    parts = df.selectExpr("s", "t AS at", "0L AS blk", "unix_micros(cast(t AS timestamp)) AS t", "true AS own", "struct(-v AS v, t AS at) AS hi", "struct(v AS v, t AS at) AS lo")
+    sizes = [r[0] for r in ordering.value_slots(parts, ["s", "blk"], "t", [], 64).groupBy("_slot").count().select("count").collect()]
+    assert len(sizes) > 50 and max(sizes) < 3 * 3000 / 64
+
+
 def test_rolling_extremes_refuses_uneven_blocks(spark):
     with pytest.raises(ValueError):
         windows.rolling_extremes(spark.range(1), [], "id", "id", 24, 7)
