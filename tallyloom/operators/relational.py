@@ -79,8 +79,10 @@ def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def unique_lookup(table: DataFrame, key: str, value: str) -> DataFrame:
-    """One value per key, so that a lookup join can never multiply rows (the smallest value wins)."""
-    return table.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    """One value per key, so that a lookup join can never multiply rows. A key with two different values is an error."""
+    several = F.raise_error(F.concat(F.lit(f"several values of {value} for {key} "), F.col(key).cast("string")))
+    one = F.when(F.min(value) == F.max(value), F.min(value)).when(F.min(value).isNotNull(), several.cast(table.schema[value].dataType))
+    return table.where(F.col(key).isNotNull()).groupBy(key).agg(one.alias(value))
 
 
 def code_labels(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str, default: str) -> DataFrame:

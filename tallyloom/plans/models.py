@@ -7,6 +7,7 @@ import random
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tallyloom.operators import models, parzen, stats
@@ -223,6 +224,13 @@ def kmeans_k_sweep(spark, folder):
     return models.choose_k(_vectors(spark, folder), "scaled", range(2, 31))
 
 
+def kmeans_totals(spark, folder):
+    """Squares within and between the clusters of every k add up to the same total."""
+    raw = read_table(spark, folder, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("x"))
+    found = models.choose_k(raw, "x", range(2, 31))
+    return found.select("k", "n", F.round(F.col("within") + F.col("between"), 3).alias("total"))
+
+
 def bisecting_groups(spark, folder):
     """Three groups from the top down, against the known labels."""
     return models.groups(models.packed(_vectors(spark, folder).select("label", "scaled")), "scaled", 3).groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -287,7 +295,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         logreg_cv, logreg_coefficients, rf_grid, rf_random_search, rf_sequential_search, rf_importance, rf_multiclass_cv, nested_confusion, nested_coverage, model_compare,
-        pdp_category, pdp_numeric, kmeans_k_sweep, bisecting_groups, ols_multi, ols_simple, ols_slopes, ols_coefficients, ols_models,
+        pdp_category, pdp_numeric, kmeans_k_sweep, kmeans_totals, bisecting_groups, ols_multi, ols_simple, ols_slopes, ols_coefficients, ols_models,
     )
 }
 
@@ -310,6 +318,10 @@ def _in_groups(left: str) -> str:
 
 
 ORACLE = {
+    "kmeans_totals": """
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS place FROM embeddings),
+t AS (SELECT place, var_pop(v) * count(*) AS squares, count(*) AS n FROM e GROUP BY place)
+SELECT CAST(k AS INTEGER) AS k, any_value(n) AS n, ROUND(sum(squares), 3) AS total FROM t, range(2, 31) AS r(k) GROUP BY k""",
     # The products give each flag a slope of its own, so only the discount ties the groups together.
     "ols_coefficients": f"""
 WITH {_LINES}, g AS (SELECT flag, {_CO} FROM l GROUP BY flag),

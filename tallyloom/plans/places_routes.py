@@ -69,7 +69,7 @@ def exact_tour(spark, folder):
 
 QUERIES = {f.__name__: f for f in (route_cost, nn_tour, best_route, exact_tour)}
 
-_E = """, b AS (SELECT o_orderpriority AS instance, s.city AS src, c.city AS dst, segment,
+EDGES_SQL = """, b AS (SELECT o_orderpriority AS instance, s.city AS src, c.city AS dst, segment,
   CAST(l_quantity AS BIGINT) AS units, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN s ON l_suppkey = supp_id JOIN c ON o_custkey = con_id),
 e AS (SELECT instance, src, dst, CAST(SUM(cents) // SUM(units) AS BIGINT) AS cost FROM b WHERE src <> dst GROUP BY 1, 2, 3),
@@ -84,13 +84,13 @@ c1 AS (SELECT l.instance, l.route, CASE WHEN COUNT(*) = COUNT(cost) THEN CAST(SU
 """
 
 ORACLE = {
-    "route_cost": trade.STAR_SQL.rstrip() + _E + "SELECT instance, route, legs, open_cost, closed_cost FROM o1 JOIN c1 USING (instance, route)",
+    "route_cost": trade.STAR_SQL.rstrip() + EDGES_SQL + "SELECT instance, route, legs, open_cost, closed_cost FROM o1 JOIN c1 USING (instance, route)",
     "best_route": trade.STAR_SQL.rstrip()
-    + _E
+    + EDGES_SQL
     + """SELECT instance, route, closed_cost AS cost FROM c1 WHERE closed_cost IS NOT NULL
 QUALIFY ROW_NUMBER() OVER (PARTITION BY instance ORDER BY closed_cost, route) = 1""",
     "nn_tour": trade.STAR_SQL.replace("WITH pl", "WITH RECURSIVE pl").rstrip()
-    + _E.rstrip()
+    + EDGES_SQL.rstrip()
     + """, places AS (SELECT instance, src AS place FROM e UNION SELECT instance, dst FROM e),
 tour AS (
   SELECT instance, place AS start, [place] AS stops, CAST(0 AS BIGINT) AS cost FROM places
@@ -104,7 +104,7 @@ SELECT instance, start, array_to_string(stops, '>') AS tour, cost,
 FROM tour QUALIFY ROW_NUMBER() OVER (PARTITION BY instance, start ORDER BY len(stops) DESC) = 1""",
     # every trip through the places, against the nearest-neighbour tours among them
     "exact_tour": trade.STAR_SQL.replace("WITH pl", "WITH RECURSIVE pl").rstrip()
-    + _E.rstrip()
+    + EDGES_SQL.rstrip()
     + f""", x AS (SELECT * FROM e WHERE src IN ({', '.join(f"'{p}'" for p in TOURED)}) AND dst IN ({', '.join(f"'{p}'" for p in TOURED)})),
 places AS (SELECT instance, src AS place FROM x UNION SELECT instance, dst FROM x),
 n AS (SELECT instance, count(*) AS n, min(place) AS home FROM places GROUP BY 1),

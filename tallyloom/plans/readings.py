@@ -84,15 +84,33 @@ def daily_swing(spark, folder):
     return found.select("station", (-F.col("b.v")).cast("double").alias("swing"), F.col("b.d").cast("string").alias("day"))
 
 
+TARGET, LEAST, MOST = 42, 2, 250
+SERIES = ("click", "view")
+
+
 def best_hour(spark, folder):
-    """Per day the station and hour closest to a target temperature, the calmer one on a tie."""
-    hourly = readings(spark, folder).where(cleaning.within(F.col("temperature"), 0, 115)).groupBy(
-        F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour"), "station"
+    """Per month the hour, and the series it is of, closest to a target temperature, the calmer one on a tie. Each series is
+    brought into one layout and labelled, then both are stacked and ranked once."""
+    given = readings(spark, folder)
+    one, other = (given.where(F.col("station") == name).withColumn("series", F.lit(name)).select("series", "ts", "temperature", "wind") for name in SERIES)
+    hourly = one.unionByName(other).where(cleaning.within(F.col("temperature"), LEAST, MOST)).groupBy(
+        F.month("ts").alias("month"), F.hour("ts").alias("hour"), "series"
     ).agg(
         windows.mean_of_sums(F.sum("temperature"), F.count("temperature")).alias("avg_temperature"),
         windows.mean_of_sums(F.sum("wind"), F.count("wind")).alias("avg_wind"),
-    ).withColumn("difference", F.abs(F.col("avg_temperature") - 50))
-    return windows.rank_top(hourly, ["day"], [F.col("difference"), F.col("avg_wind")])
+    ).withColumn("difference", F.abs(F.col("avg_temperature") - TARGET))
+    return windows.rank_top(hourly, ["month"], [F.col("difference"), F.col("avg_wind")])
+
+
+def best_weekday(spark, folder):
+    """Per month of the year the weekday, of orders or of shipped lines, whose mean money is closest to a target."""
+    orders = read_table(spark, folder, "orders").select(F.lit("ordered").alias("series"), F.col("o_orderdate").alias("ts"), F.col("o_totalprice").cast("decimal(18,2)").alias("money"))
+    lines = read_table(spark, folder, "lineitem").select(F.lit("shipped").alias("series"), F.col("l_shipdate").alias("ts"), (F.col("l_extendedprice").cast("decimal(18,2)") * 4).cast("decimal(18,2)").alias("money"))
+    daily = orders.unionByName(lines).groupBy("series", F.month("ts").alias("month"), F.weekday("ts").alias("weekday")).agg(
+        windows.mean_of_sums(F.sum("money"), F.count("money")).alias("mean_money"), F.count(F.lit(1)).alias("n")
+    ).withColumn("difference", F.abs(F.col("mean_money") - 200_000))
+    best = windows.rank_top(daily, ["month"], [F.col("difference"), F.col("n")])
+    return best.select("month", "weekday", "series", "n", *[F.round(c, 4).alias(c) for c in ("mean_money", "difference")])
 
 
 def rolling_7d_best(spark, folder):
@@ -113,7 +131,7 @@ def coldest_hour_mode(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        minmaxavg_by_key, minmaxavg_lines, threshold_days, season_compare, rolling_24h_range, daily_swing, best_hour,
+        minmaxavg_by_key, minmaxavg_lines, threshold_days, season_compare, rolling_24h_range, daily_swing, best_hour, best_weekday,
         rolling_7d_best, coldest_hour_mode,
     )
 }
@@ -151,11 +169,18 @@ FROM b WHERE k = 1""",
 SELECT station, CAST(swing AS DOUBLE) AS swing, CAST(day AS VARCHAR) AS day FROM d
 QUALIFY ROW_NUMBER() OVER (PARTITION BY station ORDER BY swing DESC, day) = 1""",
     "best_hour": _R
-    + """, h AS (SELECT CAST(DAY(ts) AS INTEGER) AS day, CAST(HOUR(ts) AS INTEGER) AS hour, station,
+    + f""", h AS (SELECT CAST(MONTH(ts) AS INTEGER) AS month, CAST(HOUR(ts) AS INTEGER) AS hour, station AS series,
   CAST(SUM(temperature) AS DOUBLE) / COUNT(temperature) AS avg_temperature, CAST(SUM(wind) AS DOUBLE) / COUNT(wind) AS avg_wind
-  FROM r WHERE temperature BETWEEN 0 AND 115 GROUP BY 1, 2, 3)
-SELECT day, hour, station, avg_temperature, avg_wind, ABS(avg_temperature - 50) AS difference FROM h
-QUALIFY RANK() OVER (PARTITION BY day ORDER BY ABS(avg_temperature - 50), avg_wind) = 1""",
+  FROM r WHERE temperature BETWEEN {LEAST} AND {MOST} AND station IN {SERIES} GROUP BY 1, 2, 3)
+SELECT month, hour, series, avg_temperature, avg_wind, ABS(avg_temperature - {TARGET}) AS difference FROM h
+QUALIFY RANK() OVER (PARTITION BY month ORDER BY ABS(avg_temperature - {TARGET}), avg_wind) = 1""",
+    "best_weekday": """
+WITH u AS (SELECT 'ordered' AS series, o_orderdate AS ts, CAST(o_totalprice AS DECIMAL(18,2)) AS money FROM orders
+  UNION ALL SELECT 'shipped', l_shipdate, CAST(l_extendedprice AS DECIMAL(18,2)) * 4 FROM lineitem),
+d AS (SELECT series, CAST(MONTH(ts) AS INTEGER) AS month, CAST((ISODOW(ts) - 1) AS INTEGER) AS weekday, CAST(SUM(money) AS DOUBLE) / COUNT(*) AS m, COUNT(*) AS n
+  FROM u GROUP BY ALL)
+SELECT month, weekday, series, n, ROUND(m, 4) AS mean_money, ROUND(ABS(m - 200000), 4) AS difference FROM d
+QUALIFY RANK() OVER (PARTITION BY month ORDER BY ABS(m - 200000), n) = 1""",
     "rolling_7d_best": _R
     + """, d AS (SELECT station, CAST(ts AS DATE) AS day, SUM(temperature) AS s, COUNT(*) AS c FROM r GROUP BY 1, 2),
 m AS (SELECT a.station, a.day, CAST(SUM(b.s) AS DOUBLE) / SUM(b.c) AS mean_value FROM d a

@@ -30,6 +30,21 @@ def read_delimited(
     return reader.schema(schema).csv(path)
 
 
+def to_lines(df: DataFrame, sep: str = ",", line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows as delimited text in one column, quoted where needed; ``keep`` names columns to carry beside it."""
+    fields = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.to_csv(F.struct(*fields), {"sep": sep}).alias(line))
+
+
+def from_lines(lines: DataFrame, schema: StructType | str, sep: str = ",", line: str = "line") -> DataFrame:
+    """Delimited text of a column as typed columns beside the others. What does not fit its type is NULL; ``_corrupt_record``
+    keeps the text of lines with such a field or with another number of fields."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_csv(line, whole.toDDL(), {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.withColumn("_parsed", parsed).select(*[c for c in lines.columns if c != line], "_parsed.*")
+
+
 def normal_name(name: str) -> str:
     return name.lower().replace(" ", "_")
 

@@ -91,3 +91,28 @@ def test_matrix(spark, tmp_path, rows):
         ("m1.txt", "a", "b", 4), ("m1.txt", "a", "c", 7), ("m1.txt", "b", "a", 1), ("m1.txt", "b", "c", 2), ("m1.txt", "c", "a", 9),
         ("m1.txt", "c", "b", 3), ("m2.txt", "x", "y", 5), ("m2.txt", "y", "x", 6),
     ]
+
+
+def test_lines_in_a_column_keep_malformed_ones(spark):
+    from tallyloom.sources import delimited
+
+    given = spark.createDataFrame([(1, "a;b", 1.5), (2, None, -2.0), (3, 'q"u', None)], "k int, s string, v double")
+    lines = delimited.to_lines(given, ";", keep=["k"])
+    assert [r.line for r in lines.orderBy("k").collect()][0] == '"a;b";1.5'
+    back = delimited.from_lines(lines, "s string, v double", ";")
+    assert sorted(map(tuple, back.collect())) == [(1, "a;b", 1.5, None), (2, None, -2.0, None), (3, 'q"u', None, None)]
+    spoiled = spark.createDataFrame([(1, "x;no"), (2, "x"), (3, "x;1.0;more"), (4, None), (5, "")], "k int, line string")
+    found = {r.k: (r.s, r.v, r[delimited.CORRUPT]) for r in delimited.from_lines(spoiled, "s string, v double", ";").collect()}
+    assert found[1] == ("x", None, "x;no") and found[2] == ("x", None, "x") and found[3] == ("x", 1.0, "x;1.0;more") and found[4] == (None, None, None)
+
+
+def test_matrix_text_in_a_column(spark):
+    from tallyloom.sources import matrix
+
+    edges = spark.createDataFrame([("m", "a", "b", 3), ("m", "b", "a", 4), ("m", "a", "c", 5), ("n", "x", "y", 1)], "instance string, src string, dst string, cost int")
+    texts = matrix.matrix_lines(edges)
+    assert {r.instance: r.text for r in texts.collect()} == {"m": "a : 0 3 5\nb : 4 0 -\nc : - - 0", "n": "x : 0 1\ny : - 0"}
+    assert sorted(map(tuple, matrix.parse_matrix(texts, "text").collect())) == sorted(map(tuple, edges.collect()))
+    broken = spark.createDataFrame([("z", " p : 0 seven\n\nq : 2 0 9\n"), ("e", ""), ("u", None)], "instance string, t string")
+    found = [tuple(r) for r in matrix.parse_matrix(broken, "t").collect()]
+    assert ("z", "q", "p", 2) in found and not any(r[1] == "p" for r in found) and {r[0] for r in found} == {"z"}
