@@ -55,9 +55,11 @@ def test_lookup_falls_back_and_drops(spark, rows):
 
 
 def test_code_labels_never_multiply_rows(spark, rows):
-    table = frame(spark, [("1", "Car"), ("1", "Cart")], "code string, label string")
-    df = frame(spark, [("1",), ("9",)], "c string")
-    assert rows(relational.code_labels(df, "c", table, "code", "label", "d", "Other"), "c", "d") == [("1", "Car"), ("9", "Other")]
+    table = frame(spark, [("1", "Car"), ("1", "Car"), ("1", None), ("2", None)], "code string, label string")
+    df = frame(spark, [("1",), ("2",), ("9",)], "c string")
+    assert rows(relational.code_labels(df, "c", table, "code", "label", "d", "Other"), "c", "d") == [("1", "Car"), ("2", "Other"), ("9", "Other")]
+    with pytest.raises(Exception, match="several values of label"):
+        relational.code_labels(df, "c", table.union(frame(spark, [("1", "Cart")], "code string, label string")), "code", "label", "d", "Other").collect()
 
 
 def test_one_sided_counts(spark, rows):
