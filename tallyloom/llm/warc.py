@@ -290,10 +290,23 @@ def _plain_record(source: Bytes, offset: int) -> tuple[dict[str, str], bytes, in
     if source.at(offset, 7) != b"WARC/1.":
         return "no version line"
     end = source.find(b"\r\n\r\n", offset)
-    length = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", source.at(offset, min(end - offset, 1 << 20)))
-    if not length:
+    length = _stated_length(source, offset, end)
+    if length is None:
         return "no length"
-    return parsed(source.at(offset, end - offset + 4 + int(length[1]) + 4))
+    return parsed(source.at(offset, end - offset + 4 + length + 4))
+
+
+def _stated_length(source: Bytes, begin: int, end: int) -> int | None:
+    """The Content-Length of a header, searched block by block: a damaged one may go on to the end of the archive."""
+    while True:
+        block = source.at(begin, min(end - begin, 1 << 20))
+        last = begin + len(block) >= end or not block
+        found = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", block)
+        if found and (last or found.end() < len(block)):
+            return int(found[1]) if len(found[1]) < 20 else None
+        if last or (found and not found.start()):
+            return None
+        begin += found.start() if found else len(block) - 64  # a field that a block's end cuts is read again
 
 
 def _page(name: str) -> int | None:

@@ -62,6 +62,16 @@ def test_salvage_keeps_every_other_record(pack, damaged, how):
         assert any(isinstance(f, str) for f in found)
 
 
+@pytest.mark.parametrize("size", [10, (1 << 20) - 100, (1 << 20) - 60, (1 << 20) - 20, 3 << 20])
+def test_headers_are_searched_whole(size):
+    first, second = records([b"long header", b"next"])
+    line = b"X-Note: " + b"n" * size + b"\r\n"
+    place = first.lower().index(b"content-length")
+    long = first[:place] + line + first[place:]
+    assert [f[5] for f in read(long + second)] == [b"long header", b"next"]
+    assert [f[5] for f in read(warc.compressed(long) + warc.compressed(second))] == [b"long header", b"next"]
+
+
 def test_every_record_of_a_member_is_read():
     stored = records(PAGES)
     found = read(warc.compressed(b"".join(stored)))
