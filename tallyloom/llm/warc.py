@@ -7,8 +7,9 @@ that ran twice leaves nothing behind that would be read.
 Reading: records are checked (member checksum, version line, lengths, block digest). After a failed check the reader searches
 for the next member, or in plain archives the next version line, goes on from there, and reports the bytes between as a
 quarantined gap. A member may hold many records: it is inflated a chunk at a time and read like a plain archive. All its records
-have its offset, and the last one its length; a gap inside it has no length. Of a damaged member those records are kept that
-carry a block digest, if the damage shows in another place. A record is held in memory, never an archive.
+have its offset, and the last one its length; a gap inside it has no length. Of a damaged member those records are kept whose block
+digest holds; as the damage may lie in any header, they are marked: ``verified`` is false. The member's bytes are a gap all the
+same. A record is held in memory, never an archive.
 
 A null html is an empty payload, and always a response; a null page id is kept; repeated rows are records of their own. An empty table
 writes no archive. Columns other than page_id, url and html are left out.
@@ -39,7 +40,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, n_records long, n_bytes long"
 RECORD = (
     "archive string, offset long, length long, gap string, page_id long, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string, payload binary"
+    "payload_bytes long, payload_digest string, payload binary, verified boolean"
 )
 
 
@@ -171,12 +172,32 @@ def inflated(source: Bytes, offset: int) -> Iterator[tuple[bytes, int]]:
         if not data:
             data = source.at(at, 64 << 10)
             at += len(data)
-        out = unpacker.decompress(data, CHUNK)
+        before = unpacker.copy()
+        try:
+            out = unpacker.decompress(data, CHUNK)
+        except zlib.error:
+            for out in _before_damage(before, data):
+                yield out, at - offset
+            raise
         if not data and not out and not unpacker.eof:
             raise EOFError
         yield out, at - len(unpacker.unused_data if unpacker.eof else unpacker.unconsumed_tail) - offset
 
 
+def _before_damage(unpacker, data: bytes) -> Iterator[bytes]:
+    """What can be inflated of data in which an error lies, which a larger step would withhold."""
+    held = bytearray()
+    for i in range(len(data)):
+        try:
+            held += unpacker.decompress(data[i : i + 1])
+        except zlib.error:
+            break
+        if len(held) >= CHUNK:
+            yield bytes(held)
+            held.clear()
+    yield bytes(held)
+
+
 def member(source: Bytes, offset: int) -> tuple[int, int, str]:
     """Size and stored length of the compressed member at an offset, as far as it can be read, and what is wrong with it."""
     size = length = 0
@@ -221,7 +242,7 @@ class Inflated:
         return bytes(self.held[:length])
 
 
-Found = tuple[int, int, str | tuple[dict[str, str], bytes]]
+Found = tuple[int, int, str | tuple[dict[str, str], bytes, bool]]
 
 
 def salvaged(source: Bytes) -> Iterator[Found]:
@@ -243,7 +264,7 @@ def _in_plain(source: Bytes) -> Iterator[Found]:
             yield gap, offset - gap, reason
             gap = -1
         fields, block, length = one
-        yield offset, length, (fields, block)
+        yield offset, length, (fields, block, True)
         offset += length
     if gap >= 0:
         yield gap, source.size - gap, reason
@@ -278,11 +299,11 @@ def _in_members(source: Bytes) -> Iterator[Found]:
         yield gap, source.size - gap, reason
 
 
-def _unharmed(source: Bytes, offset: int, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records of a damaged member that carry a block digest. If no damage shows, it may lie in any header: none."""
-    content = lambda: (one for _, _, one in _in_plain(Bytes(Inflated(source, offset), size)))
-    if any(isinstance(one, str) for one in content()):
-        yield from (one for one in content() if not isinstance(one, str) and one[0].get("warc-block-digest", "").startswith("sha256:"))
+def _unharmed(source: Bytes, offset: int, size: int) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """Records of a damaged member that carry a block digest, marked as not verified: their headers have no digest."""
+    for _, _, one in _in_plain(Bytes(Inflated(source, offset), size)):
+        if not isinstance(one, str) and one[0].get("warc-block-digest", "").startswith("sha256:"):
+            yield *one[:2], False
 
 
 def _plain_record(source: Bytes, offset: int) -> tuple[dict[str, str], bytes, int] | str:
@@ -314,8 +335,8 @@ def _page(name: str) -> int | None:
     return int(found[1]) if found else None
 
 
-def described(fields: dict[str, str], block: bytes) -> tuple | str:
-    """(page_id, record_type, refers_to, payload_bytes, payload_digest, payload) of a record; or what is wrong with it."""
+def described(fields: dict[str, str], block: bytes, verified: bool) -> tuple | str:
+    """(page_id, record_type, refers_to, payload_bytes, payload_digest, payload, verified) of a record; or what is wrong with it."""
     kind, digest = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha256:").lower()
     head, _, payload = block.partition(b"\r\n\r\n")
     page = _page(fields.get("warc-record-id", ""))
@@ -323,10 +344,10 @@ def described(fields: dict[str, str], block: bytes) -> tuple | str:
         length = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", head)
         if not length:
             return "revisit without a length"
-        return page, kind, _page(fields.get("warc-refers-to", "")), int(length[1]), digest, None
+        return page, kind, _page(fields.get("warc-refers-to", "")), int(length[1]), digest, None, verified
     if digest and hashlib.sha256(payload).hexdigest() != digest:
         return "payload digest differs"
-    return page, kind, None, len(payload), digest or hashlib.sha256(payload).hexdigest(), payload
+    return page, kind, None, len(payload), digest or hashlib.sha256(payload).hexdigest(), payload, verified
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -336,7 +357,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
         import pyarrow as pa
         from pyarrow import fs
 
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.bool_()]
         names = [one.split(" ")[0] for one in RECORD.split(", ")]
 
         def frame(rows: list[tuple]) -> pa.RecordBatch:
@@ -350,10 +371,10 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                     for offset, length, one in salvaged(Bytes(file, file.size())):
                         what = one if isinstance(one, str) else described(*one)
                         if isinstance(what, str):
-                            held.append((path, offset, length, what, *[None] * 6))
+                            held.append((path, offset, length, what, *[None] * 7))
                         else:
                             payload = what[5] if with_payload else None
-                            held.append((path, offset, length, None, *what[:5], payload))
+                            held.append((path, offset, length, None, *what[:5], payload, what[6]))
                             size += len(payload or b"")
                         if len(held) >= 5000 or size >= 8 << 20:
                             yield frame(held)

@@ -54,7 +54,7 @@ def test_salvage_keeps_every_other_record(pack, damaged, how):
         one = one + b"rubbish between records"
     stored[damaged] = bytes(one)
     found = read(b"".join(stored))
-    good = {f[0]: f[5] for f in found if not isinstance(f, str)}
+    good = {f[0]: f[5] for f in found if not isinstance(f, str) and f[6]}
     lost = set(range(4)) - set(good)
     assert lost <= ({damaged} if how != "insert" else set())
     assert all(good[i] == PAGES[i] for i in good)
@@ -99,6 +99,14 @@ def test_a_cut_member_keeps_the_records_before():
         assert any(isinstance(f, str) for f in found)
 
 
+@pytest.mark.parametrize("pages", [[b"a page"], PAGES, [random.Random(3).randbytes(300_000), b"last"]])
+def test_records_of_a_member_with_a_wrong_checksum_are_marked(pages):
+    stored = bytearray(warc.compressed(b"".join(records(pages))))
+    stored[-6] ^= 1  # in the checksum; the content is whole
+    found = read(bytes(stored) + warc.compressed(records([b"next"])[0]))
+    assert [f if isinstance(f, str) else (*f[::5], f[6]) for f in found] == [*((i, p, False) for i, p in enumerate(pages)), "bad member", (0, b"next", True)]
+
+
 def test_pages_through_archives(spark):
     copy = "<p>" + "é" * 60 + "</p>"
     rows = [(5, "u", copy), (2, "v w\n", copy), (9, None, copy), (9, None, copy), (3, "x", "short"), (4, "y", "short"), (1, "z", None), (None, "n", "q" * 200)]
