@@ -6,11 +6,12 @@ The lists of the two terms, each shifted by the term's offset in the window, are
 word by word with the stored surroundings: exact phrases. The same surroundings tell proximity matches, in which all words of
 a window stand near its rarest term in any order.
 
-Built from DataFrame functions alone. Texts are never shuffled: a bit table of fixed size, the same for any benchmark, lets
-each scan pass over words that no window has. A frequent term is never looked up if its window has a rarer one; skewed lists
-are joins of two shuffled sides, which adaptive execution splits.
+Built from DataFrame functions alone. Texts are never shuffled: a bit table with ``BITS_PER_TERM`` bits for each term, of 8 MB
+at most, lets each scan pass over words that no window has; the few that get through are parted from the terms by a join before
+anything is stored. A frequent term is never looked up if its window has a rarer one; skewed lists are joins of two shuffled
+sides, which adaptive execution splits.
 
-A null text has no words; an item without words has no windows; an item shorter than a window is one window. Repeated rows get
+A very long text is one row of words, and is looked through like any other. A null text has no words; an item without words has no windows; an item shorter than a window is one window. Repeated rows get
 equal results. Rows are told apart by id and text, so a repeated id with another text has its own result. Empty tables give
 no hits or no rows. Other columns are left out, so no name can clash.
 """
@@ -26,7 +27,8 @@ from tallyloom.llm.common import A_TO_Z, stored
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of either case
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-FILTER_LONGS = 1 << 14  # 128 KB of bits, whatever the size of the benchmark
+BITS_PER_TERM = 32
+LEAST_LONGS, MOST_LONGS = 1 << 14, 1 << 20  # bit tables of 128 KB to 8 MB; a fuller one lets more words through to the join
 
 
 def words_of(text: Column) -> Column:
@@ -46,27 +48,44 @@ def windows_of(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     return windows.select("window_id", "words"), held
 
 
-def _bit(term: Column) -> tuple[Column, Column]:
+def _bit(term: Column, longs: int) -> tuple[Column, Column]:
     """Where a term's bit lies: the number of a long and the place in it."""
-    place = F.pmod(F.xxhash64(term), F.lit(FILTER_LONGS * 64))
+    place = F.pmod(F.xxhash64(term), F.lit(longs * 64))
     return F.floor(place / 64).cast("int"), (place % 64).cast("int")
 
 
-def bit_table(terms: DataFrame) -> DataFrame:
-    """One row with one array of ``FILTER_LONGS`` longs, in which the bits of all terms are set."""
-    spark = terms.sparkSession
-    number, place = _bit(F.col("term"))
+def bit_table(terms: DataFrame) -> tuple[DataFrame, int]:
+    """One row with one array of longs, in which the bits of all distinct terms are set, and the number of longs."""
+    spark, longs = terms.sparkSession, LEAST_LONGS
+    needed = terms.count() * BITS_PER_TERM // 64
+    while longs < min(needed, MOST_LONGS):
+        longs *= 2
+    number, place = _bit(F.col("term"), longs)
     own = terms.select(number.alias("number"), F.expr("1L").alias("one"), place.alias("place"))
     own = own.select("number", F.call_function("shiftleft", F.col("one"), F.col("place")).alias("bits"))
-    none = spark.range(FILTER_LONGS).select(F.col("id").cast("int").alias("number"), F.lit(0).cast("long").alias("bits"))
+    none = spark.range(longs).select(F.col("id").cast("int").alias("number"), F.lit(0).cast("long").alias("bits"))
     filled = own.unionByName(none).groupBy("number").agg(F.bit_or("bits").alias("bits"))
     listed = filled.agg(F.sort_array(F.collect_list(F.struct("number", "bits"))).alias("all"))
-    return listed.select(F.transform("all", lambda x: x["bits"]).alias("bits"))
+    return listed.select(F.transform("all", lambda x: x["bits"]).alias("bits")), longs
 
 
-def may_hold(term: Column, bits: DataFrame) -> Column:
-    number, place = _bit(term)
-    return F.getbit(F.element_at(bits.scalar(), number + 1), place) == 1
+def may_hold(term: Column, bits: tuple[DataFrame, int]) -> Column:
+    number, place = _bit(term, bits[1])
+    return F.getbit(F.element_at(bits[0].scalar(), number + 1), place) == 1
+
+
+def postings_of(texts: DataFrame, first: DataFrame, second: DataFrame, reach: int) -> DataFrame:
+    """(term, doc_id, text_hash, position, around) of every occurrence of a term; ``around``, the words near it, only for first terms."""
+    terms = first.select("term", F.lit(True).alias("is_first")).unionByName(second.select("term", F.lit(False).alias("is_first")))
+    terms = stored(terms.groupBy("term").agg(F.max("is_first").alias("is_first")), "index-terms")
+    placed = texts.select("doc_id", "text_hash", "words", F.posexplode("words").alias("position", "term"))
+    placed = placed.filter(may_hold(F.col("term"), bit_table(terms)))
+    begin = F.greatest(F.col("position") - reach, F.lit(0))
+    around = F.array_join(F.slice("words", begin + 1, F.col("position") - begin + 1 + reach), " ")
+    around = F.when(may_hold(F.col("term"), bit_table(terms.filter("is_first"))), around)
+    placed = placed.select("term", "doc_id", "text_hash", "position", around.alias("around"))
+    around = F.when(F.col("is_first"), F.col("around")).alias("around")
+    return stored(placed.join(terms, "term").select("term", "doc_id", "text_hash", "position", around), "postings")
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, window: int = WINDOW, near: int | None = None) -> DataFrame:
@@ -80,7 +99,8 @@ def occurrences(docs: DataFrame, windows: DataFrame, window: int = WINDOW, near:
 
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words_of(F.col("text")).alias("words"))
     tokens = texts.select(F.explode("words").alias("term"))
-    counts = tokens.filter(may_hold(F.col("term"), bit_table(places.select("term").distinct()))).groupBy("term").count()
+    terms = stored(places.select("term").distinct(), "window-terms")
+    counts = tokens.filter(may_hold(F.col("term"), bit_table(terms))).groupBy("term").count()
 
     # The two rarest terms of each window, and how far the second stands behind the first. Windows that follow one another in
     # an item mostly share them, so lists are intersected once per pair.
@@ -99,13 +119,8 @@ def occurrences(docs: DataFrame, windows: DataFrame, window: int = WINDOW, near:
     pairs = rare.select("term", "second", "behind").distinct()
 
     # Postings of those terms, stored; those of the rarest terms with the words around them.
-    placed = texts.select("doc_id", "text_hash", "words", F.posexplode("words").alias("position", "term"))
-    first_terms, second_terms = rare.select("term").distinct(), rare.select(F.col("second").alias("term")).filter("term IS NOT NULL").distinct()
-    placed = placed.filter(may_hold(F.col("term"), bit_table(first_terms.union(second_terms).distinct())))
-    begin = F.greatest(F.col("position") - reach, F.lit(0))
-    around = F.array_join(F.slice("words", begin + 1, F.col("position") - begin + 1 + reach), " ")
-    around = F.when(may_hold(F.col("term"), bit_table(first_terms)), around)
-    postings = stored(placed.select("term", "doc_id", "text_hash", "position", around.alias("around")), "postings")
+    second_terms = rare.select(F.col("second").alias("term")).filter("term IS NOT NULL")
+    postings = postings_of(texts, rare.select("term"), second_terms, reach)
 
     # Intersect the lists of the two terms, the second shifted back.
     first = pairs.join(postings.select("term", "doc_id", "text_hash", "position"), "term")

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import chat, decontamination, quality
@@ -87,6 +88,29 @@ def test_decontamination(spark, frame, documents):
     assert decontamination.contamination(frame(docs), bench.limit(0)).filter("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("longs", [1, 1 << 14])
+def test_index_holds_the_occurrences_of_its_terms_alone(spark, frame, documents, monkeypatch, longs):
+    """Also if a table is so full that every word passes it."""
+    monkeypatch.setattr(decontamination, "LEAST_LONGS", longs)
+    monkeypatch.setattr(decontamination, "MOST_LONGS", longs)
+    texts = frame(documents).select("doc_id", F.lit(0).alias("text_hash"), decontamination.words_of(F.col("text")).alias("words"))
+    terms = lambda *words: spark.createDataFrame([(w,) for w in words], "term string")
+    found = decontamination.postings_of(texts, terms("oak", "elmx", "oak"), terms("oak", "holly", "nowhere"), 2).collect()
+    want = []
+    for doc, text in documents:
+        words = [w.lower() for w in re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text or "")]
+        near = lambda i: " ".join(words[max(i - 2, 0) : i + 3])
+        want += [(w, doc, i, None if w == "holly" else near(i)) for i, w in enumerate(words) if w in ("oak", "elmx", "holly")]
+    assert sorted((r["term"], r["doc_id"], r["position"], r["around"] or "") for r in found) == sorted((*x[:3], x[3] or "") for x in want)
+
+
+def test_one_id_with_two_texts(spark, frame):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    rows = [(5, "one two three"), (5, "nothing of it"), (5, "one two three"), (None, "a one two three"), (None, "b")]
+    found = decontamination.contamination(frame(rows), bench).collect()
+    assert sorted((r["doc_id"] or 0, r["n_hit"]) for r in found) == [(0, 0), (0, 3), (5, 0), (5, 3), (5, 3)]
+
+
 def test_proximity(spark, frame):
     docs = frame([(1, "one two three four five six"), (2, "three x two y one"), (3, "one two"), (4, "one a b c d e f g h i j k l m two three")])
     windows, _ = decontamination.windows_of(spark.createDataFrame([(1, "one two three")], "item_id long, text string"), 3)
