@@ -5,7 +5,8 @@ the last reply, or a conversation without one, make one more example in which no
 every turn. Marks of the template inside texts and roles are escaped, and can be read back.
 
 Turns are ordered by (turn, role, text), nulls first; a null role or text counts as empty; a repeated row is a turn of its
-own; rows without a conversation id form one conversation. The output grows with the square of a conversation's turns, as the
+own; rows without a conversation id form one conversation. An empty table gives no examples; other columns are left out, so no
+name can clash. The output grows with the square of a conversation's turns, as the
 method asks; a conversation is one training text and is put together in one task.
 """
 

@@ -5,7 +5,8 @@ batch into windows of nearly equal size: partial partitions are merged so that t
 of the other, those with the largest imbalance first. The number of windows starts at the least that could hold the batch
 and rises whenever a window exceeds the capacity. No shuffle is needed; a task holds one batch at a time.
 
-Nulls and empty texts give the end id alone. Repeated rows are packed like any other. An empty table gives no rows.
+Nulls and empty texts give the end id alone. A very long text fills whole sequences one after the other. Rows without an id and
+repeated rows are packed like any other, each by itself, and ties of size go by the order of pieces. An empty table gives no rows.
 Every other column of the input is left out, so no name can clash.
 """
 

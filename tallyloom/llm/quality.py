@@ -4,7 +4,8 @@ Every rule is evaluated once per text; the ledger keeps the measurements and one
 sets of rules: applying one, or asking what each rule alone decides, is bit arithmetic on the ledger and never reads the text
 again. All of it stays inside one row, so nothing is shuffled but for the few sums of an ablation.
 
-A null text has no words and fails the base. Empty tables give empty ledgers; repeated rows give repeated entries; columns
+A null text has no words and fails the base. A very long text is measured whole, in its own row. A measurement that equals a
+threshold does not fail. Empty tables give empty ledgers; repeated rows give repeated entries; columns
 other than doc_id and text are left out, so no name can clash.
 """
 

@@ -5,7 +5,8 @@ counts known to the cache are joined, each distinct missing content is encoded o
 
 Only digests and ids are shuffled, but for the one text per missing content, which is joined on its row's own id and so
 spreads evenly, however many copies a text has. Nulls and empty texts count zero tokens; repeated rows give repeated
-results; rows without an id are counted too. The cache is Parquet in any store Spark writes to, one row per content and
+results; rows without an id are counted too; a very long text is encoded in one task. An empty table gives no rows and appends
+nothing; other columns are left out, so no name can clash. The cache is Parquet in any store Spark writes to, one row per content and
 version; rows appended twice by two jobs agree and are merged when read.
 """
 

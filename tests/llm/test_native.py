@@ -26,6 +26,24 @@ def test_ledger(frame):
     assert quality.ledger(frame([])).count() == 0
 
 
+def test_ties_and_a_very_long_text_in_the_ledger(frame):
+    at_limit = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, at_limit), (2, " ".join(at_limit.split()[1:])), (3, " ".join(f"w{i}" for i in range(30_000)))]
+    found = {r["doc_id"]: r for r in quality.ledger(frame(rows)).collect()}
+    few = quality.BITS["few_words"]
+    assert [found[i]["failed_bits"] & few for i in (1, 2, 3)] == [0, few, 0]
+    assert (found[3]["n_words"], found[3]["n_repeat_words"]) == (30_000, 0)
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, turn, "assistant" if turn % 2 else "user", f"says {turn}") for turn in range(300)]
+    out = chat.examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert out.filter("loss_start IS NOT NULL").count() == 150
+    digest = chat.digests(out).first()
+    loss = "".join(text for _, _, role, text in rows if role == "assistant")
+    assert (digest["n_turns"], digest["loss_sha256"]) == (300, hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_policies_and_ablations(frame):
     words = " ".join(f"{w}{i}" for i, w in enumerate(WORDS * 5))
     entries = quality.ledger(frame([(1, "few"), (2, words), (3, words.upper()), (4, None)])).cache()

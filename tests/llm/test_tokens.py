@@ -41,6 +41,15 @@ def test_pieces_hold_every_id_once_and_sequences_have_no_gap(frame, documents):
     assert total > 0.95 * 2048 * (len(sequences) - 8)  # each of eight tasks may leave one window open
 
 
+def test_rows_without_an_id_and_repeated_rows_are_packed_by_themselves(frame):
+    rows = [(None, "one two"), (None, "one two"), (None, "three"), (4, None), (4, "five six seven"), (4, "five six seven"), (5, "word " * 9000)]
+    found = packing.pack(frame(rows), WORD, end_id=1).collect()
+    want = [(doc or 0, len(ids_of(WORD, text, 1))) for doc, text in rows]
+    assert sorted((r["doc_id"] or 0, r["doc_tokens"]) for r in found if r["start"] == 0) == sorted(want)
+    assert sum(r["length"] for r in found) == sum(n for _, n in want)
+    assert len({(r["sequence_id"], r["offset"]) for r in found}) == len(found)
+
+
 def test_differencing_balances_and_adds_windows():
     sizes = [8, 7, 6, 5, 4]
     assert sorted(sum(sizes[i] for i in items) for items in packing.differencing(sizes, 2)) == [14, 16]
@@ -84,6 +93,22 @@ def test_ids_are_read_back_in_order(spark, frame, documents):
         start += len(want)
 
 
+def test_rows_that_share_an_id_or_have_none_spread_and_keep_their_ids(spark, frame):
+    texts = [f"text {i} " * (i % 7) for i in range(400)]
+    rows = [(None, t) for t in texts] + [(3, t) for t in texts] + [(3, texts[5])] * 3 + [(4, None), (4, ""), (5, "word " * 60_000)]
+    path = shared_folder(spark, "ids")
+    token_output.write_ids(frame(rows), BYTE, 0, path)
+    found = token_output.read_ids(spark, path).orderBy("start").collect()
+    at = 0
+    for r in found:
+        assert (r["start"], r["n_tokens"]) == (at, len(r["ids"]))
+        at += r["n_tokens"]
+    assert [r["doc_id"] or 0 for r in found] == sorted(doc or 0 for doc, _ in rows)
+    assert sorted((r["doc_id"] or 0, r["ids"]) for r in found) == sorted((doc or 0, ids_of(BYTE, text, 0).tolist()) for doc, text in rows)
+    parts = spark.read.parquet(path).filter("doc_id IS NULL").select("part").distinct().count()
+    assert parts > 1
+
+
 def test_file_format(spark, frame, documents):
     path = shared_folder(spark, "ids")
     token_output.write_ids(frame(documents).coalesce(1), BYTE, 0, path)
