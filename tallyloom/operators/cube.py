@@ -8,7 +8,7 @@ from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -118,9 +118,10 @@ class StoredCube:
         return f"{self.path}/names/{place}"
 
     def _write(self, cells: DataFrame, depths: tuple[int, ...]) -> None:
-        seen = Observation()
-        cells.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(self._folder(depths))
-        self.sizes[depths] = seen.get["n"]
+        cells.write.parquet(self._folder(depths))
+        # Counted from the files' footers. An Observation would leave its manager in the session, which then cannot be serialised, and
+        # Spark's binary classifiers take the session with their training summary into every task.
+        self.sizes[depths] = self._cells(depths).count()
 
     def _cells(self, depths: Sequence[int]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self._folder(depths))

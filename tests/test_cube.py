@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tallyloom.operators import models
 from tallyloom.operators.cube import CubeSpec, Dimension, StoredCube, write_cube
 from tallyloom.operators.olap import Cube
 
@@ -120,3 +122,12 @@ def test_an_empty_cube(spark, tmp_path):
     cube = StoredCube(spark, str(tmp_path / "c"), [store], {"n": F.lit(1)}).build(spark.createDataFrame([], "store long"))
     assert cube.slice((1,)).collect() == []
     assert [tuple(r) for r in cube.cells().collect()] == [(None, 1, 0)]
+
+
+def test_models_predict_in_a_session_that_built_a_cube(stored, spark):
+    cube, _ = stored
+    assert cube.slice((0, 0)).count() == 1
+    rows = spark.createDataFrame([(Vectors.dense(float(i)), float(i % 2)) for i in range(20)], ["features", "y"])
+    for model in (models.forest("y", numTrees=2).fit(rows), models.logistic("y", "features", 1.0, 20).fit(rows)):
+        assert model.transform(rows).where("prediction IS NOT NULL").count() == 20
+        assert model.transform(rows).select("probability").distinct().count() > 0
