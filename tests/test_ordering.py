@@ -42,6 +42,20 @@ def test_running_before(spark):
         assert got[(g, v)] == (sum(c for a, b, c in data if a == g and b < v), sum(c for a, b, c in data if a == g))
 
 
+def test_cut_points_are_found_once(spark):
+    value = F.pow(F.lit(10.0), F.rand(3) * 4 + 1).cast("long")
+    group = F.when(F.col("id") % 10 < 6, "en").otherwise(F.concat(F.lit("l"), (F.col("id") % 3).cast("string")))
+    df = spark.range(300_000, numPartitions=24).select(group.alias("g"), value.alias("v"))
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = ordering.exact_quantiles(df, ["g"], "v", probs)
+    ours = {r.g: (r.q1, r.median, r.q3) for r in found.collect()}
+    theirs = {r.g: (r.q1, r.median, r.q3) for r in df.groupBy("g").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).collect()}
+    assert ours == theirs
+    assert "percentile_approx" not in found._jdf.queryExecution().optimizedPlan().toString()
+    whole = ordering.exact_quantiles(df, [], "v", probs)
+    assert "percentile_approx" not in whole._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_numbered_is_a_permutation_and_repeats_itself(spark):
     df = skewed(spark)
     first = {r.id: (r.g, r.rn, r.group_rows) for r in ordering.numbered(df, ["g"], ["id"], slots=5).collect()}
