@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -92,18 +92,23 @@ class Dimension:
         return out
 
 
+Facts = DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
 class StoredCube:
     """A cube in a folder of its own: one part per level, on ids, and the dimensions' names beside them.
 
-    The finest level is aggregated from the facts; every coarser one from its smallest finished parent, the level one step
-    finer in one dimension with the fewest cells. Levels with equally many steps are worked out side by side. Names are joined
-    only to what a slice returns. Measures are sums.
+    A slice stores its own level and no other: summed from the smallest finished level that is finer, or from the facts where there
+    is none. ``build`` stores them all: the finest level from the facts, every coarser one from its smallest finished parent, the
+    level one step finer in one dimension with the fewest cells; levels with equally many steps are worked out side by side. Names
+    are joined only to what a slice returns. Measures are sums.
     """
 
     def __init__(self, spark: SparkSession, path: str, dimensions: Sequence[Dimension], measures: Mapping[str, Column]):
         self.spark, self.path, self.dimensions, self.measures = spark, path, list(dimensions), dict(measures)
         self.ids = [i for d in self.dimensions for i in d.ids]
         self.sizes: dict[tuple[int, ...], int] = {}
+        self.facts: Facts | None = None
         self.schema = ", ".join([f"{i} long" for i in self.ids] + [f"{m} long" for m in self.measures])
 
     def level_id(self, depths: Sequence[int]) -> int:
@@ -131,15 +136,39 @@ class StoredCube:
         sums = df.groupBy(*kept).agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in self.measures])
         return sums.select(*[F.col(i) if i in kept else F.lit(None).cast("long").alias(i) for i in self.ids], *self.measures)
 
-    def build(self, facts: DataFrame) -> StoredCube:
-        """Write all levels of (key of each dimension, what the measures sum) rows. Facts without a member are left out."""
-        finest = tuple(len(d.levels) for d in self.dimensions)
+    def of(self, facts: Facts) -> StoredCube:
+        """The cube of (key of each dimension, what the measures sum) rows, no level stored yet; facts without a member are left out.
+
+        Instead of rows, a function may join the members by their keys, where a dimension is better joined before the facts are whole.
+        """
         with ThreadPool(len(self.dimensions)) as pool:
             pool.map(inheritable_thread_target(self.spark)(self._write_names), range(len(self.dimensions)))
-        df = facts.select(*[d.key for d in self.dimensions], *[c.alias(m) for m, c in self.measures.items()])
-        for place, d in enumerate(self.dimensions):
-            df = df.join(self._members(place).select(d.key, *d.ids), d.key)
-        self._write(self._summed(df, finest), finest)
+        self.facts = facts
+        return self
+
+    def _from_facts(self, depths: Sequence[int]) -> DataFrame:
+        members = {d.key: self._members(place).select(d.key, *d.ids[:depth]) for place, (d, depth) in enumerate(zip(self.dimensions, depths, strict=True))}
+        if callable(self.facts):
+            joined = self.facts(members)
+        else:
+            joined = reduce(lambda df, key: df.join(members[key], key), members, self.facts)
+        kept = [i for d, depth in zip(self.dimensions, depths, strict=True) for i in d.ids[:depth]]
+        return joined.select(*kept, *[c.alias(m) for m, c in self.measures.items()])
+
+    def store(self, depths: Sequence[int]) -> None:
+        """Store one level, if it is not there."""
+        depths = tuple(depths)
+        if depths in self.sizes:
+            return
+        finer = [one for one in self.sizes if all(a >= b for a, b in zip(one, depths))]
+        source = self._cells(min(finer, key=lambda one: (self.sizes[one], one))) if finer else self._from_facts(depths)
+        self._write(self._summed(source, depths), depths)
+
+    def build(self, facts: Facts) -> StoredCube:
+        """Write all levels."""
+        self.of(facts)
+        finest = tuple(len(d.levels) for d in self.dimensions)
+        self.store(finest)
         levels = sorted(product(*[range(depth + 1) for depth in finest]), key=sum, reverse=True)
         for steps in range(sum(finest) - 1, -1, -1):
             due = [depths for depths in levels if sum(depths) == steps]
@@ -166,6 +195,7 @@ class StoredCube:
 
     def slice(self, depths: Sequence[int], where: Column | None = None) -> DataFrame:
         """One level by its id, with the names of its members; ``where`` chooses among them by name."""
+        self.store(depths)
         out = self._cells(depths)
         for place, (d, depth) in enumerate(zip(self.dimensions, depths, strict=True)):
             if depth:
@@ -177,7 +207,7 @@ class StoredCube:
         return out.select(*[c for d, depth in zip(self.dimensions, depths, strict=True) for c in d.levels[:depth]], *self.measures)
 
     def cells(self) -> DataFrame:
-        """All levels in one table, with ``level_id``; names are joined once per dimension, by depth and id."""
+        """All stored levels in one table, with ``level_id``; names are joined once per dimension, by depth and id."""
         out = self.spark.read.schema(f"{self.schema}, level_id long").parquet(f"{self.path}/cells")
         for place, d in enumerate(self.dimensions):
             depth = sum((F.col(i).isNotNull().cast("int") for i in d.ids), F.lit(0))

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import models
 from tallyloom.operators.cube import CubeSpec, Dimension, StoredCube, write_cube
 from tallyloom.operators.olap import Cube
+from tallyloom.plans import cubes
 
 DATA = [
     ("Fen", "Alder", "s1", "Moor", "c1", "lamp", 5), ("Fen", "Alder", "s1", "Moor", "c1", "lamp", 2), ("Fen", "Birk", "s2", "Moor", "c2", "rope", 1),
@@ -71,6 +73,7 @@ def test_pivot_of_two_measures_with_a_total(facts, rows):
     assert rows(found) == [("All", 14, 0, 5, 3, 0, 2), ("Fen", 7, 0, 5, 2, 0, 2), ("Moor", 7, 0, 0, 1, 0, 0)]
 
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 STORES = [(1, "Fen", "Alder", "a"), (2, "Fen", "Alder", "b"), (3, "Fen", None, "a"), (4, "Moor", "Alder", "a"), (5, None, None, None), (6, "Fen", "Alder", "a")]
 GOODS = [(1, "lamp"), (2, "rope"), (3, "lamp"), (4, None)]
 
@@ -131,3 +134,23 @@ def test_models_predict_in_a_session_that_built_a_cube(stored, spark):
     for model in (models.forest("y", numTrees=2).fit(rows), models.logistic("y", "features", 1.0, 20).fit(rows)):
         assert model.transform(rows).where("prediction IS NOT NULL").count() == 20
         assert model.transform(rows).select("probability").distinct().count() > 0
+
+
+def test_a_slice_stores_its_level_alone(spark, tmp_path, rows):
+    stores = spark.createDataFrame(STORES, "store long, region string, town string, shop string")
+    goods = spark.createDataFrame(GOODS, "good long, item string")
+    facts = spark.createDataFrame([(i % 8, i % 5, i) for i in range(200)], "store long, good long, q int")
+    dimensions = [Dimension("store", ("region", "town", "shop"), stores), Dimension("good", ("item",), goods)]
+    measures = {"quantity": F.col("q"), "n": F.lit(1)}
+    whole = StoredCube(spark, str(tmp_path / "whole"), dimensions, measures).build(facts)
+    early = StoredCube(spark, str(tmp_path / "early"), dimensions, measures).of(lambda m: facts.join(m["good"], "good").join(m["store"], "store"))
+    for at, depths in enumerate([(1, 0), (3, 0), (2, 1), (2, 0), (3, 1), (0, 0)], 1):
+        assert rows(early.slice(depths)) == rows(whole.slice(depths)) and len(early.sizes) == at and depths in early.sizes
+    assert early.sizes.items() <= whole.sizes.items()
+
+
+def test_trade_slices_build_no_other_level(spark):
+    cubes._STORED.clear()
+    cubes.cube_supplier_product(spark, FOLDER)
+    ((_, cube),) = cubes._STORED.values()
+    assert set(cube.sizes) == {(3, 0, 1)}
