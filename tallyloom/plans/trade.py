@@ -5,6 +5,8 @@ Each query is a function of (spark, folder); ``ORACLE`` holds the same question
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,16 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     return lines(spark, folder).join(sales(spark, folder), "order_id")
 
 
+ROWS_A_PARTITION = 250_000
+
+
+def spread_on(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Deal rows by the keys they are grouped or joined on, over as many partitions as their number asks for, so that a task's share
+    does not grow with the table; up to the session's number of partitions Spark's own shuffle does."""
+    parts = math.ceil(rows / ROWS_A_PARTITION)
+    return df if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(parts, *keys)
+
+
 def offers(spark: SparkSession, folder: str) -> DataFrame:
     return lines(spark, folder).groupBy("supp_id", "prod_id").agg(F.sum("quantity").alias("quantity"))
 
@@ -267,16 +279,19 @@ def sold_by_supplier_city(spark, folder):
 
 
 def tx_by_triplet(spark, folder):
-    return (
-        transactions(spark, folder)
-        .groupBy("supp_id", "con_id", "prod_id")
+    sold = lines(spark, folder)
+    n = sold.count()  # from the footers
+    by_id, by_name = ("supp_id", "con_id", "prod_id"), ("supplier", "consumer", "product")
+    bought = spread_on(sold, n, "order_id").join(spread_on(sales(spark, folder), n, "order_id"), "order_id")
+    named = (
+        spread_on(bought, n, *by_id)
+        .groupBy(*by_id)
         .agg(exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
         .join(supplier_names(spark, folder), "supp_id")
         .join(consumer_names(spark, folder), "con_id")
-        .groupBy("supplier", "consumer", "product")
-        .agg(from_cents(F.sum("value")).alias("total_value"))
     )
+    return spread_on(named, n, *by_name).groupBy(*by_name).agg(from_cents(F.sum("value")).alias("total_value"))
 
 
 def monthly_sales(spark, folder):

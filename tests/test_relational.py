@@ -191,3 +191,14 @@ def test_division_ignores_items_outside_the_universe(spark, rows):
     universe = spark.createDataFrame([(i,) for i in "xyzx"], "i string")
     assert rows(relational.divides(have, ["e"], "i", universe)) == [("a",)]
     assert rows(relational.divides(have, ["e"], "i", universe, exclude=["y"])) == [("a",), ("b",)]
+
+
+def test_a_task_of_the_triplets_keeps_its_share_when_the_table_grows(spark, monkeypatch):
+    from tallyloom.plans import trade
+
+    folder = "/root/testdata/sf0.001"
+    plain = sorted(map(tuple, trade.tx_by_triplet(spark, folder).collect()))
+    monkeypatch.setattr(trade, "ROWS_A_PARTITION", 100)  # as on a table so many times as large
+    many = trade.tx_by_triplet(spark, folder)
+    wanted = -(-trade.lines(spark, folder).count() // 100)
+    assert many.rdd.getNumPartitions() == wanted > 4 and sorted(map(tuple, many.collect())) == plain
