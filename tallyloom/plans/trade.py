@@ -296,15 +296,21 @@ def tx_by_triplet(spark, folder):
 
 def monthly_sales(spark, folder):
     year = sales(spark, folder).where("day >= DATE'1997-01-01' AND day < DATE'1998-01-01'")
-    return (
-        lines(spark, folder)
-        .join(year, "order_id")
-        .groupBy(F.month("day").alias("month"), "supp_id", "con_id", "prod_id")
+    sold = lines(spark, folder)
+    n = sold.count()  # from the footers
+    by_id, by_name = ("month", "supp_id", "con_id", "prod_id"), ("month", "supplier", "consumer", "product")
+    bought = spread_on(sold, n, "order_id").join(spread_on(year, n, "order_id"), "order_id").withColumn("month", F.month("day"))
+    named = (
+        spread_on(bought, n, *by_id)
+        .groupBy(*by_id)
         .agg(F.count(F.lit(1)).alias("tx"), F.sum("quantity").alias("units"), exact_sum(line_value()).alias("value"))
         .join(products(spark, folder).select("prod_id", "product"), "prod_id")
         .join(supplier_names(spark, folder), "supp_id")
         .join(consumer_names(spark, folder), "con_id")
-        .groupBy("month", "supplier", "consumer", "product")
+    )
+    return (
+        spread_on(named, n, *by_name)
+        .groupBy(*by_name)
         .agg(
             F.sum("tx").alias("transactions"),
             F.sum("units").alias("units"),
