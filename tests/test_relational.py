@@ -198,7 +198,9 @@ def test_a_task_of_the_triplets_keeps_its_share_when_the_table_grows(spark, monk
 
     folder = "/root/testdata/sf0.001"
     plain = sorted(map(tuple, trade.tx_by_triplet(spark, folder).collect()))
+    months = [tuple(r) for r in trade.monthly_sales(spark, folder).collect()]
     monkeypatch.setattr(trade, "ROWS_A_PARTITION", 100)  # as on a table so many times as large
     many = trade.tx_by_triplet(spark, folder)
     wanted = -(-trade.lines(spark, folder).count() // 100)
     assert many.rdd.getNumPartitions() == wanted > 4 and sorted(map(tuple, many.collect())) == plain
+    assert [tuple(r) for r in trade.monthly_sales(spark, folder).collect()] == months
