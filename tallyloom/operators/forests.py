@@ -15,6 +15,7 @@ import pyarrow as pa
 
 SAMPLED = 10000  # rows that Spark takes at least for the split candidates of a training set
 HISTOGRAM_BYTES = 1 << 25
+BLOCK = 1 << 16  # rows counted at once, so that what they need stays in a core's cache
 
 
 @dataclass(frozen=True)
@@ -144,10 +145,12 @@ def _impurity(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
 
 
 class _Tree:
-    """A growing tree: its nodes by number, children after their parents, and the rows that still lie in open nodes."""
+    """A growing tree: its nodes by number, children after their parents, and the rows that still lie in open nodes, with the times
+    that they are drawn."""
 
     def __init__(self, counts: np.ndarray):
-        self.rows = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.rows = np.flatnonzero(counts).astype(np.int32)
+        self.times = counts[self.rows]
         self.at = np.zeros(len(self.rows), np.int32)
         self.level, self.feature, self.cut, self.left, self.right, self.totals, self.open = [0], [-1], [0], [0], [0], [None], [True]
 
@@ -179,16 +182,31 @@ class _Tree:
         return self.shares[node]
 
 
-def _best_splits(keys: np.ndarray, rows: np.ndarray, slots: np.ndarray, nodes: int, chosen: np.ndarray | None, bins: int, classes: int, settings: Settings):
+def _histograms(keys: np.ndarray, rows: np.ndarray, times: np.ndarray, slots: np.ndarray, nodes: int, chosen: np.ndarray | None, size: int) -> np.ndarray:
+    """Drawn rows per predictor, node and key. The rows come node after node; some nodes, or a part of a large one, are counted at once."""
+    width, n, flat = keys.shape[0] if chosen is None else chosen.shape[1], keys.shape[1], keys.ravel()
+    found, ends, first = np.zeros((width, nodes, size)), np.searchsorted(slots, np.arange(nodes), "right"), 0
+    while first < nodes:
+        begin = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, begin + BLOCK, "right")))
+        for at in range(begin, int(ends[last - 1]), BLOCK):
+            part = slice(at, min(at + BLOCK, int(ends[last - 1])))
+            own, weights = rows[part].astype(np.int64), times[part].astype(float)
+            base = (slots[part] - first).astype(np.int64) * size
+            for j in range(width):
+                codes = keys[j].take(own) if chosen is None else flat.take((chosen[:, j] * n)[slots[part]] + own)
+                found[j, first:last] += np.bincount(base + codes, weights, minlength=(last - first) * size).reshape(-1, size)
+        first = last
+    return found
+
+
+def _best_splits(keys: np.ndarray, rows: np.ndarray, times: np.ndarray, slots: np.ndarray, nodes: int, chosen: np.ndarray | None, bins: int, classes: int, settings: Settings):
     """Per node the gain, place in its predictors, cut and class totals of the best split, those of the left side and both impurities.
 
     ``keys`` holds class * bins + bin, a row per predictor.
     """
-    width, size, n = keys.shape[0] if chosen is None else chosen.shape[1], classes * bins, keys.shape[1]
-    base, found = slots.astype(np.int64) * size, np.empty((width, nodes, classes, bins))
-    for j in range(width):
-        own = keys[j].take(rows) if chosen is None else keys.ravel().take(chosen[:, j].astype(np.int64)[slots] * n + rows)
-        found[j] = np.bincount(base + own, minlength=nodes * size).reshape(nodes, classes, bins)
+    found = _histograms(keys, rows, times, slots, nodes, chosen, classes * bins).reshape(-1, nodes, classes, bins)
+    width, size = len(found), classes * bins
     totals, out = found[0].sum(-1), []
     for begin in range(0, nodes, max(1, 100_000 // (width * size))):
         part = slice(begin, begin + max(1, 100_000 // (width * size)))
@@ -248,10 +266,11 @@ def _split(tree: _Tree, nodes: list[tuple[int, int]], keys: np.ndarray, chosen:
         lookup[[node for node, _ in own]] = np.arange(len(own))
         slots = lookup[tree.at]
         here = np.flatnonzero(slots >= 0)
-        slots, rows = slots[here], tree.rows[here]
+        here = here[np.argsort(slots[here].astype(np.uint16) if len(own) < 1 << 16 else slots[here], kind="stable")]
+        slots, rows, times = slots[here], tree.rows[here], tree.times[here]
         sets = None if chosen is None else chosen[[i for _, i in own]]
         ids, features, cuts = [], np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
-        for s, (gain, place, cut, totals, left, left_impurity, right_impurity) in enumerate(_best_splits(keys, rows, slots, len(own), sets, bins, classes, settings)):
+        for s, (gain, place, cut, totals, left, left_impurity, right_impurity) in enumerate(_best_splits(keys, rows, times, slots, len(own), sets, bins, classes, settings)):
             node = own[s][0]
             tree.totals[node], tree.open[node] = totals, False
             if gain <= 0 or tree.level[node] == settings.depth:
@@ -267,7 +286,7 @@ def _split(tree: _Tree, nodes: list[tuple[int, int]], keys: np.ndarray, chosen:
         side = keys.ravel().take(features[slots] * keys.shape[1] + rows) % bins > cuts[slots]
         tree.at[here] = np.array(ids, np.int32)[slots, side.astype(np.int8)]
     kept = np.array(tree.open)[tree.at]
-    tree.rows, tree.at = tree.rows[kept], tree.at[kept]
+    tree.rows, tree.times, tree.at = tree.rows[kept], tree.times[kept], tree.at[kept]
     return opened
 
 

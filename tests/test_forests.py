@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 
 from tallyloom.operators import forests, models
+from tallyloom.plans.models import nested_confusion
 
 COLUMNS = [f"x{i}" for i in range(6)]
 
@@ -35,7 +36,7 @@ def accuracy():
     [
         dict(numTrees=20, maxDepth=8, featureSubsetStrategy="sqrt"), dict(numTrees=3, maxDepth=8, featureSubsetStrategy="all"), dict(numTrees=6, maxDepth=0),
         dict(numTrees=20, maxDepth=5, featureSubsetStrategy="onethird", minInstancesPerNode=4, minInfoGain=0.01), dict(numTrees=1, maxDepth=12, maxBins=8),
-        dict(numTrees=37, maxDepth=8, featureSubsetStrategy="log2", maxMemoryInMB=0),
+        dict(numTrees=37, maxDepth=8, featureSubsetStrategy="log2", maxMemoryInMB=1), dict(numTrees=3, maxDepth=3, featureSubsetStrategy="sqrt", maxMemoryInMB=0),
     ],
 )
 def test_trees_are_those_of_spark(spark, points, settings):
@@ -97,3 +98,28 @@ def test_nested_search_scores_other_measures_and_refuses_bad_rows(spark, points)
     framed = VectorAssembler(inputCols=["a"], outputCol="features", handleInvalid="keep").transform(bad).select("id", "kind", "features")
     with pytest.raises(Exception, match="NaN"):
         models.nested_cv(framed, [(estimator, [{}])], accuracy(), "kind", ["id"], outer=2, inner=2).predictions.collect()
+
+
+def test_confusion_counts_every_row_once_without_jobs_per_forest(spark, tmp_path):
+    draw = random.Random(5)
+    rows = [(i, [draw.gauss(i % 3 if f < 12 else 0, 1) for f in range(64)], i % 3) for i in range(150)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    begin = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    table = nested_confusion(spark, str(tmp_path)).collect()
+    assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() - begin < 500  # 155 forests: more than 2,000 jobs when Spark grew them
+    per_label = {}
+    for r in table:
+        per_label[r[0]] = per_label.get(r[0], 0) + r["n"]
+    assert per_label == {0: 50, 1: 50, 2: 50}
+    assert sum(r["n"] for r in table if r[0] == r[1]) > 120
+
+
+def test_large_nodes_are_counted_block_by_block(monkeypatch):
+    draw = np.random.default_rng(2)
+    keys, counts = draw.integers(0, 12, (5, 300)).astype(np.uint16), draw.poisson(1, (300, 4)).astype(np.uint8)
+    grown = []
+    for block in (1 << 16, 7):
+        monkeypatch.setattr(forests, "BLOCK", block)
+        trees = forests.grow(keys, counts, 4, 3, np.full(5, 4), forests.Settings(4, 6, 3, 42))
+        grown.append([(t.feature.tolist(), t.cut.tolist(), t.shares.tolist()) for t in trees])
+    assert grown[0] == grown[1]
